@@ -1,0 +1,37 @@
+"""Containment of large word lists: one pass per text instead of one per word."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from .scoring import contains_any
+
+SHORT_LIST = 200
+
+
+def contains_any_word(text: Column, words: Iterable[str], in_jvm: bool | None = None) -> Column:
+    """As ``contains_any``; long lists run as one automaton over Arrow batches."""
+    listed = list(dict.fromkeys(words))
+    if in_jvm is None:
+        in_jvm = len(listed) <= SHORT_LIST
+    if in_jvm:
+        return contains_any(text, listed)
+
+    @F.pandas_udf("boolean")
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        import ahocorasick
+
+        machine = ahocorasick.Automaton()
+        for word in listed:
+            machine.add_word(word, True)
+        machine.make_automaton()
+        for texts in batches:
+            yield texts.map(
+                lambda s: None if s is None else next(machine.iter(s), None) is not None
+            )
+
+    return search(text)
