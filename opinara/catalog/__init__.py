@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import keyword_queries, text_queries
+from . import keyword_queries, report_queries, text_queries
 from .base import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "keyword_queries", "text_queries"]
+__all__ = ["QUERIES", "SQL", "keyword_queries", "report_queries", "text_queries"]

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions.text import lexicon_words
 from ..operators import keywords as K
 from ..operators.membership import (
     normalize_words,
     union_words,
     with_weight,
     without_words,
-    word_frame,
 )
 from ..plans import reports as R
 from . import base as B
@@ -76,11 +76,9 @@ def token_frequency(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stopword_anti_join(spark: SparkSession, folder: str) -> DataFrame:
     """Word counts of whole texts without stop words and entity words."""
-    from ..functions.text import lexicon_words
-
     rows = B.documents(spark, folder).select(lexicon_words(F.col("content")).alias("tokens"))
-    counts = without_words(K.token_counts(rows), "word", word_frame(spark, V.STOPWORDS_EN))
-    return without_words(counts, "word", word_frame(spark, B.ENTITY))
+    counts = without_words(K.token_counts(rows), "word", V.STOPWORDS_EN)
+    return without_words(counts, "word", B.ENTITY)
 
 
 @query(
@@ -90,8 +88,6 @@ def stopword_anti_join(spark: SparkSession, folder: str) -> DataFrame:
 )
 def table_anti_join(spark: SparkSession, folder: str) -> DataFrame:
     """Word counts without the words of a second table, whose size is measured first."""
-    from ..functions.text import lexicon_words
-
     listed = table(spark, folder, "benchmark").select(F.explode(F.split("text", " ")).alias("w"))
     rows = B.documents(spark, folder).select(lexicon_words(F.col("content")).alias("tokens"))
     return without_words(K.token_counts(rows), "word", normalize_words(listed, "w"))
@@ -115,7 +111,7 @@ def lexicon_union(spark: SparkSession, folder: str) -> DataFrame:
     f"WITH {EXPLODED} SELECT word, count(*) AS n, CASE WHEN word IN ({B.quoted(B.BOOST)}) THEN 1.5::DOUBLE ELSE 1::DOUBLE END AS weight FROM w GROUP BY word"
 )
 def boost_weights(spark: SparkSession, folder: str) -> DataFrame:
-    boost = word_frame(spark, B.BOOST).withColumn("weight", F.lit(V.BOOST_WEIGHT))
+    boost = {w: V.BOOST_WEIGHT for w in B.BOOST}
     return with_weight(K.token_counts(B.corpus(spark, folder)), "word", boost, V.PLAIN_WEIGHT)
 
 

@@ -74,11 +74,24 @@ def segment_dictionary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(B.SQL["segment_dictionary"])
 def segment_dictionary_arrow(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = segment.segment(F.col("cleaned_text"), SEGMENT_WORDS, in_jvm=False)
-    rows = B.cleaned(spark, folder).select("row_id", text.keep_tagged(pairs, V.KEPT_TAGS).alias("_p"))
-    words = F.filter(F.transform("_p", lambda p: p["word"]), lambda w: (F.length(w) > 1) & (w != "best"))
-    kept = rows.select("row_id", words.alias("_w")).where(F.size("_w") > 0)
-    return kept.select("row_id", F.array_join("_w", "|").alias("words"), F.size("_w").cast("long").alias("n"))
+    """The same tokens on the path for large lexicons."""
+    words = segment.dictionary_tokens(F.col("cleaned_text"), SEGMENT_WORDS, ("best",), in_jvm=False)
+    rows = B.cleaned(spark, folder).select("row_id", words.alias("_w")).where(F.size("_w") > 0)
+    return rows.select("row_id", F.array_join("_w", "|").alias("words"), F.size("_w").cast("long").alias("n"))
+
+
+@query(
+    f"WITH {B.CLEANED}, piece AS (SELECT row_id, unnest(regexp_extract_all(cleaned_text, "
+    "'que les|und der|ción|über|éau|é|ñ|ä|ü|[A-Za-z0-9]+|(?s:.)')) AS word FROM tagged), "
+    f"lex(word, tag) AS (VALUES {', '.join(chr(40) + B.quoted((w, t)) + chr(41) for w, t in SEGMENT_WORDS.items())}) "
+    "SELECT coalesce(tag, CASE WHEN regexp_full_match(word, '[0-9]+') THEN 'm' WHEN regexp_full_match(word, '[A-Za-z0-9]+') "
+    "THEN 'eng' ELSE 'x' END) AS tag, count(*) AS n FROM piece LEFT JOIN lex USING (word) GROUP BY 1"
+)
+def segment_tags(spark: SparkSession, folder: str) -> DataFrame:
+    """Pieces per tag over the whole texts, unlisted pieces included."""
+    pairs = segment.segment(F.col("cleaned_text"), SEGMENT_WORDS)
+    tags = B.cleaned(spark, folder).select(F.explode(F.transform(pairs, lambda p: p["tag"])).alias("tag"))
+    return tags.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(

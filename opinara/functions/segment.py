@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import Column
@@ -42,57 +42,76 @@ def _tag_of(word: Column, lexicon: Mapping[str, str]) -> Column:
     )
 
 
-def _segment_by_regex(text: Column, lexicon: Mapping[str, str]) -> Column:
-    spoken = [w for w in lexicon if not re.fullmatch(r"[A-Za-z0-9]+", w)]
-    piece = "|".join(x for x in (P.any_of(spoken), "[A-Za-z0-9]+", "(?s:.)") if x)
-    found = F.regexp_extract_all(text, F.lit(piece), F.lit(0))
+def _spoken(lexicon: Mapping[str, str]) -> list[str]:
+    """Lexicon words that are not plain ASCII runs, longest first."""
+    words = (w for w in lexicon if not re.fullmatch(r"[A-Za-z0-9]+", w))
+    return sorted(words, key=lambda w: (-len(w), w))
+
+
+def _segment_by_regex(text: Column, lexicon: Mapping[str, str], listed_only: bool) -> Column:
+    pieces = [P.any_of(_spoken(lexicon)), "[A-Za-z0-9]+"]
+    if not listed_only:
+        pieces.append("(?s:.)")
+    found = F.regexp_extract_all(text, F.lit("|".join(x for x in pieces if x)), F.lit(0))
+    if listed_only:
+        found = F.filter(found, lambda w: w.isin(sorted(lexicon)))
     return F.transform(
         found, lambda w: F.struct(w.alias("word"), _tag_of(w, lexicon).alias("tag"))
     )
 
 
-def _segment_by_batch(text: Column, lexicon: Mapping[str, str]) -> Column:
-    starts: dict[str, list[str]] = {}
-    for word in sorted(lexicon, key=lambda w: (-len(w), w)):
-        if not re.fullmatch(r"[A-Za-z0-9]+", word):
-            starts.setdefault(word[0], []).append(word)
-    run = re.compile("[A-Za-z0-9]+")
-    tags = dict(lexicon)
-
-    def tag(word: str) -> str:
-        if word in tags:
-            return tags[word]
-        if re.fullmatch("[0-9]+", word):
-            return "m"
-        return "eng" if run.fullmatch(word) else "x"
-
-    def cut(line: str) -> list[dict[str, str]]:
-        out, at = [], 0
-        while at < len(line):
-            word = next((w for w in starts.get(line[at], ()) if line.startswith(w, at)), None)
-            if word is None:
-                hit = run.match(line, at)
-                word = hit.group(0) if hit else line[at]
-            out.append({"word": word, "tag": tag(word)})
-            at += len(word)
-        return out
+def _segment_by_batch(text: Column, lexicon: Mapping[str, str], listed_only: bool) -> Column:
+    tags, spoken = dict(lexicon), _spoken(lexicon)
 
     @F.pandas_udf(PAIRS)
-    def segment_batch(lines: pd.Series) -> pd.Series:
-        return lines.map(lambda s: None if s is None else cut(s))
+    def segment_batch(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        starts: dict[str, list[str]] = {}
+        for word in spoken:
+            starts.setdefault(word[0], []).append(word)
+        first = "".join(re.escape(ch) for ch in starts)
+        place = re.compile("[A-Za-z0-9]+" + (f"|[{first}]" if first else ""))
+        if not listed_only:
+            place = re.compile("[A-Za-z0-9]+|.", re.DOTALL)
+
+        def tag(word: str) -> str:
+            if word in tags:
+                return tags[word]
+            if re.fullmatch("[0-9]+", word):
+                return "m"
+            return "eng" if re.fullmatch("[A-Za-z0-9]+", word) else "x"
+
+        def cut(line: str) -> list[dict[str, str]]:
+            out, hit = [], place.search(line)
+            while hit:
+                at = hit.start()
+                longer = (w for w in starts.get(line[at], ()) if line.startswith(w, at))
+                word = next(longer, hit.group(0))
+                if not listed_only or word in tags:
+                    out.append({"word": word, "tag": tag(word)})
+                hit = place.search(line, at + len(word))
+            return out
+
+        for lines in batches:
+            yield lines.map(lambda s: None if s is None else cut(s))
 
     return segment_batch(text)
 
 
-def segment(text: Column, lexicon: Mapping[str, str], in_jvm: bool | None = None) -> Column:
-    """``array<struct<word,tag>>`` by longest match.
+def segment(
+    text: Column,
+    lexicon: Mapping[str, str],
+    in_jvm: bool | None = None,
+    listed_only: bool = False,
+) -> Column:
+    """``array<struct<word,tag>>`` by longest match, optionally only lexicon words.
 
     Up to ``REGEX_WORD_LIMIT`` words run as one ordered alternation in the JVM;
     a larger lexicon runs in Arrow batches with the same rule.
     """
     if in_jvm is None:
         in_jvm = len(lexicon) <= REGEX_WORD_LIMIT
-    return _segment_by_regex(text, lexicon) if in_jvm else _segment_by_batch(text, lexicon)
+    build = _segment_by_regex if in_jvm else _segment_by_batch
+    return build(text, lexicon, listed_only)
 
 
 def dictionary_tokens(
@@ -100,10 +119,16 @@ def dictionary_tokens(
     lexicon: Mapping[str, str],
     stopwords: Iterable[str],
     tags: Iterable[str] = V.KEPT_TAGS,
+    in_jvm: bool | None = None,
 ) -> Column:
-    """Words of at least two characters with a kept tag that are not stop words."""
-    stop = sorted(set(stopwords))
-    kept = keep_tagged(segment(text, lexicon), tuple(tags))
+    """Lexicon words of at least two characters with a kept tag that are not stop words.
+
+    Unlisted runs and characters carry tags that are never kept, so they are not
+    built at all unless the caller keeps such a tag.
+    """
+    tags, stop = tuple(tags), sorted(set(stopwords))
+    listed_only = not any(t in ("x", "m", "e", "en", "eng") for t in tags)
+    kept = keep_tagged(segment(text, lexicon, in_jvm, listed_only), tags)
     words = F.transform(kept, lambda p: F.trim(p["word"]))
     return F.filter(
         words, lambda w: (F.length(w) > 1) & (~w.isin(stop) if stop else F.lit(True))

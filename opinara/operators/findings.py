@@ -82,7 +82,8 @@ def _fill(template: str, subject: str, **values: Column) -> Column:
 
 def _decimals(value: Column, least: int, most: int) -> Column:
     """Fixed decimals without superfluous zeros at the end."""
-    return F.regexp_replace(F.format_string(f"%.{most}f", value), f"0{{1,{most - least}}}$", "")
+    text = F.format_string(f"%.{most}f", value)
+    return F.regexp_replace(text, f"0{{1,{most - least}}}$", "") if most > least else text
 
 
 def mood_phrase(positive: Column, negative: Column, neutral: Column) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import patterns as P
-from .membership import with_weight, without_words, word_frame
+from .membership import with_weight, without_words
 
 
 def exploded_tokens(df: DataFrame, tokens: str = "tokens") -> DataFrame:
@@ -46,12 +46,9 @@ def keyword_weights(
     tokens: str = "tokens",
 ) -> DataFrame:
     """``(keyword, weight)``: token count times the weight of the word."""
-    spark = df.sparkSession
     counts = token_counts(df, tokens).where(is_keyword_shape(F.col("word")))
-    kept = without_words(counts, "word", word_frame(spark, entity))
-    kept = without_words(kept, "word", word_frame(spark, vague))
-    boosted = word_frame(spark, boost).withColumn("weight", F.lit(float(boost_weight)))
-    weighted = with_weight(kept, "word", boosted, V.PLAIN_WEIGHT)
+    kept = without_words(without_words(counts, "word", entity), "word", vague)
+    weighted = with_weight(kept, "word", {w: boost_weight for w in boost}, V.PLAIN_WEIGHT)
     return weighted.select(
         F.col("word").alias("keyword"), (F.col("n") * F.col("weight")).alias("weight")
     )
@@ -80,9 +77,8 @@ def word_frequencies(
     tokens: str = "tokens",
 ) -> DataFrame:
     """``(word, freq)`` of words seen at least ``least`` times, without listed words."""
-    listed = stopwords if isinstance(stopwords, DataFrame) else word_frame(df.sparkSession, stopwords)
     counts = token_counts(df, tokens).where((F.col("n") >= least) & ~is_number_word(F.col("word")))
-    return without_words(counts, "word", listed).select("word", F.col("n").alias("freq"))
+    return without_words(counts, "word", stopwords).select("word", F.col("n").alias("freq"))
 
 
 def top_words(frequencies: DataFrame, n: int = 120) -> DataFrame:

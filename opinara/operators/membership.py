@@ -6,7 +6,7 @@ A list that comes as a table is measured before it is broadcast. Beyond
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,18 +50,39 @@ def inline_words(df: DataFrame, rows: int = INLINE_ROWS) -> list[str] | None:
     return [r[0] for r in head] if len(head) <= rows else None
 
 
-def without_words(df: DataFrame, column: str, words: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+def known_small(spark: SparkSession, words: Iterable[str], rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A listed lexicon as a table; its length is known, so no job measures it."""
+    listed = list(words)
+    frame = word_frame(spark, listed)
+    return F.broadcast(frame) if len(listed) <= rows else frame
+
+
+def without_words(
+    df: DataFrame, column: str, words: Iterable[str] | DataFrame, rows: int = BROADCAST_ROWS
+) -> DataFrame:
     """Rows whose word is not listed."""
-    listed = hinted(words.select(F.col("word").alias(column)), rows)
-    return df.join(listed, column, "left_anti")
+    if isinstance(words, DataFrame):
+        listed = hinted(words, rows)
+    else:
+        listed = known_small(df.sparkSession, words, rows)
+    return df.join(listed.select(F.col("word").alias(column)), column, "left_anti")
 
 
 def with_weight(
-    df: DataFrame, column: str, weights: DataFrame, default: float, rows: int = BROADCAST_ROWS
+    df: DataFrame,
+    column: str,
+    weights: Mapping[str, float] | DataFrame,
+    default: float,
+    rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Adds ``weight`` from a ``(word, weight)`` table, ``default`` where unlisted."""
-    listed = hinted(weights.select(F.col("word").alias(column), "weight"), rows)
-    joined = df.join(listed, column, "left")
+    """Adds ``weight`` of listed words, ``default`` for all others."""
+    if isinstance(weights, DataFrame):
+        listed = hinted(weights, rows)
+    else:
+        entries = sorted({w.strip().lower(): float(x) for w, x in weights.items()}.items())
+        frame = df.sparkSession.createDataFrame(entries, "word string, weight double")
+        listed = F.broadcast(frame) if len(entries) <= rows else frame
+    joined = df.join(listed.select(F.col("word").alias(column), "weight"), column, "left")
     return joined.withColumn("weight", F.coalesce("weight", F.lit(default)))
 
 
