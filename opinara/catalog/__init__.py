@@ -1,6 +1,15 @@
 """All registered queries."""
 
-from . import keyword_queries, report_queries, text_queries
+from . import keyword_queries, line_queries, payload_queries, report_queries, text_queries, topic_queries
 from .base import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "keyword_queries", "report_queries", "text_queries"]
+__all__ = [
+    "QUERIES",
+    "SQL",
+    "keyword_queries",
+    "line_queries",
+    "payload_queries",
+    "report_queries",
+    "text_queries",
+    "topic_queries",
+]
