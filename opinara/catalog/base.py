@@ -16,6 +16,9 @@ from ..functions import fixed_values as V
 from ..functions.scoring import sentiment_label
 from ..operators.sentiment import scored
 from ..plans.clean import STOPWORDS, clean_corpus, with_clean_text
+from ..session import work_path
+from ..sources.sinks import overwrite_table
+from ..sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,7 +36,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table of the data folder; small ones are dealt out to all cores."""
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 # Lexicons made of words that occur in the test tables.
@@ -75,6 +79,13 @@ def corpus(spark: SparkSession, folder: str) -> DataFrame:
     return clean_corpus(documents(spark, folder))
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows written to the shared folder and read back, for plans that use them more than once."""
+    path = work_path(df.sparkSession, label)
+    overwrite_table(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scored_corpus(spark: SparkSession, folder: str) -> DataFrame:
     return scored(corpus(spark, folder), POLARITY, **LEXICONS)
 

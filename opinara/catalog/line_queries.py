@@ -9,6 +9,7 @@ from ..functions import ids
 from ..functions import lines as L
 from ..operators import lines as O
 from ..operators import selection as X
+from ..operators.columns import computed_once
 from ..operators.rows import cap_per_group, cap_total, first_rows, only_new, prefer_source
 from ..plans.landing import line_run
 from . import base as B
@@ -268,7 +269,9 @@ SCORES = f"s AS (SELECT *, {B.space_sql('text')} AS body FROM documents), scores
 
 @query(f"WITH {SCORES} SELECT doc_id, score FROM scores")
 def relevance_score(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", score(F.col("text")).alias("score"))
+    shown = L.normalize_space(F.col("text")).alias("shown")
+    rows = table(spark, folder, "documents").select("doc_id", shown)
+    return rows.select("doc_id", score(F.col("shown")).alias("score"))
 
 
 RELEVANT = (
@@ -278,7 +281,8 @@ RELEVANT = (
 
 @query(f"WITH {SCORES} SELECT doc_id FROM scores WHERE {RELEVANT}")
 def relevance_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").where(relevant(F.col("text"))).select("doc_id")
+    rows = computed_once(table(spark, folder, "documents"), "shown", L.normalize_space(F.col("text")))
+    return rows.where(relevant(F.col("shown"))).select("doc_id")
 
 
 def post_candidates(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,6 +9,7 @@ from ..functions import fixed_values as V
 from ..operators import aggregates as A
 from ..operators import models as M
 from ..operators import topics as T
+from ..operators.sentiment import scored
 from ..plans import reports as R
 from . import base as B
 from .base import query, table
@@ -64,8 +65,14 @@ def top_topic_share(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT rule_topic, sentiment, count, share FROM r WHERE i <= 5"
 )
 def topic_sentiment_share(spark: SparkSession, folder: str) -> DataFrame:
-    joined = T.topic_sentiment(ruled(spark, folder), B.scored_corpus(spark, folder), "row_id")
-    return T.topic_sentiment_shares(joined)
+    cleaned = B.stored(B.corpus(spark, folder).select("row_id", "cleaned_text", "language"), "cleaned")
+    topics = T.with_rule_topic(cleaned, B.TOPICS, B.NO_TOPIC).select("row_id", "rule_topic")
+    sentiments = scored(cleaned, B.POLARITY, **B.LEXICONS)
+    return T.topic_sentiment_shares(T.topic_sentiment(topics, sentiments, "row_id"))
+
+
+def term_source(spark: SparkSession, folder: str) -> DataFrame:
+    return B.stored(B.corpus(spark, folder).select("row_id", "tokens"), "tokens")
 
 
 TFIDF = (
@@ -80,7 +87,7 @@ TFIDF = (
 
 @query(f"WITH {TFIDF} SELECT row_id, term, tf, round(tfidf, 6) AS tfidf FROM tfidf")
 def tfidf_terms(spark: SparkSession, folder: str) -> DataFrame:
-    rows = M.tfidf_rows(B.corpus(spark, folder), "row_id")
+    rows = M.tfidf_rows(term_source(spark, folder), "row_id")
     return rows.withColumn("tfidf", F.round("tfidf", 6))
 
 
@@ -90,14 +97,14 @@ def tfidf_terms(spark: SparkSession, folder: str) -> DataFrame:
 )
 def tfidf_keywords(spark: SparkSession, folder: str) -> DataFrame:
     """Five strongest terms of every document."""
-    rows = M.tfidf_rows(B.corpus(spark, folder), "row_id").withColumn("tfidf", F.round("tfidf", 9))
+    rows = M.tfidf_rows(term_source(spark, folder), "row_id").withColumn("tfidf", F.round("tfidf", 9))
     return M.top_terms_per_row(rows, "row_id", 5).select("row_id", F.col("rank").cast("long").alias("rank"), "term")
 
 
 @query()
 def kmeans_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """Clusters of the whole corpus with their sizes and strongest terms."""
-    clustered, model, names = M.cluster(B.corpus(spark, folder))
+    clustered, model, names = M.cluster(term_source(spark, folder))
     terms = M.cluster_terms(clustered, model, names).groupBy("cluster").agg(
         F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("_t")
     )

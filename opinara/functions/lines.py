@@ -123,23 +123,23 @@ def term_count(text: Column, terms) -> Column:
 
 
 def relevance(
-    text: Column, countries=V.COUNTRY_TERMS, conflicts=V.CONFLICT_TERMS
+    shown: Column, countries=V.COUNTRY_TERMS, conflicts=V.CONFLICT_TERMS
 ) -> Column:
-    text = normalize_space(text)
-    return term_count(text, countries) * V.COUNTRY_TERM_WEIGHT + term_count(
-        text, conflicts
+    """Weighted count of the listed terms in a text with normalized blanks."""
+    return term_count(shown, countries) * V.COUNTRY_TERM_WEIGHT + term_count(
+        shown, conflicts
     ) * F.lit(V.CONFLICT_TERM_WEIGHT)
 
 
 def is_relevant(
-    text: Column,
+    shown: Column,
     countries=V.COUNTRY_TERMS,
     conflicts=V.CONFLICT_TERMS,
     pairs=V.RELEVANT_PAIRS,
     least: int = V.RELEVANT_SCORE,
 ) -> Column:
-    shown = normalize_space(text)
-    fits = relevance(text, countries, conflicts) >= least
+    """Score high enough, or both words of a listed pair; blank texts never are."""
+    fits = relevance(shown, countries, conflicts) >= least
     for one, two in pairs:
         fits = fits | (shown.contains(one) & shown.contains(two))
     return (shown != "") & fits

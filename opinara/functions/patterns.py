@@ -9,17 +9,28 @@ CJK = r"\u4e00-\u9fff"
 EMOJI = r"\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}"
 PUNCTUATION = ".,!?，。！？"
 
+_KEPT = rf"{WORD}{CJK}{PUNCTUATION}"
+
 BRACKETED = r"\[[^\[\]\n]*\]"
 # A look-ahead on the few possible first characters rejects most positions at once.
 NOISE = (
     rf"(?d)(?=[h@【《<{EMOJI}])"
     rf"(?:http[^{SPACE}]+|@[{WORD}]+|【.*?】|《.*?》|<.*?>|[{EMOJI}]+)"
 )
-NOT_KEPT = rf"[^{WORD}{CJK}{PUNCTUATION}]+"
+# Cheap signs without which NOISE cannot match.
+NOISE_MARKS = ("http", "@", "【", "《", "<")
+NOISE_SYMBOLS = r"[\x{1F300}-\x{1F6FF}]"
+# Runs to replace by one blank; a single blank between words is left alone.
+NOT_KEPT = rf"[^{_KEPT} ][^{_KEPT}]*+| [^{_KEPT}]++"
 
 LATIN_WORD = r"[A-Za-z]{2,}"
 TWO_LATIN_WORDS = r"(?s)[A-Za-z]{2}[^A-Za-z].*?[A-Za-z]{2}"
-ENGLISH_TOKEN = r"[a-z][a-z'\-]+"
+# Eight letters that have a letter next to them; atomic, so it stops early and never backtracks.
+EIGHT_LATIN_LETTERS = r"(?s)^(?>.*?(?:[A-Za-z](?=[A-Za-z])|(?<=[A-Za-z])[A-Za-z])){8}"
+TWO_CJK = rf"(?s)[{CJK}].*?[{CJK}]"
+# From the first to the last letter of a run: outer quotes and hyphens are trimmed,
+# and words of one or two letters do not match.
+ENGLISH_TOKEN = r"[a-z][a-z'\-]+[a-z]"
 LEXICON_WORD = r"[a-z][a-z'\-]*"
 PLAIN_ENGLISH = rf"""\A[a-zA-Z{SPACE}\p{{Nd}}.,!?;:'"()\-_/]+\z"""
 

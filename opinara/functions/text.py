@@ -16,8 +16,12 @@ def clean_comment(text: Column) -> Column:
     Every run of characters outside letters, digits and basic punctuation (so
     also of blanks) becomes one blank; null becomes the empty string.
     """
-    kept = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), P.BRACKETED, "")
-    kept = F.regexp_replace(kept, P.NOISE, "")
+    raw = F.coalesce(text.cast("string"), F.lit(""))
+    kept = F.when(raw.contains("["), F.regexp_replace(raw, P.BRACKETED, "")).otherwise(raw)
+    noisy = kept.rlike(P.NOISE_SYMBOLS)
+    for mark in P.NOISE_MARKS:
+        noisy = kept.contains(mark) | noisy
+    kept = F.when(noisy, F.regexp_replace(kept, P.NOISE, "")).otherwise(kept)
     return F.trim(F.regexp_replace(kept, P.NOT_KEPT, " "))
 
 
@@ -41,12 +45,16 @@ def has_cjk(text: Column) -> Column:
 
 
 def detect_language(text: Column) -> Column:
-    """``zh``, ``en`` or ``other`` by the amounts of CJK and Latin characters."""
+    """``zh``, ``en`` or ``other`` by the amounts of CJK and Latin characters.
+
+    Exact counts are taken only of texts with two CJK characters; the tests
+    before and after stop at the first characters that decide.
+    """
     text = F.coalesce(text, F.lit(""))
-    cjk, latin = cjk_count(text), latin_letter_count(text)
+    mostly_cjk = cjk_count(text) >= latin_letter_count(text) * F.lit(0.3)
     return (
-        F.when((cjk >= 2) & (cjk >= latin * F.lit(0.3)), "zh")
-        .when((latin >= 8) & text.rlike(P.TWO_LATIN_WORDS), "en")
+        F.when(text.rlike(P.TWO_CJK) & mostly_cjk, "zh")
+        .when(text.rlike(P.EIGHT_LATIN_LETTERS) & text.rlike(P.TWO_LATIN_WORDS), "en")
         .otherwise("other")
     )
 
@@ -63,11 +71,8 @@ def english_tokens(text: Column, stopwords: Iterable[str]) -> Column:
     Order and repeats stay, as later counts need them.
     """
     words = F.regexp_extract_all(F.lower(text), F.lit(P.ENGLISH_TOKEN), F.lit(0))
-    trimmed = F.transform(words, lambda w: F.btrim(w, F.lit("'-_")))
     stop = sorted(set(stopwords))
-    return F.filter(
-        trimmed, lambda w: (F.length(w) > 2) & (~w.isin(stop) if stop else F.lit(True))
-    )
+    return F.filter(words, lambda w: ~w.isin(stop)) if stop else words
 
 
 def lexicon_words(text: Column) -> Column:

@@ -56,3 +56,14 @@ def to_comment_columns(df: DataFrame, columns: Iterable[str] = V.COMMENT_COLUMNS
     return df.select(
         *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
     )
+
+
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a costly column behind a generator.
+
+    A filter on a plain computed column is pushed below it with a copy of the
+    expression, which would then run twice. A filter on generated output stays
+    above, and every later use reads the one result.
+    """
+    others = [c for c in df.columns if c != name]
+    return df.select(*others, F.explode(F.array(value)).alias(name))

@@ -3,6 +3,7 @@
 Words are counted first, with map-side combine, and filtered afterwards: the
 filters depend on the word alone, so they run once per distinct word instead of
 once per token, and a very frequent word costs one partial count per task.
+``computed_once`` keeps the optimizer from moving them below the counts again.
 """
 
 from __future__ import annotations
@@ -15,21 +16,18 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import patterns as P
+from .columns import computed_once
 from .membership import with_weight, without_words
 
 
-def exploded_tokens(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    """One row per token: trimmed, lower case, two characters or more."""
-    word = F.lower(F.trim(F.col("_token")))
-    return (
-        df.select(F.explode(tokens).alias("_token"))
-        .select(word.alias("word"))
-        .where(F.length("word") > 1)
-    )
-
-
-def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
-    return exploded_tokens(df, tokens).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+def token_counts(df: DataFrame, tokens: str = "tokens", by: Iterable[str] = ()) -> DataFrame:
+    """``(by, word, n)``: trimmed lower-case tokens of two characters or more."""
+    by = list(by)
+    rows = df.select(*by, F.explode(tokens).alias("_token"))
+    words = rows.select(*by, F.lower(F.trim("_token")).alias("_word"))
+    counts = words.groupBy(*by, "_word").agg(F.count(F.lit(1)).alias("n"))
+    named = computed_once(counts, "word", F.col("_word")).drop("_word")
+    return named.where(F.length("word") > 1).select(*by, "word", "n")
 
 
 def is_keyword_shape(word: Column) -> Column:
@@ -102,7 +100,4 @@ def match_share(df: DataFrame, match: Column) -> DataFrame:
 
 def word_frequency_by(df: DataFrame, by: Iterable[str], tokens: str = "tokens") -> DataFrame:
     """Word counts per platform, day or any other columns."""
-    by = list(by)
-    word = F.lower(F.trim(F.col("_token")))
-    rows = df.select(*by, F.explode(tokens).alias("_token")).select(*by, word.alias("word"))
-    return rows.where(F.length("word") > 1).groupBy(*by, "word").agg(F.count(F.lit(1)).alias("freq"))
+    return token_counts(df, tokens, by).withColumnRenamed("n", "freq")

@@ -41,21 +41,25 @@ def vocabulary(docs: DataFrame, size: int = MAX_TERMS, terms: str = "terms") ->
 def tfidf_rows(docs: DataFrame, key: str, tokens: str = "tokens", size: int = MAX_TERMS) -> DataFrame:
     """``(key, term, tf, tfidf)`` with smoothed idf plus one and unit row length.
 
-    Document frequencies come from the counted ``(key, term)`` pairs; the term
-    table is bounded by ``size`` and broadcast.
+    ``docs`` is read for the statistics and again for the rows, so it should be
+    a stored table. The term table is bounded by ``size`` and broadcast. Rows
+    are placed by key once; counts and lengths per key then need no shuffle.
     """
-    pairs = (
-        docs.select(key, F.explode(vector_terms(F.col(tokens))).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    totals = pairs.groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
-    kept = totals.orderBy(F.desc("_total"), "term").limit(size)
+    terms = docs.select(key, vector_terms(F.col(tokens)).alias("terms"))
+    every = terms.select(F.explode("terms").alias("term"))
+    once = terms.select(F.explode(F.array_distinct("terms")).alias("term"))
+    totals = every.groupBy("term").agg(F.count(F.lit(1)).alias("_total"))
+    kept = totals.orderBy(F.desc("_total"), "term").limit(size).select("term")
+    frequencies = once.join(F.broadcast(kept), "term").groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
     n = docs.agg(F.count(F.lit(1))).scalar()
-    idf = F.log((n + 1) / (F.col("_df") + 1)) + 1
-    weighted = pairs.join(F.broadcast(kept), "term").withColumn("_w", F.col("tf") * idf)
-    norms = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
-    return weighted.join(norms, key).select(key, "term", "tf", (F.col("_w") / F.col("_norm")).alias("tfidf"))
+    weights = frequencies.select("term", (F.log((n + 1) / (F.col("_df") + 1)) + 1).alias("_idf"))
+    placed = terms.repartition(key).select(key, F.explode("terms").alias("term"))
+    counts = placed.join(F.broadcast(weights), "term").groupBy(key, "term", "_idf").agg(
+        F.count(F.lit(1)).alias("tf")
+    )
+    weighted = counts.withColumn("_w", F.col("tf") * F.col("_idf"))
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
+    return weighted.select(key, "term", "tf", (F.col("_w") / length).alias("tfidf"))
 
 
 def top_terms_per_row(rows: DataFrame, key: str, n: int) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.ids import absolute_url, mobile_url, post_search_url, video_search_url, video_url
 from ..functions.lines import is_relevant, relevance
+from ..functions.text import normalize_space
+from .columns import computed_once
 from .rows import cap_per_group, first_rows
 
 
@@ -39,7 +41,8 @@ def scored_posts(
     """Posts with text and address that fit the topic, with score and mobile address."""
     text, url = F.col("post_content"), absolute_url(F.col("post_url"))
     whole = candidates.where((F.coalesce(text, F.lit("")) != "") & (url != ""))
-    return whole.where(relevant(text)).select(
+    shown = computed_once(whole, "_shown", normalize_space(text))
+    return shown.where(relevant(F.col("_shown"))).select(
         "keyword_order",
         "keyword",
         "page",
@@ -47,7 +50,7 @@ def scored_posts(
         url.alias("post_url"),
         mobile_url(F.col("post_url")).alias("mobile_url"),
         text.alias("post_content"),
-        score(text).alias("score"),
+        score(F.col("_shown")).alias("score"),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.segment import custom_lexicon, tokens
 from ..functions.text import clean_comment, detect_language
+from ..operators.columns import computed_once
 from ..operators.rows import first_rows
 from ..sources.files import landed_comments
 
@@ -19,7 +20,7 @@ STOPWORDS = V.STOPWORDS_ZH + V.STOPWORDS_EN
 
 def with_clean_text(comments: DataFrame, content: str = "content") -> DataFrame:
     """Adds ``cleaned_text`` and its language."""
-    cleaned = comments.withColumn("cleaned_text", clean_comment(F.col(content)))
+    cleaned = computed_once(comments, "cleaned_text", clean_comment(F.col(content)))
     return cleaned.withColumn("language", detect_language(F.col("cleaned_text")))
 
 
@@ -48,7 +49,7 @@ def clean_corpus(
     barred = sorted({*stopwords, *entity})
     words = custom_lexicon() if lexicon is None else dict(lexicon)
     kept = distinct_texts(with_clean_text(comments, content), list(order))
-    return kept.withColumn("tokens", tokens(F.col("cleaned_text"), F.col("language"), words, barred))
+    return computed_once(kept, "tokens", tokens(F.col("cleaned_text"), F.col("language"), words, barred))
 
 
 def clean_folder(spark: SparkSession, folder: str, **options) -> DataFrame | None:
