@@ -66,6 +66,8 @@ TOPICS = (
     ("spanish", (" los ", " del ")),
 )
 NO_TOPIC = "other"
+# Odd on purpose: means of the scaled values never fall on a rounding tie.
+EVENT_SCALE = 101.7
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,7 +103,7 @@ def scored_events(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_id").alias("row_id"),
         F.col("event_type").alias("platform"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("publish_time"),
-        F.least(F.lit(1.0), F.col("value") / F.lit(100.0)).alias("sentiment_score"),
+        F.least(F.lit(1.0), F.col("value") / F.lit(EVENT_SCALE)).alias("sentiment_score"),
     )
     return rows.withColumn("sentiment", sentiment_label(F.col("sentiment_score")))
 
@@ -204,6 +206,6 @@ SCORED = (
 
 EVENTS = (
     "points AS (SELECT event_id AS row_id, event_type AS platform, ts, "
-    "least(1::DOUBLE, value / 100::DOUBLE) AS sentiment_score FROM events), "
+    f"least(1::DOUBLE, value / {EVENT_SCALE}::DOUBLE) AS sentiment_score FROM events), "
     f"scored AS (SELECT *, {label_sql('sentiment_score')} AS sentiment FROM points)"
 )

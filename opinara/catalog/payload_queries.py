@@ -257,7 +257,7 @@ def stream_daily_trend(spark: SparkSession, folder: str) -> DataFrame:
     schema = table(spark, folder, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{folder}/events*.parquet")
     at = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
-    score = F.least(F.lit(1.0), F.col("value") / F.lit(100.0))
+    score = F.least(F.lit(1.0), F.col("value") / F.lit(B.EVENT_SCALE))
     scored = events.select(at.alias("at"), score.alias("score"))
     out = work_path(spark, "trend")
     trend.write_open_trend(trend.daily_trend(scored, "at", "score"), out, out + "-state").awaitTermination()
