@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, text
@@ -19,11 +19,11 @@ from .base import query, table
 STAMP = "2025-05-01 00:00:00"
 
 
-def payloads(spark: SparkSession, folder: str, source_rank: int = 1) -> DataFrame:
+def payloads(spark: SparkSession, folder: str) -> DataFrame:
     """Every turn as a payload: the turn is a reply, its sentences are the children.
 
-    The conversation is the item; the payload is written as JSON text and read
-    back the way a landed payload is.
+    The turns of one role in a conversation form an item; the payload is written
+    as JSON text and read back the way a landed payload is.
     """
     turns = table(spark, folder, "conversations")
     sentences = F.transform(
@@ -44,33 +44,37 @@ def payloads(spark: SparkSession, folder: str, source_rank: int = 1) -> DataFram
         F.lit(None).cast("long").alias("id"),
         F.lit(None).cast("long").alias("like"),
         F.lit(None).cast("long").alias("ctime"),
-        F.when(F.col("role") != "system", F.struct(F.col("role").alias("uname"))).alias("member"),
+        F.when(F.col("role") != "assistant", F.struct(F.col("role").alias("uname"))).alias("member"),
         F.struct(F.col("text").alias("message")).alias("content"),
         F.when(F.col("role") != "user", sentences).alias("replies"),
     )
     body = F.to_json(F.struct(F.lit(0).alias("code"), F.struct(F.array(parent).alias("replies")).alias("data")))
-    return turns.select(
-        (F.col("conv_id") % 4).cast("int").alias("keyword_order"),
-        F.concat(F.lit("k"), F.col("conv_id") % 4).alias("keyword"),
+    return turns.select(*item_columns(1), "role", parse_replies(body).alias("replies"))
+
+
+def item_columns(source_rank: int) -> list[Column]:
+    item = F.concat(F.lit("BV"), F.col("conv_id"), F.col("role"))
+    return [
+        F.length("role").alias("keyword_order"),
+        F.col("role").alias("keyword"),
         F.col("conv_id").cast("int").alias("item_order"),
-        F.concat(F.lit("BV"), F.col("conv_id")).alias("item_id"),
-        F.concat(F.lit("https://www.bilibili.com/video/BV"), F.col("conv_id")).alias("item_url"),
+        item.alias("item_id"),
+        F.concat(F.lit("https://www.bilibili.com/video/"), item).alias("item_url"),
         F.lit(source_rank).alias("source_rank"),
         F.col("turn").cast("int").alias("page_no"),
-        parse_replies(body).alias("replies"),
-    )
+    ]
 
 
 FLAT = (
-    "parents AS (SELECT conv_id, turn, role, text, 0 AS pos, 'p' || conv_id || '-' || turn AS own, CASE WHEN role <> 'system' THEN role END AS uname, "
+    "parents AS (SELECT conv_id, turn, role, text, 0 AS pos, 'p' || conv_id || '-' || turn AS own, CASE WHEN role <> 'assistant' THEN role END AS uname, "
     "text AS message, NULL::BIGINT AS likes, NULL::BIGINT AS ctime FROM conversations), "
     "parts AS (SELECT conv_id, turn, role, unnest(p) AS message, generate_subscripts(p, 1) - 1 AS i FROM "
     "(SELECT *, string_split(text, '. ') AS p FROM conversations WHERE role <> 'user')), "
     "kids AS (SELECT conv_id, turn, role, i + 1 AS pos, CASE WHEN i % 2 = 0 THEN (conv_id * 1000 + turn * 100 + i + 1)::VARCHAR END AS own, "
     "role AS uname, message, i::BIGINT AS likes, (1700000000 + conv_id * 60 + i)::BIGINT AS ctime FROM parts), "
-    "flat AS (SELECT conv_id, turn, pos, own, uname, message, likes, ctime FROM parents UNION ALL BY NAME SELECT conv_id, turn, pos, own, uname, message, likes, ctime FROM kids), "
+    "flat AS (SELECT conv_id, turn, role, pos, own, uname, message, likes, ctime FROM parents UNION ALL BY NAME SELECT conv_id, turn, role, pos, own, uname, message, likes, ctime FROM kids), "
     f"texts AS (SELECT *, {B.space_sql('message')} AS content FROM flat), "
-    "comments AS (SELECT conv_id, turn, pos, md5('bilibili_BV' || conv_id || '_' || coalesce(own, md5(content))) AS comment_id, "
+    "comments AS (SELECT conv_id, turn, role, pos, md5('bilibili_BV' || conv_id || role || '_' || coalesce(own, md5(content))) AS comment_id, "
     "coalesce(uname, '') AS user_name, content, coalesce(strftime(make_timestamp(ctime * 1000000), '%Y-%m-%d %H:%M:%S'), '') AS publish_time, "
     "coalesce(likes, 0) AS like_count, "
     r"CASE WHEN regexp_full_match(content, '[a-zA-Z\s\p{Z}\p{Nd}.,!?;:''\"()\-_/]+') THEN 'en' ELSE 'other' END AS language "
@@ -95,42 +99,32 @@ def reply_comments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LANDED = (
-    f"{FLAT}, texts2 AS (SELECT conv_id, turn, {B.space_sql('text')} AS content FROM conversations), "
-    "fallback AS (SELECT conv_id, turn, 0 AS pos, md5('bilibili_BV' || conv_id || '_' || md5(content)) AS comment_id, '' AS user_name, content, "
+    f"{FLAT}, texts2 AS (SELECT conv_id, turn, role, {B.space_sql('text')} AS content FROM conversations), "
+    "fallback AS (SELECT conv_id, turn, role, 0 AS pos, md5('bilibili_BV' || conv_id || role || '_' || md5(content)) AS comment_id, '' AS user_name, content, "
     "'' AS publish_time, 0::BIGINT AS like_count, "
     r"CASE WHEN regexp_full_match(content, '[a-zA-Z\s\p{Z}\p{Nd}.,!?;:''\"()\-_/]+') THEN 'en' ELSE 'other' END AS language "
     "FROM texts2 WHERE length(content) BETWEEN 8 AND 2000), "
-    "all_rows AS (SELECT *, 1 AS rank FROM comments WHERE conv_id % 3 <> 0 UNION ALL SELECT *, 2 FROM fallback), "
-    "once AS (SELECT *, row_number() OVER (PARTITION BY conv_id, rank, comment_id ORDER BY turn, pos) AS i FROM all_rows), "
-    "capped AS (SELECT *, row_number() OVER (PARTITION BY conv_id, rank ORDER BY turn, pos) AS j FROM once WHERE i = 1), "
-    "best AS (SELECT *, min(rank) OVER (PARTITION BY conv_id) AS b FROM capped WHERE j <= 12), "
-    "known AS (SELECT comment_id FROM comments WHERE conv_id % 5 = 0), "
-    "fresh AS (SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY conv_id % 4, conv_id, turn, pos) AS k FROM best "
+    "all_rows AS (SELECT *, 1 AS rank FROM comments WHERE role <> 'system' UNION ALL SELECT conv_id, turn, role, pos, comment_id, user_name, content, publish_time, like_count, language, 2 FROM fallback), "
+    "once AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, rank, comment_id ORDER BY turn, pos) AS i FROM all_rows), "
+    "capped AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, rank ORDER BY turn, pos) AS j FROM once WHERE i = 1), "
+    "best AS (SELECT *, min(rank) OVER (PARTITION BY conv_id, role) AS b FROM capped WHERE j <= 12), "
+    "known AS (SELECT comment_id FROM comments WHERE like_count = 2), "
+    "fresh AS (SELECT *, row_number() OVER (PARTITION BY comment_id ORDER BY length(role), conv_id, turn, pos) AS k FROM best "
     "WHERE rank = b AND comment_id NOT IN (SELECT comment_id FROM known)) "
 ).replace('\\"', '"')
 
 
 @query(
-    f"WITH {LANDED} SELECT 'bilibili' AS platform, 'k' || (conv_id % 4) AS keyword, comment_id, user_name, content, publish_time, like_count, language, "
-    f"'https://www.bilibili.com/video/BV' || conv_id AS source_url, '{STAMP}' AS crawl_time FROM fresh WHERE k = 1 "
-    "ORDER BY conv_id % 4, conv_id, turn, pos LIMIT 1500"
+    f"WITH {LANDED} SELECT 'bilibili' AS platform, role AS keyword, comment_id, user_name, content, publish_time, like_count, language, "
+    f"'https://www.bilibili.com/video/BV' || conv_id || role AS source_url, '{STAMP}' AS crawl_time FROM fresh WHERE k = 1 "
+    "ORDER BY length(role), conv_id, turn, pos LIMIT 1500"
 )
 def landing_run(spark: SparkSession, folder: str) -> DataFrame:
-    """A whole landing run: replies first, page texts where an item has none."""
+    """A whole landing run: replies first, page texts for items without any."""
     every = payloads(spark, folder)
-    replies = every.where(F.col("item_order") % 3 != 0)
-    texts = table(spark, folder, "conversations").select(
-        (F.col("conv_id") % 4).cast("int").alias("keyword_order"),
-        F.concat(F.lit("k"), F.col("conv_id") % 4).alias("keyword"),
-        F.col("conv_id").cast("int").alias("item_order"),
-        F.concat(F.lit("BV"), F.col("conv_id")).alias("item_id"),
-        F.concat(F.lit("https://www.bilibili.com/video/BV"), F.col("conv_id")).alias("item_url"),
-        F.lit(2).alias("source_rank"),
-        F.col("turn").cast("int").alias("page_no"),
-        F.lit(0).alias("pos"),
-        "text",
-    )
-    earlier = R.reply_comments(R.flatten_replies(every.where(F.col("item_order") % 5 == 0)), STAMP)
+    replies = every.where(F.col("role") != "system").drop("role")
+    texts = table(spark, folder, "conversations").select(*item_columns(2), F.lit(0).alias("pos"), "text")
+    earlier = R.reply_comments(R.flatten_replies(every), STAMP).where("like_count = 2")
     return reply_run(replies, earlier.select("comment_id"), STAMP, texts, limit=12)
 
 
@@ -256,9 +250,8 @@ def stream_daily_trend(spark: SparkSession, folder: str) -> DataFrame:
     """The daily trend computed by a stream over the events table."""
     schema = table(spark, folder, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{folder}/events*.parquet")
-    at = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
     score = F.least(F.lit(1.0), F.col("value") / F.lit(B.EVENT_SCALE))
-    scored = events.select(at.alias("at"), score.alias("score"))
+    scored = events.select(F.col("ts").alias("at"), score.alias("score"))
     out = work_path(spark, "trend")
     trend.write_open_trend(trend.daily_trend(scored, "at", "score"), out, out + "-state").awaitTermination()
     return spark.read.parquet(out).select(

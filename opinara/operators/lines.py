@@ -225,16 +225,14 @@ def candidates_from_bodies(
     )
 
 
-def not_from_post(
-    candidates: DataFrame, posts: DataFrame, page: str, post_content: str
-) -> DataFrame:
-    """Candidates that do not repeat the text of their own post.
+def not_from_post(candidates: DataFrame, posts: DataFrame, page: str, post_content: str) -> DataFrame:
+    """Candidates with the other columns of their post, without repeats of its text.
 
     Posts have one row per address; the hot side of the join is split by
     adaptive execution.
     """
-    texts = posts.select(page, normalize_space(F.col(post_content)).alias("_post"))
-    joined = candidates.join(texts, page, "left")
+    texts = posts.withColumn("_post", normalize_space(F.col(post_content))).drop(post_content)
+    joined = candidates.join(texts, page)
     return joined.where(~L.repeats_post(F.col("content"), F.col("_post"))).drop("_post")
 
 

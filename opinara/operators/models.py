@@ -15,9 +15,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.text import lexicon_words, vector_terms
+from ..session import work_path
 
 MAX_TERMS = 5000
 CLUSTERS = 6
@@ -93,11 +93,13 @@ def cluster(
 ) -> tuple[DataFrame, KMeansModel, list[str]]:
     """K-means on the term vectors, the cheapest of several seeded starts.
 
-    The vectors are kept (they spill to disk) so that the starts do not clean
-    and tokenize the texts again.
+    The vectors are written to the shared folder first: the starts do not clean
+    and tokenize the texts again, and a lost executor costs no recomputation.
     """
     vectors, names = tfidf_vectors(docs, tokens, size)
-    kept = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    path = work_path(docs.sparkSession, "vectors")
+    vectors.write.parquet(path)
+    kept = docs.sparkSession.read.parquet(path)
     best: KMeansModel | None = None
     for start in range(starts):
         model = KMeans(k=k, seed=seed + start, maxIter=iterations, predictionCol="cluster").fit(kept)

@@ -43,10 +43,9 @@ def line_run(
 
     ``posts`` holds address, ``post_order``, ``keyword`` and ``post_content``.
     """
-    own = O.not_from_post(candidates, posts, page, "post_content")
-    per_page = O.page_comments(own, page, limit)
-    placed = per_page.join(posts.select(page, "post_order", "keyword"), page)
-    rows = O.run_comments(placed, "post_order", total)
+    known = posts.select(page, "post_order", "keyword", "post_content")
+    own = O.not_from_post(candidates, known, page, "post_content")
+    rows = O.run_comments(O.page_comments(own, page, limit), "post_order", total)
     stamp = F.lit(crawl_time) if isinstance(crawl_time, str) else crawl_time
     user = F.when(F.col("user_name") == "", "unknown").otherwise(F.col("user_name"))
     return to_comment_columns(

@@ -1,8 +1,14 @@
-"""Landed files: comment CSV per platform, with an encoding decision per file."""
+"""Landed files: comment CSV per platform, with an encoding decision per file.
+
+A source is ``name.csv`` in the landing folder: one file, or a folder of part
+files as Spark writes it. Cells may span lines, so a single file is read by one
+task; large sources should therefore land as many part files.
+"""
 
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,31 +18,42 @@ from ..operators.columns import standardize
 UTF8, GBK = "UTF-8", "GBK"
 
 
-def list_csv(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the CSV files of a folder, by name; no file content is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    return sorted(r["path"] for r in files.select("path").collect())
+def _place(path: str) -> str:
+    """Path without scheme and escapes, equal for all ways Spark shows it."""
+    return unquote(path).split(":", 1)[-1].lstrip("/")
 
 
-def file_stem(path: str) -> str:
-    return path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+def list_sources(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """Source names with their CSV files; only the listing is read, no content."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+    files = reader.option("recursiveFileLookup", "true").load(folder).select("path")
+    root = folder.split(":", 1)[-1].strip("/")
+    sources: dict[str, list[str]] = {}
+    for path in sorted(r["path"] for r in files.collect()):
+        below = path.split(":", 1)[-1].strip("/")[len(root):].strip("/")
+        top = below.split("/")[0]
+        if top.lower().endswith(".csv"):
+            sources.setdefault(top[: -len(".csv")], []).append(path)
+    return sources
 
 
 def file_encodings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
     """UTF-8 unless the file has a line that is not valid UTF-8, else GBK.
 
-    The raw lines of a large file are checked by many tasks; only one flag per
-    file comes to the driver.
+    One job reads the raw lines of all files; only the names of files with
+    invalid lines come to the driver.
     """
-    found = {}
-    for path in paths:
-        bad = spark.read.text(path).where(~F.is_valid_utf8("value"))
-        found[path] = UTF8 if bad.isEmpty() else GBK
-    return found
+    if not paths:
+        return {}
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("valid")
+    )
+    bad = {_place(r["path"]) for r in lines.where("not valid").select("path").distinct().collect()}
+    return {p: GBK if _place(p) in bad else UTF8 for p in paths}
 
 
-def read_csv(spark: SparkSession, path: str, encoding: str = UTF8) -> DataFrame:
-    """One CSV file with a header; quoted cells may span lines, all columns are text."""
+def read_csv(spark: SparkSession, path: str | list[str], encoding: str = UTF8) -> DataFrame:
+    """CSV files of one header; quoted cells may span lines, all columns are text."""
     if encoding != UTF8:
         spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     return spark.read.csv(
@@ -49,18 +66,27 @@ def has_content(df: DataFrame, column: str = "content") -> bool:
     return not df.where(F.col(column).isNotNull()).isEmpty()
 
 
+def read_source(spark: SparkSession, paths: list[str], encodings: dict[str, str]) -> DataFrame:
+    """All part files of one source, each in its own encoding."""
+    parts = []
+    for encoding in (UTF8, GBK):
+        some = [p for p in paths if encodings[p] == encoding]
+        if some:
+            parts.append(read_csv(spark, some, encoding))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def landed_comments(spark: SparkSession, folder: str) -> DataFrame | None:
-    """All CSV files of a folder in canonical columns, or ``None`` without any.
+    """All sources of a folder in canonical columns, or ``None`` without any.
 
-    The platform is the file stem. ``row_id`` orders rows inside a platform by
-    their place in the file.
+    The platform is the source name. ``row_id`` orders the rows of a platform by
+    file and place in the file, as long as the files stay the same.
     """
-    paths = list_csv(spark, folder)
-    encodings = file_encodings(spark, paths)
+    sources = list_sources(spark, folder)
+    encodings = file_encodings(spark, [p for paths in sources.values() for p in paths])
     frames = []
-    for path in paths:
-        raw = read_csv(spark, path, encodings[path])
-        table = standardize(raw, F.lit(file_stem(path)))
+    for name, paths in sources.items():
+        table = standardize(read_source(spark, paths, encodings), F.lit(name))
         if has_content(table):
             frames.append(table.withColumn("row_id", F.monotonically_increasing_id()))
     if not frames:

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from ..functions import fixed_values as V
 from ..operators.columns import to_comment_columns
 from ..operators.rows import only_new
-from .files import known_ids
 from .tables import read_table
 
 
@@ -32,7 +31,9 @@ def overwrite_csv(df: DataFrame, path: str) -> None:
 
 def append_new(df: DataFrame, path: str, key: str = "comment_id") -> None:
     """Append the rows whose key the table does not hold yet."""
-    known = known_ids(read_table(df.sparkSession, path), df.sparkSession, key)
+    known = read_table(df.sparkSession, path)
+    if known is None:
+        known = df.select(key).limit(0)
     only_new(df, known, key).write.mode("append").parquet(path)
 
 

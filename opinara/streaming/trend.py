@@ -8,13 +8,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 def daily_trend(stream: DataFrame, time: str, score: str, delay: str = "1 day") -> DataFrame:
-    """Sum and count of the score per tumbling day, late rows accepted for ``delay``."""
-    timed = stream.select(F.col(time).cast("timestamp").alias("_at"), F.col(score).alias("_score"))
-    kept = timed.dropna().withWatermark("_at", delay)
+    """Mean and count of the score per clock day, late rows accepted for ``delay``.
+
+    Stream windows start at UTC midnight, so clock times are taken as UTC for
+    the window and the date is read back the same way in any session zone.
+    """
+    utc, zone = F.lit("UTC"), F.current_timezone()
+    clock = F.col(time).cast("timestamp_ntz")
+    at = F.convert_timezone(utc, zone, clock).cast("timestamp")
+    kept = stream.select(at.alias("_at"), F.col(score).alias("_score")).dropna().withWatermark("_at", delay)
+    start = F.convert_timezone(zone, utc, F.col("_w.start").cast("timestamp_ntz"))
     return (
         kept.groupBy(F.window("_at", "1 day").alias("_w"))
         .agg(F.avg("_score").alias("avg_score"), F.count(F.lit(1)).alias("n"))
-        .select(F.to_date("_w.start").alias("date"), "avg_score", "n")
+        .select(F.to_date(start).alias("date"), "avg_score", "n")
     )
 
 

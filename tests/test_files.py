@@ -25,11 +25,20 @@ def landing(tmp_path):
 
 
 def test_listing_and_encodings(spark, landing):
-    paths = files.list_csv(spark, str(landing))
-    assert [files.file_stem(p) for p in paths] == ["bilibili_raw", "empty", "youtube_comments", "知乎_posts"]
-    found = {files.file_stem(p): e for p, e in files.file_encodings(spark, paths).items()}
-    assert found == {"bilibili_raw": "UTF-8", "empty": "UTF-8", "youtube_comments": "UTF-8", "知乎_posts": "GBK"}
+    (landing / "parts.csv").mkdir()
+    write(landing / "parts.csv" / "part-0.csv", "content\n一二三四五六\n")
+    write(landing / "parts.csv" / "part-1.csv", "content\n甲乙丙丁戊己\n", "gbk")
+    sources = files.list_sources(spark, str(landing))
+    assert list(sources) == ["bilibili_raw", "empty", "parts", "youtube_comments", "知乎_posts"]
+    paths = [p for group in sources.values() for p in group]
+    found = {p.rsplit("/", 1)[1]: e for p, e in files.file_encodings(spark, paths).items()}
+    assert found == {
+        "bilibili_raw.csv": "UTF-8", "empty.csv": "UTF-8", "youtube_comments.csv": "UTF-8", "知乎_posts.csv": "GBK",
+        "part-0.csv": "UTF-8", "part-1.csv": "GBK",
+    }
     assert files.file_encodings(spark, []) == {}
+    rows = files.landed_comments(spark, str(landing)).where("platform = 'parts'").collect()
+    assert {r["content"] for r in rows} == {"一二三四五六", "甲乙丙丁戊己"}
 
 
 def test_landed_comments(spark, landing):
