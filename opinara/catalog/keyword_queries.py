@@ -129,3 +129,23 @@ def regex_share(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"WITH {EXPLODED} SELECT platform, word, count(*) AS freq FROM w GROUP BY platform, word")
 def word_by_platform(spark: SparkSession, folder: str) -> DataFrame:
     return K.word_frequency_by(B.corpus(spark, folder), ["platform"])
+
+
+ROUNDS = 4
+RANK_ROUNDS = ", ".join(
+    f"r{i} AS (SELECT word AS src, 0.15::DOUBLE + 0.85::DOUBLE * sum(w * r / s) AS r FROM edges JOIN r{i - 1} USING (src) JOIN sums USING (src) GROUP BY word)"
+    for i in range(1, ROUNDS + 1)
+)
+
+
+@query(
+    f"WITH {B.CORPUS}, tok AS (SELECT row_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS i FROM corpus), "
+    "p AS (SELECT a.word AS one, b.word AS two FROM tok a JOIN tok b ON a.row_id = b.row_id AND b.i BETWEEN a.i + 1 AND a.i + 4 WHERE a.word <> b.word), "
+    "edges AS (SELECT src, word, count(*) AS w FROM (SELECT one AS src, two AS word FROM p UNION ALL SELECT two, one FROM p) GROUP BY ALL), "
+    "sums AS (SELECT src, sum(w) AS s FROM edges GROUP BY src), r0 AS (SELECT src, 1::DOUBLE AS r FROM sums), "
+    f"{RANK_ROUNDS} SELECT src AS word, round(r, 5) AS rank FROM r{ROUNDS}"
+)
+def text_rank(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranks of all words by their neighbours in the cleaned texts."""
+    pairs = B.stored(K.neighbour_pairs(B.corpus(spark, folder)), "pairs")
+    return K.text_rank(pairs, ROUNDS).select("word", F.round("rank", 5).alias("rank"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import ids, segment, text
 from ..functions import fixed_values as V
 from ..operators import aggregates as A
-from ..operators.columns import standardize
+from ..operators.columns import handle_missing, split_rows, standardize
 from ..operators.membership import mapped_name
 from ..operators.rows import first_rows
 from ..plans.clean import STOPWORDS, with_clean_text
@@ -216,3 +216,20 @@ def clean_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Markup and links stripped from whole page sources."""
     pages = with_clean_text(table(spark, folder, "pages"), "html")
     return pages.select("page_id", "cleaned_text", "language")
+
+
+@query("SELECT conv_id, turn, CASE WHEN role = 'system' THEN 'none' ELSE role END AS role, text FROM conversations WHERE role <> 'user'")
+def handle_missing_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Blank values dropped where required and filled elsewhere."""
+    role = F.when(F.col("role") == "system", " ").otherwise(F.col("role"))
+    text_or_blank = F.when(F.col("role") != "user", F.col("text"))
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", role.alias("role"), text_or_blank.alias("text"))
+    return handle_missing(rows, ["text"], {"role": "none"})
+
+
+@query(
+    "SELECT doc_id, quality, CASE WHEN ('0x' || substr(md5('42:' || doc_id), 1, 8))::BIGINT / 4294967296 < 0.8 THEN 'train' ELSE 'test' END AS part FROM labels"
+)
+def train_test_split(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = split_rows(table(spark, folder, "labels").select("doc_id", "quality"), "doc_id", 0.8)
+    return train.withColumn("part", F.lit("train")).union(test.withColumn("part", F.lit("test")))

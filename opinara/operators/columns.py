@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
-from ..functions.ids import platform_name
+from ..functions.ids import lenient_time, platform_name
 
 
 def rename_aliases(df: DataFrame, aliases: Mapping[str, Iterable[str]] = V.COLUMN_ALIASES) -> DataFrame:
@@ -67,3 +67,26 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """
     others = [c for c in df.columns if c != name]
     return df.select(*others, F.explode(F.array(value)).alias(name))
+
+
+def handle_missing(
+    df: DataFrame, required: Iterable[str] = (), defaults: Mapping[str, object] | None = None
+) -> DataFrame:
+    """Rows without a required value dropped, other gaps filled; blank text counts as missing."""
+    texts = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
+    named = {*required, *(defaults or {})}
+    blank = {c: F.when(F.trim(c) != "", F.col(c)) for c in named if c in texts}
+    out = (df.withColumns(blank) if blank else df).na.drop(subset=list(required) or None, how="any" if required else "all")
+    return out.na.fill(dict(defaults)) if defaults else out
+
+
+def with_date(df: DataFrame, time: str, name: str = "date") -> DataFrame:
+    """Adds the calendar date of a time text, null where it cannot be read."""
+    return df.withColumn(name, F.to_date(lenient_time(F.col(time))))
+
+
+def split_rows(df: DataFrame, key: str, share: float, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows by a digest of the key: the same rows in every run and on any cluster."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    return df.where(place < share), df.where(place >= share)

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
 from ..functions import patterns as P
+from ..session import work_path
 from .columns import computed_once
-from .membership import with_weight, without_words
+from .membership import is_small, with_weight, without_words
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens", by: Iterable[str] = ()) -> DataFrame:
@@ -101,3 +102,52 @@ def match_share(df: DataFrame, match: Column) -> DataFrame:
 def word_frequency_by(df: DataFrame, by: Iterable[str], tokens: str = "tokens") -> DataFrame:
     """Word counts per platform, day or any other columns."""
     return token_counts(df, tokens, by).withColumnRenamed("n", "freq")
+
+
+def neighbour_pairs(df: DataFrame, window: int = 5, tokens: str = "tokens") -> DataFrame:
+    """``(one, two, weight)``: how often two different words stand less than ``window`` apart.
+
+    A text of ``n`` tokens gives at most ``n * (window - 1)`` pairs, counted with
+    map-side combine.
+    """
+    words, size = F.col(tokens), F.size(tokens)
+
+    def shifted(o: Column) -> Column:
+        length = F.greatest(size - o, F.lit(0))
+        return F.zip_with(
+            F.slice(words, F.lit(1), length),
+            F.slice(words, o + 1, length),
+            lambda a, b: F.struct(F.least(a, b).alias("one"), F.greatest(a, b).alias("two")),
+        )
+
+    pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window - 1)), shifted))
+    rows = df.select(F.explode(pairs).alias("_p")).select("_p.one", "_p.two").where("one <> two")
+    return rows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("weight"))
+
+
+def text_rank(pairs: DataFrame, rounds: int = 10, damping: float = 0.85) -> DataFrame:
+    """``(word, rank)`` by weighted ranks over neighbouring words.
+
+    The share that each word passes on is written to the shared folder once and
+    read in every round. Ranks have one row per word; they are broadcast if
+    that table is measured to be small and shuffled otherwise.
+    """
+    spark = pairs.sparkSession
+    forth = pairs.select(F.col("one").alias("src"), F.col("two").alias("word"), "weight")
+    back = pairs.select(F.col("two").alias("src"), F.col("one").alias("word"), "weight")
+    edges = forth.union(back)
+    sums = edges.groupBy("src").agg(F.sum("weight").alias("_sum"))
+    path = work_path(spark, "shares")
+    edges.join(sums, "src").select("src", "word", (F.col("weight") / F.col("_sum")).alias("share")).write.parquet(path)
+    shares = spark.read.parquet(path)
+    small = is_small(shares.select("src").distinct())
+
+    def passed(got: Column) -> Column:
+        return (F.lit(1 - damping) + F.lit(damping) * F.sum(got)).alias("rank")
+
+    ranks = shares.groupBy("word").agg(passed(F.col("share")))
+    for _ in range(rounds - 1):
+        given = ranks.withColumnRenamed("word", "src")
+        joined = shares.join(F.broadcast(given) if small else given, "src")
+        ranks = joined.groupBy("word").agg(passed(F.col("share") * F.col("rank")))
+    return ranks
