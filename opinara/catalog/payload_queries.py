@@ -224,7 +224,7 @@ def epoch_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT page_id AS video_id, replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&copy;', '©'), '&quot;', '\"'), '&middot;', '·'), '&amp;', '&') AS video_title FROM pages"
+    f"""SELECT page_id AS video_id, {B.unescape_sql("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS video_title FROM pages"""
 )
 def thread_titles(spark: SparkSession, folder: str) -> DataFrame:
     """Titles out of whole pages with their entities decoded."""

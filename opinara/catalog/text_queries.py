@@ -123,7 +123,7 @@ def stored_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT page_id, replace(replace(replace(replace(html, '&copy;', '©'), '&quot;', '\"'), '&middot;', '·'), '&amp;', '&') AS html FROM pages"
+    f"SELECT page_id, {B.unescape_sql('html')} AS html FROM pages"
 )
 def html_unescape(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "pages").select("page_id", segment.html_unescape("html").alias("html"))
