@@ -69,6 +69,18 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select(*others, F.explode(F.array(value)).alias(name))
 
 
+def exploded(df: DataFrame, keep: Iterable[str], value: Column, *names: str) -> DataFrame:
+    """Rows of a computed array next to the kept columns: its entries under one
+    name, or positions and entries under two.
+
+    ``explode`` of an expression makes the optimizer test the size of the array
+    first, which computes it twice; here it is computed once.
+    """
+    held = computed_once(df, "_array", value)
+    expand = F.explode if len(names) == 1 else F.posexplode
+    return held.select(*keep, expand("_array").alias(*names))
+
+
 def handle_missing(
     df: DataFrame, required: Iterable[str] = (), defaults: Mapping[str, object] | None = None
 ) -> DataFrame:

@@ -17,14 +17,14 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import patterns as P
 from ..session import work_path
-from .columns import computed_once
+from .columns import computed_once, exploded
 from .membership import is_small, with_weight, without_words
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens", by: Iterable[str] = ()) -> DataFrame:
     """``(by, word, n)``: trimmed lower-case tokens of two characters or more."""
     by = list(by)
-    rows = df.select(*by, F.explode(tokens).alias("_token"))
+    rows = exploded(df, by, F.col(tokens), "_token")
     words = rows.select(*by, F.lower(F.trim("_token")).alias("_word"))
     counts = words.groupBy(*by, "_word").agg(F.count(F.lit(1)).alias("n"))
     named = computed_once(counts, "word", F.col("_word")).drop("_word")
@@ -121,7 +121,7 @@ def neighbour_pairs(df: DataFrame, window: int = 5, tokens: str = "tokens") -> D
         )
 
     pairs = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(window - 1)), shifted))
-    rows = df.select(F.explode(pairs).alias("_p")).select("_p.one", "_p.two").where("one <> two")
+    rows = exploded(df, [], pairs, "_p").select("_p.one", "_p.two").where("one <> two")
     return rows.groupBy("one", "two").agg(F.count(F.lit(1)).alias("weight"))
 
 

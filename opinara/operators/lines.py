@@ -20,6 +20,7 @@ from ..functions import fixed_values as V
 from ..functions import lines as L
 from ..functions import patterns as P
 from ..functions.text import normalize_space
+from .columns import exploded
 from .rows import cap_per_group, cap_total, first_rows
 
 TIME_REACH = 5
@@ -36,7 +37,7 @@ def body_lines(body: Column) -> Column:
 
 def page_lines(pages: DataFrame, page: str, body: str) -> DataFrame:
     """``(page, line_no, line)`` with kept lines numbered from 0."""
-    return pages.select(F.col(page), F.posexplode(body_lines(F.col(body))).alias("line_no", "line"))
+    return exploded(pages, [page], body_lines(F.col(body)), "line_no", "line")
 
 
 def renumber_lines(lines: DataFrame, page: str, line_no: str, line: str) -> DataFrame:
@@ -157,7 +158,7 @@ def candidates_from_lines(
         L.looks_like_name(line, rules) & L.is_comment_text(F.col("_next"), rules),
         _candidate(2, line, F.col("_next"), F.col("_time_2"), F.col("_count_2")),
     )
-    found = ahead.select(page, "line_no", F.explode(F.array_compact(F.array(one, two))).alias("_c"))
+    found = exploded(ahead, [page, "line_no"], F.array_compact(F.array(one, two)), "_c")
     return found.select(page, "line_no", *[F.col("_c")[f].alias(f) for f in CANDIDATE_FIELDS])
 
 
@@ -217,8 +218,8 @@ def candidates_from_bodies(
     pages: DataFrame, page: str, body: str, rules: L.LineRules = L.DEFAULT
 ) -> DataFrame:
     """Comment candidates of whole page bodies, read row by row without a shuffle."""
-    found = F.explode(_in_row_candidates(body_lines(F.col(body)), rules)).alias("_f")
-    return pages.select(page, found).select(
+    found = exploded(pages, [page], _in_row_candidates(body_lines(F.col(body)), rules), "_f")
+    return found.select(
         page,
         F.col("_f.line_no").alias("line_no"),
         *[F.col("_f.c")[f].alias(f) for f in CANDIDATE_FIELDS],

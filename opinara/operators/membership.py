@@ -11,6 +11,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .columns import exploded
+
 BROADCAST_ROWS = 1_000_000
 INLINE_ROWS = 20_000
 
@@ -102,5 +104,5 @@ def text_matches_words(
     ``words`` is the array of candidate words of a row. The semi join runs
     before the distinct, so only hits are shuffled when the list is broadcast.
     """
-    exploded = texts.select(key, F.explode(words).alias("word"))
-    return exploded.join(hinted(listed), "word", "left_semi").select(key).distinct()
+    spoken = exploded(texts, [key], words, "word")
+    return spoken.join(hinted(listed), "word", "left_semi").select(key).distinct()

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import lexicon_words, vector_terms
 from ..session import work_path
+from .columns import computed_once, exploded
 
 MAX_TERMS = 5000
 CLUSTERS = 6
@@ -27,7 +28,7 @@ SEED = 42
 
 def term_counts(docs: DataFrame, terms: str = "terms") -> DataFrame:
     """``(term, total)`` over the corpus, counted with map-side combine."""
-    return docs.select(F.explode(terms).alias("term")).groupBy("term").agg(
+    return exploded(docs, [], F.col(terms), "term").groupBy("term").agg(
         F.count(F.lit(1)).alias("total")
     )
 
@@ -45,9 +46,9 @@ def tfidf_rows(docs: DataFrame, key: str, tokens: str = "tokens", size: int = MA
     a stored table. The term table is bounded by ``size`` and broadcast. Rows
     are placed by key once; counts and lengths per key then need no shuffle.
     """
-    terms = docs.select(key, vector_terms(F.col(tokens)).alias("terms"))
+    terms = computed_once(docs.select(key, tokens), "terms", vector_terms(F.col(tokens)))
     every = terms.select(F.explode("terms").alias("term"))
-    once = terms.select(F.explode(F.array_distinct("terms")).alias("term"))
+    once = exploded(terms, [], F.array_distinct("terms"), "term")
     totals = every.groupBy("term").agg(F.count(F.lit(1)).alias("_total"))
     kept = totals.orderBy(F.desc("_total"), "term").limit(size).select("term")
     frequencies = once.join(F.broadcast(kept), "term").groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
@@ -72,7 +73,7 @@ def tfidf_vectors(
     docs: DataFrame, tokens: str = "tokens", size: int = MAX_TERMS
 ) -> tuple[DataFrame, list[str]]:
     """Adds unit-length ``features``; the second result names the dimensions."""
-    prepared = docs.withColumn("terms", vector_terms(F.col(tokens)))
+    prepared = computed_once(docs, "terms", vector_terms(F.col(tokens)))
     names = vocabulary(prepared, size)
     counts = CountVectorizerModel.from_vocabulary(names, inputCol="terms", outputCol="_tf")
     counted = counts.transform(prepared)
@@ -138,7 +139,7 @@ def word_counts_pipeline(vocabulary_words: list[str], classifier) -> Pipeline:
 
 
 def with_words(rows: DataFrame, text: str = "text") -> DataFrame:
-    return rows.withColumn("words", lexicon_words(F.col(text)))
+    return computed_once(rows, "words", lexicon_words(F.col(text)))
 
 
 def train_sentiment(

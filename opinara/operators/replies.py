@@ -12,6 +12,7 @@ from ..functions import fixed_values as V
 from ..functions.ids import epoch_text, first_truthy, item_comment_id, none_if_blank, none_if_zero
 from ..functions.lines import is_widget_comment
 from ..functions.text import detect_language_simple, normalize_space
+from .columns import exploded
 from .rows import cap_per_group, cap_total, first_rows, only_new, prefer_source
 
 _BODY = (
@@ -41,7 +42,7 @@ def in_order(replies: Column) -> Column:
 def flatten_replies(payloads: DataFrame, replies: str = "replies") -> DataFrame:
     """One row per reply, its place in the payload as ``pos``."""
     others = [c for c in payloads.columns if c != replies]
-    return payloads.select(*others, F.posexplode(in_order(F.col(replies))).alias("pos", "reply"))
+    return exploded(payloads, others, in_order(F.col(replies)), "pos", "reply")
 
 
 def reply_comments(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring as S
 from ..functions.text import distinct_words, lexicon_words
 from .aggregates import value_shares
+from .columns import exploded
 from .membership import hinted
 
 
@@ -41,7 +42,7 @@ def polarity_by_join(texts: DataFrame, key: str, text: str, lexicon: DataFrame)
     Rows without a lexicon word are absent: their polarity is 0.
     """
     words = (
-        texts.select(key, F.explode(lexicon_words(F.col(text))).alias("word"))
+        exploded(texts, [key], lexicon_words(F.col(text)), "word")
         .groupBy(key, "word")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -52,7 +53,7 @@ def polarity_by_join(texts: DataFrame, key: str, text: str, lexicon: DataFrame)
 
 def hits_by_join(texts: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
     """``(key, hits)``: distinct lexicon words per row for a word table of any size."""
-    words = texts.select(key, F.explode(distinct_words(F.col(text))).alias("word"))
+    words = exploded(texts, [key], distinct_words(F.col(text)), "word")
     return words.join(hinted(lexicon.select("word")), "word", "left_semi").groupBy(key).agg(
         F.count(F.lit(1)).alias("hits")
     )
