@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions.text import lexicon_words
 from ..operators import keywords as K
+from ..operators.columns import computed_once
 from ..operators.membership import (
     normalize_words,
     union_words,
@@ -76,7 +77,7 @@ def token_frequency(spark: SparkSession, folder: str) -> DataFrame:
 )
 def stopword_anti_join(spark: SparkSession, folder: str) -> DataFrame:
     """Word counts of whole texts without stop words and entity words."""
-    rows = B.documents(spark, folder).select(lexicon_words(F.col("content")).alias("tokens"))
+    rows = computed_once(B.documents(spark, folder), "tokens", lexicon_words(F.col("content")))
     counts = without_words(K.token_counts(rows), "word", V.STOPWORDS_EN)
     return without_words(counts, "word", B.ENTITY)
 
@@ -89,7 +90,7 @@ def stopword_anti_join(spark: SparkSession, folder: str) -> DataFrame:
 def table_anti_join(spark: SparkSession, folder: str) -> DataFrame:
     """Word counts without the words of a second table, whose size is measured first."""
     listed = table(spark, folder, "benchmark").select(F.explode(F.split("text", " ")).alias("w"))
-    rows = B.documents(spark, folder).select(lexicon_words(F.col("content")).alias("tokens"))
+    rows = computed_once(B.documents(spark, folder), "tokens", lexicon_words(F.col("content")))
     return without_words(K.token_counts(rows), "word", normalize_words(listed, "w"))
 
 

@@ -9,8 +9,9 @@ from ..functions import fixed_values as V
 from ..functions import scoring as S
 from ..functions.ids import lenient_time
 from ..functions.lexicon_match import contains_any_word
-from ..functions.text import distinct_words
+from ..functions.text import distinct_words, lexicon_words
 from ..operators import aggregates as A
+from ..operators.columns import computed_once
 from ..operators.findings import generate, headline as headline_row
 from ..operators.membership import text_matches_words, word_frame
 from ..operators.sentiment import hits_by_join, polarity_by_join
@@ -46,7 +47,7 @@ MOOD = f"WITH {WORDS}, m AS (SELECT row_id, avg(p) AS polarity FROM w JOIN (VALU
 
 @query(MOOD + "SELECT doc_id AS row_id, CASE WHEN abs(polarity) > 1e-9 THEN round(polarity, 9) ELSE 0 END AS polarity FROM documents LEFT JOIN m ON doc_id = row_id")
 def lexicon_polarity(spark: SparkSession, folder: str) -> DataFrame:
-    mood = S.lexicon_polarity(F.col("content"), B.POLARITY)
+    mood = S.lexicon_polarity(lexicon_words(F.col("content")), B.POLARITY)
     return B.documents(spark, folder).select("row_id", _no_minus_zero(mood).alias("polarity"))
 
 
@@ -85,9 +86,10 @@ def word_table_matches(spark: SparkSession, folder: str) -> DataFrame:
     f"WITH {B.SCORED} SELECT row_id, round(e2, 9) AS score FROM scored"
 )
 def sentiment_en(spark: SparkSession, folder: str) -> DataFrame:
-    body = F.col("cleaned_text")
-    score = S.english_score(body, S.lexicon_polarity(body, B.POLARITY), B.POSITIVE, B.NEGATIVE)
-    return B.corpus(spark, folder).select("row_id", F.round(score, 9).alias("score"))
+    words = F.col("words")
+    score = S.english_score(words, S.lexicon_polarity(words, B.POLARITY), B.POSITIVE, B.NEGATIVE)
+    rows = computed_once(B.corpus(spark, folder), "words", lexicon_words(F.col("cleaned_text")))
+    return rows.select("row_id", F.round(score, 9).alias("score"))
 
 
 @query(f"WITH {B.SCORED} SELECT row_id, round(z3, 9) AS score FROM scored")
@@ -157,7 +159,7 @@ def best_worst_platform(spark: SparkSession, folder: str) -> DataFrame:
 DAYS = "days AS (SELECT ts::DATE AS date, avg(sentiment_score) AS avg_score FROM scored GROUP BY 1)"
 
 
-@query(f"WITH {B.EVENTS}, {DAYS} SELECT strftime(date, '%Y-%m-%d') AS date, round_even(avg_score, 4) AS avg_score FROM days")
+@query(f"WITH {B.EVENTS}, {DAYS} SELECT strftime(date, '%Y-%m-%d') AS date, printf('%.4f', avg_score)::DOUBLE AS avg_score FROM days")
 def daily_trend(spark: SparkSession, folder: str) -> DataFrame:
     rows = R.daily_trend(B.scored_events(spark, folder))
     return rows.withColumn("date", F.col("date").cast("string"))
@@ -178,14 +180,14 @@ def half_period_trend(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT event_type AS value, count(*) AS count, round_even(count(*) / (SELECT count(*) FROM events) * 100, 1) AS share "
+    "SELECT event_type AS value, count(*) AS count, printf('%.1f', count(*) / (SELECT count(*) FROM events) * 100)::DOUBLE AS share "
     "FROM events GROUP BY event_type ORDER BY count DESC, value LIMIT 1"
 )
 def top_platform_share(spark: SparkSession, folder: str) -> DataFrame:
     return A.top_value(B.scored_events(spark, folder), "platform")
 
 
-@query(f"WITH {B.EVENTS} SELECT round_even(avg(sentiment_score), 4) AS mean FROM scored")
+@query(f"WITH {B.EVENTS} SELECT printf('%.4f', avg(sentiment_score))::DOUBLE AS mean FROM scored")
 def overall_mean(spark: SparkSession, folder: str) -> DataFrame:
     return B.scored_events(spark, folder).agg(F.bround(F.avg("sentiment_score"), 4).alias("mean"))
 
@@ -219,10 +221,10 @@ def totals(spark: SparkSession, folder: str) -> DataFrame:
 
 
 HEADLINE = (
-    f"b AS (SELECT {BUCKETS}, count(DISTINCT platform) AS platforms, round_even(avg(sentiment_score), 3) AS avg_score FROM scored), "
+    f"b AS (SELECT {BUCKETS}, count(DISTINCT platform) AS platforms, printf('%.3f', avg(sentiment_score))::DOUBLE AS avg_score FROM scored), "
     "seen AS (SELECT platform, min(row_id) AS seen_at FROM scored GROUP BY platform ORDER BY seen_at, platform LIMIT 3) "
-    "SELECT total, platforms, positive, negative, neutral, round_even(positive / total * 100, 1) AS positive_pct, "
-    "round_even(negative / total * 100, 1) AS negative_pct, avg_score, (SELECT string_agg(platform, '、' ORDER BY seen_at, platform) FROM seen) AS first_platforms FROM b"
+    "SELECT total, platforms, positive, negative, neutral, printf('%.1f', positive / total * 100)::DOUBLE AS positive_pct, "
+    "printf('%.1f', negative / total * 100)::DOUBLE AS negative_pct, avg_score, (SELECT string_agg(platform, '、' ORDER BY seen_at, platform) FROM seen) AS first_platforms FROM b"
 )
 
 
@@ -244,8 +246,8 @@ def _fill_sql(key: str, **values: str) -> str:
 
 
 FINDINGS = (
-    f"{RATIO}, {HALVES}, b AS (SELECT {BUCKETS}, round_even(avg(sentiment_score), 4) AS mean FROM scored), "
-    "p AS (SELECT *, round_even(positive / total * 100, 1) AS pp, round_even(negative / total * 100, 1) AS np, round_even(neutral / total * 100, 1) AS up FROM b), "
+    f"{RATIO}, {HALVES}, b AS (SELECT {BUCKETS}, printf('%.4f', avg(sentiment_score))::DOUBLE AS mean FROM scored), "
+    "p AS (SELECT *, printf('%.1f', positive / total * 100)::DOUBLE AS pp, printf('%.1f', negative / total * 100)::DOUBLE AS np, printf('%.1f', neutral / total * 100)::DOUBLE AS up FROM b), "
     f"e AS (SELECT {BEST}), "
     "tp AS (SELECT platform, count(*) AS c FROM scored GROUP BY platform ORDER BY c DESC, platform LIMIT 1), "
     "tt AS (SELECT topic, count(*) AS c FROM topics GROUP BY topic ORDER BY c DESC, topic LIMIT 1), n AS (SELECT count(*) AS n FROM topics), "
@@ -265,9 +267,9 @@ FINDINGS = (
         trend=f"CASE WHEN second_half > first_half + 0.03 THEN '{V.TREND_UP}' WHEN second_half < first_half - 0.03 THEN '{V.TREND_DOWN}' ELSE '{V.TREND_FLAT}' END",
     )
     + " FROM halves UNION ALL SELECT 5, 'top_platform', "
-    + _fill_sql("top_platform", platform="platform", count="c", share="round_even(c / total * 100, 1)")
+    + _fill_sql("top_platform", platform="platform", count="c", share="printf('%.1f', c / total * 100)::DOUBLE")
     + " FROM tp, p UNION ALL SELECT 6, 'top_topic', "
-    + _fill_sql("top_topic", topic="topic", count="c", share="round_even(c / n * 100, 1)")
+    + _fill_sql("top_topic", topic="topic", count="c", share="printf('%.1f', c / n * 100)::DOUBLE")
     + " FROM tt, n UNION ALL SELECT 7, 'closing', "
     + _fill_sql("closing")
     + ") SELECT * FROM parts"

@@ -52,7 +52,7 @@ def topic_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     f"WITH {B.SCORED}, {RULED} SELECT rule_topic AS value, count(*) AS count, "
-    "round_even(count(*) / (SELECT count(*) FROM topics) * 100, 1) AS share FROM topics GROUP BY rule_topic ORDER BY count DESC, value LIMIT 1"
+    "printf('%.1f', count(*) / (SELECT count(*) FROM topics) * 100)::DOUBLE AS share FROM topics GROUP BY rule_topic ORDER BY count DESC, value LIMIT 1"
 )
 def top_topic_share(spark: SparkSession, folder: str) -> DataFrame:
     return A.top_value(ruled(spark, folder), "rule_topic")

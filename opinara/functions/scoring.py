@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as V
-from .text import detect_language, distinct_words, lexicon_words
+from .text import detect_language
 
 
 def clip_unit(score: Column) -> Column:
@@ -16,7 +16,7 @@ def clip_unit(score: Column) -> Column:
 
 
 def lexicon_hits(words: Column, lexicon: Iterable[str]) -> Column:
-    """Distinct lexicon words among the words of a row."""
+    """Distinct lexicon words among the words of a row (the intersection has no repeats)."""
     return F.size(F.array_intersect(words, F.array(*[F.lit(w) for w in sorted(set(lexicon))])))
 
 
@@ -28,10 +28,10 @@ def contains_any(text: Column, words: Iterable[str]) -> Column:
     return found
 
 
-def lexicon_polarity(text: Column, lexicon: Mapping[str, float]) -> Column:
-    """Mean polarity of the lexicon words in a text, 0 without any."""
+def lexicon_polarity(words: Column, lexicon: Mapping[str, float]) -> Column:
+    """Mean polarity of the lexicon words among the words of a row, 0 without any."""
     values = F.create_map(*[F.lit(x) for word, value in sorted(lexicon.items()) for x in (word, float(value))])
-    hits = F.filter(lexicon_words(text), lambda w: w.isin(sorted(lexicon)))
+    hits = F.filter(words, lambda w: w.isin(sorted(lexicon)))
     mean = F.aggregate(
         F.transform(hits, lambda w: values[w]),
         F.struct(F.lit(0.0).alias("sum"), F.lit(0).alias("n")),
@@ -42,13 +42,12 @@ def lexicon_polarity(text: Column, lexicon: Mapping[str, float]) -> Column:
 
 
 def english_score(
-    text: Column,
+    words: Column,
     polarity: Column,
     positive: Iterable[str] = V.POSITIVE_EN,
     negative: Iterable[str] = V.NEGATIVE_EN,
 ) -> Column:
     """Polarity on a 0..1 scale, moved up and then down by lexicon hits."""
-    words = distinct_words(text)
     base = F.coalesce((polarity + 1) / 2, F.lit(0.5))
     up = F.least(F.lit(0.2), lexicon_hits(words, positive) * F.lit(0.06))
     down = F.least(F.lit(0.25), lexicon_hits(words, negative) * F.lit(0.06))
@@ -73,13 +72,20 @@ def substring_score(
     return clip_unit(damped)
 
 
+def known_language(text: Column, language: Column) -> Column:
+    """The language, detected where it is given as ``auto``."""
+    return F.when(language == "auto", detect_language(text)).otherwise(language)
+
+
 def sentiment_score(
-    text: Column, language: Column, polarity: Column, base: Column, **lexicons
+    text: Column, words: Column, language: Column, polarity: Column, base: Column, **lexicons
 ) -> Column:
-    """Score of a comment: null and very short texts are neutral."""
-    language = F.when(language == "auto", detect_language(text)).otherwise(language)
+    """Score of a comment: null and very short texts are neutral.
+
+    ``words`` are the Latin words of the text, read only for English.
+    """
     english = english_score(
-        text,
+        words,
         polarity,
         lexicons.get("positive_en", V.POSITIVE_EN),
         lexicons.get("negative_en", V.NEGATIVE_EN),

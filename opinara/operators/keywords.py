@@ -22,9 +22,12 @@ from .membership import is_small, with_weight, without_words
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens", by: Iterable[str] = ()) -> DataFrame:
-    """``(by, word, n)``: trimmed lower-case tokens of two characters or more."""
+    """``(by, word, n)``: trimmed lower-case tokens of two characters or more.
+
+    ``tokens`` should be a stored column or one made by ``computed_once``.
+    """
     by = list(by)
-    rows = exploded(df, by, F.col(tokens), "_token")
+    rows = df.select(*by, F.explode(tokens).alias("_token"))
     words = rows.select(*by, F.lower(F.trim("_token")).alias("_word"))
     counts = words.groupBy(*by, "_word").agg(F.count(F.lit(1)).alias("n"))
     named = computed_once(counts, "word", F.col("_word")).drop("_word")

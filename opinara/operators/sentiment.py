@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring as S
 from ..functions.text import distinct_words, lexicon_words
 from .aggregates import value_shares
-from .columns import exploded
+from .columns import computed_once, exploded
 from .membership import hinted
 
 
@@ -27,11 +27,14 @@ def scored(
     ``polarity`` is a small word lexicon or a column made by another model;
     ``base`` is the score of texts that are not English (0.5 without a model).
     """
-    body = F.col(text)
-    mood = polarity if isinstance(polarity, Column) else S.lexicon_polarity(body, polarity)
+    body, spoken = F.col(text), S.known_language(F.col(text), F.col(language))
+    english = F.when(spoken == "en", lexicon_words(body))
+    rows = computed_once(comments, "_words", F.coalesce(english, F.array().cast("array<string>")))
+    words = F.col("_words")
+    mood = polarity if isinstance(polarity, Column) else S.lexicon_polarity(words, polarity)
     base = F.lit(0.5) if base is None else base
-    score = S.sentiment_score(body, F.col(language), mood, base, **lexicons)
-    rows = comments.withColumn("sentiment_score", score)
+    score = S.sentiment_score(body, words, spoken, mood, base, **lexicons)
+    rows = computed_once(rows, "sentiment_score", score).drop("_words")
     return rows.withColumn("sentiment", S.sentiment_label(F.col("sentiment_score")))
 
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.functions import scoring as S
+from opinara.functions.text import lexicon_words
 from opinara.functions.lexicon_match import contains_any_word
 from opinara.operators import membership as M
 from opinara.operators.sentiment import hits_by_join, polarity_by_join, scored
@@ -21,7 +22,7 @@ def test_english_score(spark):
         ("Peace-ful warlike", 0.0, 0.5),
     ]
     rows = spark.createDataFrame([(t, p, e) for t, p, e in cases], "t string, p double, e double")
-    out = rows.select("e", S.english_score(F.col("t"), F.col("p")).alias("s")).collect()
+    out = rows.select("e", S.english_score(lexicon_words(F.col("t")), F.col("p")).alias("s")).collect()
     for r in out:
         assert r["s"] == pytest.approx(r["e"], abs=1e-12)
 
@@ -56,7 +57,9 @@ def test_guard_language_and_label(spark):
         ("支持 ok go", "other", 0.7),
     ]
     rows = spark.createDataFrame(cases, "t string, l string, e double")
-    out = rows.select("e", S.sentiment_score(F.col("t"), F.col("l"), F.lit(0.0), F.lit(0.5)).alias("s"))
+    out = rows.select("e", S.sentiment_score(
+        F.col("t"), lexicon_words(F.col("t")), S.known_language(F.col("t"), F.col("l")), F.lit(0.0), F.lit(0.5)
+    ).alias("s"))
     for r in out.collect():
         assert r["s"] == pytest.approx(r["e"], abs=1e-12)
     labels = spark.createDataFrame([(0.7,), (0.71,), (0.3,), (0.29,), (0.5 + 0.2,)], "s double")
@@ -77,7 +80,7 @@ def test_scores_stay_in_range(spark):
 def test_polarity_and_hits_by_join_equal_the_row_form(spark):
     lexicon = {"good": 0.7, "bad": -0.6, "so": 0.1}
     rows = spark.createDataFrame([(1, "good good bad"), (2, "so so"), (3, "nothing"), (4, "")], "k int, t string")
-    row_form = {r["k"]: r["p"] for r in rows.select("k", S.lexicon_polarity(F.col("t"), lexicon).alias("p")).collect()}
+    row_form = {r["k"]: r["p"] for r in rows.select("k", S.lexicon_polarity(lexicon_words(F.col("t")), lexicon).alias("p")).collect()}
     table = spark.createDataFrame(list(lexicon.items()), "word string, polarity double")
     joined = {r["k"]: r["polarity"] for r in polarity_by_join(rows, "k", "t", table).collect()}
     assert row_form[1] == pytest.approx((0.7 * 2 - 0.6) / 3) and row_form[3] == 0.0
