@@ -12,7 +12,7 @@ from ..functions import fixed_values as V
 from ..functions.ids import epoch_text, first_truthy, item_comment_id, none_if_blank, none_if_zero
 from ..functions.lines import is_widget_comment
 from ..functions.text import detect_language_simple, normalize_space
-from .columns import exploded
+from .columns import computed_once, exploded
 from .rows import cap_per_group, cap_total, first_rows, only_new, prefer_source
 
 _BODY = (
@@ -49,7 +49,7 @@ def reply_comments(
     flat: DataFrame, crawl_time: str | Column, platform: str = "bilibili", zone: str = "UTC"
 ) -> DataFrame:
     """Comment columns from single replies; texts under two characters are left out."""
-    content = normalize_space(F.col("reply.content.message"))
+    content = F.col("content")
     own_id = first_truthy(
         none_if_blank(F.col("reply.rpid_str")),
         none_if_zero(F.col("reply.rpid")),
@@ -58,12 +58,13 @@ def reply_comments(
     )
     stamp = F.lit(crawl_time) if isinstance(crawl_time, str) else crawl_time
     place = [c for c in flat.columns if c != "reply"]
-    return flat.where(F.length(content) >= 2).select(
+    rows = computed_once(flat, "content", normalize_space(F.col("reply.content.message")))
+    return rows.where(F.length(content) >= 2).select(
         *place,
         F.lit(platform).alias("platform"),
         item_comment_id(F.col("item_id"), own_id, platform).alias("comment_id"),
         normalize_space(F.col("reply.member.uname")).alias("user_name"),
-        content.alias("content"),
+        "content",
         epoch_text(F.col("reply.ctime"), zone).alias("publish_time"),
         F.coalesce(F.col("reply.like"), F.lit(0).cast("long")).alias("like_count"),
         detect_language_simple(content).alias("language"),
@@ -76,16 +77,17 @@ def page_text_comments(
     texts: DataFrame, crawl_time: str | Column, platform: str = "bilibili"
 ) -> DataFrame:
     """Comment columns from bare page texts: the digest of the text is the id."""
-    content = normalize_space(F.col("text"))
+    content = F.col("content")
     stamp = F.lit(crawl_time) if isinstance(crawl_time, str) else crawl_time
     place = [c for c in texts.columns if c != "text"]
     blank = F.lit("")
-    return texts.where(is_widget_comment(content)).select(
+    rows = computed_once(texts, "content", normalize_space(F.col("text")))
+    return rows.where(is_widget_comment(content)).select(
         *place,
         F.lit(platform).alias("platform"),
         item_comment_id(F.col("item_id"), F.md5(content), platform).alias("comment_id"),
         blank.alias("user_name"),
-        content.alias("content"),
+        "content",
         blank.alias("publish_time"),
         F.lit(0).cast("long").alias("like_count"),
         detect_language_simple(content).alias("language"),
@@ -112,6 +114,7 @@ def landed_comments(
     Duplicates go before the caps, the preferred source per item after them.
     """
     rows = reduce(lambda a, b: a.unionByName(b), sources)
-    chosen = prefer_source(item_comments(rows, limit), ["keyword_order", "item_id"], "source_rank")
+    capped = item_comments(rows, limit)
+    chosen = prefer_source(capped, ["keyword_order", "item_id"], "source_rank", bounded=True)
     fresh = first_rows(only_new(chosen, known, "comment_id"), ["comment_id"], RUN_ORDER)
     return cap_total(fresh, RUN_ORDER, total)

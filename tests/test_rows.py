@@ -35,6 +35,15 @@ def test_cap_per_group(spark):
     assert out.groupBy("key").count().agg(F.max("count")).first()[0] == 5
 
 
+def test_long_caps_are_salted(spark, monkeypatch):
+    monkeypatch.setattr(R, "EARLY_LIMIT", 3)
+    short = R.cap_per_group(skewed(spark), ["key"], [F.desc("row_id")], 3)
+    long = R.cap_per_group(skewed(spark), ["key"], [F.desc("row_id")], 40)
+    assert "_salt" in plan(long) and "_salt" not in plan(short)
+    hot = sorted(r["row_id"] for r in long.where("key = 'hot'").collect())
+    assert hot == list(range(2997, 2997 - 120, -3))[::-1]
+
+
 def test_cap_total_is_a_top_n(spark):
     out = R.cap_total(skewed(spark), [F.desc("row_id")], 4)
     assert [r["row_id"] for r in out.collect()] == [2999, 2998, 2997, 2996]
@@ -51,8 +60,9 @@ def test_only_new(spark):
 
 def test_prefer_source(spark):
     rows = spark.createDataFrame([("x", 2, "a"), ("x", 3, "b"), ("x", 2, "c"), ("y", 3, "d")], "k string, rank int, v string")
-    out = R.prefer_source(rows, ["k"], "rank").select("v")
-    assert sorted(r["v"] for r in out.collect()) == ["a", "c", "d"]
+    for bounded in (False, True):
+        out = R.prefer_source(rows, ["k"], "rank", bounded).select("v")
+        assert sorted(r["v"] for r in out.collect()) == ["a", "c", "d"]
 
 
 def posts(spark, rows):
