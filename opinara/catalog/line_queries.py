@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids
 from ..functions import lines as L
+from ..functions.text import normalize_space
 from ..operators import lines as O
 from ..operators import selection as X
 from ..operators.columns import computed_once
@@ -136,7 +137,7 @@ ROLE_LINES = f"said AS (SELECT conv_id, turn, role, {B.space_sql('text')} AS lin
 )
 def colon_split(spark: SparkSession, folder: str) -> DataFrame:
     said = F.concat_ws(": ", F.col("role"), F.col("text"))
-    pair = L.split_at_colon(L.normalize_space(said), RULES)
+    pair = L.split_at_colon(normalize_space(said), RULES)
     return table(spark, folder, "conversations").select(
         "conv_id", "turn", pair["user"].alias("user"), pair["content"].alias("content")
     )
@@ -237,7 +238,7 @@ def line_comments(spark: SparkSession, folder: str) -> DataFrame:
 )
 def similar_to_post(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select(
-        "conv_id", "turn", L.normalize_space(F.col("text")).alias("content")
+        "conv_id", "turn", normalize_space(F.col("text")).alias("content")
     )
     posts = rows.where("turn = 0").select("conv_id", F.col("content").alias("post"))
     return rows.join(posts, "conv_id").select(
@@ -269,7 +270,7 @@ SCORES = f"s AS (SELECT *, {B.space_sql('text')} AS body FROM documents), scores
 
 @query(f"WITH {SCORES} SELECT doc_id, score FROM scores")
 def relevance_score(spark: SparkSession, folder: str) -> DataFrame:
-    shown = L.normalize_space(F.col("text")).alias("shown")
+    shown = normalize_space(F.col("text")).alias("shown")
     rows = table(spark, folder, "documents").select("doc_id", shown)
     return rows.select("doc_id", score(F.col("shown")).alias("score"))
 
@@ -281,7 +282,7 @@ RELEVANT = (
 
 @query(f"WITH {SCORES} SELECT doc_id FROM scores WHERE {RELEVANT}")
 def relevance_filter(spark: SparkSession, folder: str) -> DataFrame:
-    rows = computed_once(table(spark, folder, "documents"), "shown", L.normalize_space(F.col("text")))
+    rows = computed_once(table(spark, folder, "documents"), "shown", normalize_space(F.col("text")))
     return rows.where(relevant(F.col("shown"))).select("doc_id")
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import ids, segment, text
-from ..functions import fixed_values as V
 from ..operators import aggregates as A
 from ..operators.columns import handle_missing, split_rows, standardize
 from ..operators.membership import mapped_name

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from . import fixed_values as V
 from . import patterns as P
 from .ids import like_count
-from .text import normalize_space
 
 
 @dataclass(frozen=True)

@@ -126,7 +126,6 @@ def figures(df: DataFrame, time: str = "publish_time") -> DataFrame:
     series = F.collect_list(F.when(is_day, F.struct("date", mean.alias("avg_score"))))
     out = summary.agg(
         *[of_total(F.col(c)).alias(c) for c in ("total", "positive", "negative", "neutral")],
-        of_total(labelled).alias("labelled"),
         F.bround(of_total(mean), 4).alias("mean"),
         lowest(-ratio)["p"].alias("best"),
         lowest(ratio)["p"].alias("worst"),

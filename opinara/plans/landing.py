@@ -69,6 +69,14 @@ def body_run(pages: DataFrame, posts: DataFrame, crawl_time: str | Column, rules
     return line_run(O.candidates_from_bodies(pages, "post_url", "body", rules), posts, crawl_time, **options)
 
 
-def post_run(candidates: DataFrame, **options) -> DataFrame:
-    """Posts to open, best first, each address once, with their place in the run."""
-    return chosen_posts(scored_posts(candidates), **options)
+def post_run(candidates: DataFrame, limit: int = V.MAX_POSTS_PER_KEYWORD) -> DataFrame:
+    """Posts to open, each address once: the ``posts`` of a line run.
+
+    Comments are kept under the mobile address; ``post_order`` is the place of
+    the post in the run.
+    """
+    chosen = chosen_posts(scored_posts(candidates), limit)
+    place = F.struct("keyword_order", "page", (-F.col("score")).alias("score"), "pos")
+    return chosen.select(
+        F.col("mobile_url").alias("post_url"), place.alias("post_order"), "keyword", "post_content", "score"
+    )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from opinara.functions import lines as L
 from opinara.operators import lines as O
-from opinara.plans.landing import body_run, line_run
+from opinara.plans.landing import body_run, line_run, post_run
 
 TIMES = {
     "06月08日 09:19": True, "6月8日 9:19": True, "25-6-8 9:19": True, "2025-06-08": True, "5分钟前": True,
@@ -149,6 +149,24 @@ def test_run_over_pages(spark):
     assert [(r["user_name"], r["content"]) for r in few] == [("原文说了很多话在这里", "张三：支持和平解决问题")]
 
 
+def test_chosen_posts_feed_a_line_run(spark):
+    hit, more = "美国空袭伊朗", "美国空袭伊朗导弹"
+    found = spark.createDataFrame(
+        [(0, "k", 1, 0, "//weibo.com/1/A", hit), (0, "k", 1, 1, "//weibo.com/1/B", more)],
+        "keyword_order int, keyword string, page int, pos long, post_url string, post_content string",
+    )
+    body = spark.createDataFrame(
+        [("https://m.weibo.cn/detail/A", "张三：支持和平解决"), ("https://m.weibo.cn/detail/B", "李四：支持和平解决\n王五：反对战争吧")],
+        "post_url string, body string",
+    )
+    rows = body_run(body, post_run(found), "t").collect()
+    # B scores higher; its first line also passes as a name above the second
+    assert [(r["user_name"], r["content"]) for r in rows] == [
+        ("李四", "支持和平解决"), ("李四：支持和平解决", "王五：反对战争吧"), ("王五", "反对战争吧"),
+    ]
+    assert {r["source_url"] for r in rows} == {"https://m.weibo.cn/detail/B"}
+
+
 def test_like_count_reach(spark):
     def body(gap):
         return "张三：支持和平解决\n" + "甲乙\n" * (gap - 1) + "88"
