@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, mixing
+from . import bpe, exact_dedup, minhash, mixing
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -92,3 +92,34 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+NEAR = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM worded),
+items AS (SELECT doc_id, unnest(s) AS item FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (len(x.s) + len(y.s) - c)),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+named AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN named USING (doc_id)
+"""
+
+
+@query(NEAR)
+def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate component of every document."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
