@@ -24,8 +24,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose encoding a worker remembers; when full, it starts anew.
-CACHED_WORDS = 400_000
+#: Words whose encoding a worker remembers; when full, it starts anew and looks up the older ones once more.
+CACHED_WORDS = 120_000
 #: Tokens after which a batch of results is handed on.
 BATCH_TOKENS = 1 << 21
 
@@ -68,6 +68,7 @@ class Vocabulary:
         self.special = special
         self.cuts = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merged(self, word: bytes) -> tuple[int, ...]:
         """Ids of one word: merges by rank, the leftmost first among equal ranks."""
@@ -76,26 +77,32 @@ class Vocabulary:
         count = len(ids)
         merges = self.merges
         before, after = list(range(-1, count - 1)), [*range(1, count), -1]
+        # An entry is rank and position as one number; the pair at that place tells whether it is stale.
         queue = [
-            (found >> 32, i, ids[i], ids[i + 1], found & 0xFFFFFFFF)
+            found >> 32 << 32 | i
             for i in range(count - 1)
             if (found := merges.get(ids[i] << 32 | ids[i + 1])) is not None
         ]
         heapq.heapify(queue)
         while queue:
-            _, i, left, right, new = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            i = entry & 0xFFFFFFFF
             j = after[i]
-            if ids[i] != left or j < 0 or ids[j] != right:
-                continue  # stale: a neighbour was merged since
-            ids[i], ids[j] = new, -1
+            if j < 0 or ids[i] < 0:
+                continue  # stale: merged into its neighbour since
+            found = merges.get(ids[i] << 32 | ids[j])
+            if found is None or found >> 32 != entry >> 32:
+                continue  # stale: one of the two was merged since
+            ids[i] = new = found & 0xFFFFFFFF
+            ids[j] = -1
             k = after[i] = after[j]
             if k >= 0:
                 before[k] = i
                 if (found := merges.get(new << 32 | ids[k])) is not None:
-                    heapq.heappush(queue, (found >> 32, i, new, ids[k], found & 0xFFFFFFFF))
+                    heapq.heappush(queue, found >> 32 << 32 | i)
             h = before[i]
             if h >= 0 and (found := merges.get(ids[h] << 32 | new)) is not None:
-                heapq.heappush(queue, (found >> 32, h, ids[h], new, found & 0xFFFFFFFF))
+                heapq.heappush(queue, found >> 32 << 32 | h)
         return tuple(i for i in ids if i >= 0)
 
     def plain(self, text: str, out: list[int]) -> None:
@@ -104,11 +111,12 @@ class Vocabulary:
         for word in self.words.findall(lowered(unicodedata.normalize("NFC", text))):
             ids = known.get(word)
             if ids is None:
-                if len(known) >= CACHED_WORDS:
-                    known.clear()
-                ids = self.merged(word.encode())
+                ids = self.older.get(word) or self.merged(word.encode())
                 if len(word) <= 64:
                     known[word] = ids
+                    if len(known) >= CACHED_WORDS:
+                        self.older, self.known = known, {}
+                        known = self.known
             out += ids
 
     def encode(self, text: str) -> list[int]:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import id_or_last, id_or_null, salted_lookup, stored
 from .components import components
+from .text_hashes import BLOCK_BYTES, FACTORS, LOWER, block_word_hashes, mixed, word_hashes
 
 #: Words of a shingle and the least similarity of a link, in percent.
 SHINGLE = 3
@@ -38,64 +39,16 @@ PER_LONG = 30
 LONGS = HASHES // PER_LONG
 #: Estimates this far below the threshold are still confirmed: about six standard errors.
 SLACK = 0.23
-#: Text bytes worked on at once, and shingles hashed at once.
-BLOCK_BYTES = 1 << 20
+#: Shingles hashed at once.
 BLOCK_SHINGLES = 1 << 16
 #: Parts into which the rows of one class or component are dealt.
 SALTS = 64
 
-_RNG = np.random.default_rng(20)
-BYTE_CODES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-STEP = np.uint64(0x9E3779B97F4A7C15)
-FACTORS = _RNG.integers(1, 1 << 63, 8, dtype=np.uint64) | np.uint64(1)
+_RNG = np.random.default_rng(21)
 TIMES = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
 PLUS = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32)
 BAND_FACTORS = _RNG.integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
 BAND_SEEDS = _RNG.integers(1, 1 << 63, BANDS, dtype=np.uint64)
-SPACES = np.zeros(256, bool)
-SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[0x41:0x5B] += 0x20
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finisher that lets each bit depend on all."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def block_word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and 64-bit hashes of the words of UTF-8 bytes, with A-Z in lower case."""
-    inside = ~SPACES[data]
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
-    starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
-        return starts, np.empty(0, np.uint64)
-    lengths = ends - starts
-    letters = LOWER[data[inside]]
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    place = np.arange(len(letters)) - np.repeat(first, lengths)
-    powers = np.cumprod(np.full(int(lengths.max()), STEP, np.uint64))
-    sums = np.add.reduceat(BYTE_CODES[letters] * powers[place], first)
-    return starts, mixed(sums + lengths.astype(np.uint64) * FACTORS[0])
-
-
-def word_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of the words of one text, in blocks that end at white space."""
-    if len(data) <= BLOCK_BYTES:
-        return block_word_hashes(data)[1]
-    found, at = [], 0
-    while at < len(data):
-        end = min(at + BLOCK_BYTES, len(data))
-        while end < len(data):  # on to the next white space
-            gap = np.flatnonzero(SPACES[data[end : end + BLOCK_BYTES]])
-            end = end + int(gap[0]) if len(gap) else min(end + BLOCK_BYTES, len(data))
-            if len(gap):
-                break
-        found.append(block_word_hashes(data[at:end])[1])
-        at = end
-    return np.concatenate(found)
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
@@ -120,9 +73,9 @@ def text_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
             held += len(raw[-1]) + 1
         start += len(raw)
         if len(raw) == 1:
-            yield shingles(word_hashes(np.frombuffer(raw[0], np.uint8)), width)
+            yield shingles(word_hashes(np.frombuffer(raw[0], np.uint8), LOWER), width)
             continue
-        at, words = block_word_hashes(np.frombuffer(b"\n".join(raw), np.uint8))
+        at, words = block_word_hashes(np.frombuffer(b"\n".join(raw), np.uint8), LOWER)
         ends = np.searchsorted(at, np.cumsum([len(x) + 1 for x in raw]))
         for a, b in zip(np.concatenate([[0], ends[:-1]]), ends, strict=True):
             yield shingles(words[a:b], width)

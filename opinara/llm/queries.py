@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, mixing
+from . import bpe, exact_dedup, minhash, mixing, quality
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -123,3 +123,9 @@ FROM sets JOIN named USING (doc_id)
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate component of every document."""
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every document."""
+    return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
