@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, minhash, mixing, quality
+from . import bpe, caps, exact_dedup, minhash, mixing, pii, quality
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -129,3 +129,104 @@ def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     """The quality score of every document."""
     return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def _spans_sql(kind: str, rank: int, pattern: str, check: str, score: str, bounded: bool = False, least: float = 0.0) -> str:
+    """Spans of one kind for DuckDB: a row per match, with the gaps on both sides."""
+    edges = "AND NOT regexp_matches(right(before, 1) || left(after, 1), '[A-Za-z0-9]')" if bounded else ""
+    return rf"""
+  SELECT doc_id, {rank} AS rank, '{kind}' AS kind, start, start + length(m) AS stop, {score} AS score FROM (
+    SELECT doc_id, m, before, after, lower(right(before, 40) || ' ' || left(after, 40)) AS near,
+           regexp_replace(m, '[ +().-]', '', 'g') AS digits,
+           CAST(sum(length(before) + length(m)) OVER (PARTITION BY r ORDER BY i) - length(m) AS BIGINT) AS start
+    FROM (SELECT doc_id, r, unnest(found) AS m, unnest(between[:len(found)]) AS before, unnest(between[2:]) AS after,
+                 unnest(range(len(found))) AS i
+          FROM (SELECT doc_id, r, regexp_extract_all(text, '{pattern}') AS found, string_split_regex(text, '{pattern}') AS between FROM texts)))
+  WHERE ({check}) {edges} AND {score} >= {least}"""
+
+
+_LUHN = r"""length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(length(digits)), lambda i:
+    CASE WHEN i % 2 = 0 THEN CAST(substr(digits, length(digits) - i, 1) AS INT)
+         ELSE [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][1 + CAST(substr(digits, length(digits) - i, 1) AS INT)] END)) % 10 = 0"""
+_MOD_97 = r"""list_reduce(list_prepend(0::BIGINT, list_transform(
+    string_split(substr(replace(m, ' ', ''), 5) || left(replace(m, ' ', ''), 4), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda s, c: CASE WHEN c < 65 THEN (s * 10 + c - 48) % 97 ELSE (s * 100 + c - 55) % 97 END) = 1"""
+
+
+def _score(base: float, words: str) -> str:
+    return f"round(least({base}::DOUBLE + CASE WHEN regexp_matches(near, '{words}') THEN 0.3::DOUBLE ELSE 0 END, 1), 2)"
+
+
+_TEL = "phone|call|tel|mobile|fax"
+PII = (
+    "WITH texts AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS r FROM documents), spans AS ("
+    + " UNION ALL ".join(
+        (
+            _spans_sql("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", _score(0.7, "mail|contact|write")),
+            _spans_sql(
+                "ip", 1, r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+                "list_max(list_transform(string_split(m, '.'), lambda p: CAST(p AS HUGEINT))) <= 255", _score(0.5, "ip|host|server|address"),
+            ),
+            _spans_sql("card", 2, r"[0-9](?:[\x20-]?[0-9])+", _LUHN, _score(0.8, "card|visa|credit|payment|pay")),
+            _spans_sql("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", "length(digits) BETWEEN 9 AND 15", _score(0.5, _TEL)),
+            _spans_sql("iban", 4, r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", _MOD_97, _score(0.7, "iban|account|bank|transfer|konto"), True, 0.6),
+            _spans_sql(
+                "ssn", 5, "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+                "NOT regexp_matches(m, '^(000|666|9)') AND substr(m, 5, 2) <> '00' AND substr(m, 8, 4) <> '0000'",
+                _score(0.3, "ssn|social|security"), True, 0.6,
+            ),
+            _spans_sql("tel", 6, r"[0-9]{3}[\x20.-][0-9]{3}[\x20.-][0-9]{4}", "true", _score(0.3, _TEL), True, 0.6),
+        )
+    )
+    + """),
+joined AS (
+  SELECT doc_id, count(*) FILTER (rank = 0) AS n_email, count(*) FILTER (rank = 1) AS n_ip,
+         count(*) FILTER (rank = 2) AS n_card, count(*) FILTER (rank = 3) AS n_phone,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 4) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans,
+         max(score) AS top_score
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+       coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, top_score
+FROM documents LEFT JOIN joined USING (doc_id)"""
+)
+
+
+@query(PII)
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document."""
+    rows = pii.personal_data(table(spark, folder, "documents"))
+    of_kind = lambda rank: F.filter("found", lambda x: x["rank"] == rank)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{kind.name}") for k, kind in enumerate(pii.KINDS) if kind.base]
+    base = F.filter("found", lambda x: x["rank"] < len(counts))
+    return rows.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.span_list(base), 256).alias("base_sha256"),
+        pii.span_list(F.col("found")).alias("spans"),
+        F.array_max(F.transform("found", lambda x: x["score"])).alias("top_score"),
+    )
+
+
+CAPS = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reach r JOIN links l ON r.other = l.a),
+named AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY 1),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM named LEFT JOIN counted USING (vec_id)
+"""
+
+
+@query(CAPS)
+def op4_caps(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and component of every vector."""
+    return caps.near_vectors(table(spark, folder, "embeddings"))
