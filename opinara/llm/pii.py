@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .arrays import once, sums_before
+
 #: Characters looked at on each side of a span for context words.
 CONTEXT = 40
 #: Points for a passed checksum and for a context word.
@@ -26,11 +28,6 @@ LEAST_SCORE = 0.6
 Check = Callable[[Column], Column]
 
 
-def once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` of a value that is computed once, also where ``use`` names it many times or in a loop."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def digits_of(text: Column) -> Column:
     return F.translate(text, " +().-", "")
 
@@ -114,31 +111,6 @@ KINDS = (
 )
 
 
-def starts(steps: Column, gaps: Column) -> Column:
-    """Start of each match: all gaps and matches before it, and its own gap.
-
-    Sums go over blocks of about the square root of their number, so a text with many
-    matches doesn't cost their square.
-    """
-    add = lambda s, x: s + x
-    total = lambda array, first, number: F.aggregate(F.slice(array, first, number), F.lit(0), add)
-
-    def with_width(width: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / width).cast("int")), lambda b: total(steps, b * width + 1, width))
-
-        def with_blocks(sums: Column) -> Column:
-            def with_before(before: Column) -> Column:
-                block = lambda i: F.floor(i / width).cast("int")
-                inside = lambda i: total(steps, block(i) * width + 1, i % width)
-                return F.transform(gaps, lambda gap, i: F.get(before, block(i)) + inside(i) + gap)
-
-            return once(F.transform(sums, lambda _, b: total(sums, F.lit(1), b)), with_before)
-
-        return once(blocks, with_blocks)
-
-    return once(F.ceil(F.sqrt(F.size(steps))).cast("int"), with_width)
-
-
 SPAN = "array<struct<start: int, rank: int, kind: string, stop: int, score: double>>"
 
 
@@ -153,7 +125,7 @@ def spans_of(text: Column, kind: Kind, rank: int) -> Column:
         count = F.size(found)
         gaps = F.transform(F.slice(between, F.lit(1), count), lambda x: F.length(x))
         steps = F.zip_with(found, gaps, lambda m, g: F.length(m) + g)
-        return once(gaps, lambda g: once(steps, lambda s: starts(s, g)))
+        return once(gaps, lambda g: once(sums_before(steps), lambda before: F.zip_with(before, g, lambda b, gap: b + gap)))
 
     def judged(found: Column, between: Column, at: Column) -> Column:
         def span(match: Column, i: Column) -> Column:

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, caps, exact_dedup, minhash, mixing, pii, quality
+from ..session import work_path
+from . import bpe, caps, chat, exact_dedup, minhash, mixing, pii, quality, warc
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -230,3 +231,63 @@ FROM named LEFT JOIN counted USING (vec_id)
 def op4_caps(spark: SparkSession, folder: str) -> DataFrame:
     """Links and component of every vector."""
     return caps.near_vectors(table(spark, folder, "embeddings"))
+
+
+WARC = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+
+@query(WARC)
+def op5_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC files and read back."""
+    out = work_path(spark, "warc")
+    warc.write_warc(table(spark, folder, "pages"), out)
+    return warc.read_warc(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+CHAT = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(turn, 9223372036854775807) AS turn, replace(coalesce(text, ''), '<|', '<\|') AS text,
+         CASE WHEN trim(regexp_replace(coalesce(role, ''), '[\s<|>=]+', ' ', 'g')) = '' THEN 'unknown'
+              ELSE trim(regexp_replace(role, '[\s<|>=]+', ' ', 'g')) END AS speaker
+  FROM conversations),
+placed AS (
+  SELECT *, coalesce(sum(length(text) + 32) OVER (PARTITION BY conv_id ORDER BY turn, speaker, text
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 1000000 AS part FROM turns),
+people AS (SELECT DISTINCT conv_id, speaker AS assistant FROM turns WHERE speaker <> 'system'),
+drawn AS (
+  SELECT t.conv_id, p.assistant, t.part, t.turn, t.speaker, t.text, t.speaker = p.assistant AS mine,
+         '<|im_start|>' || CASE WHEN t.speaker = p.assistant THEN 'assistant' WHEN t.speaker = 'system' THEN 'system'
+                                ELSE 'user name=' || t.speaker END || chr(10) AS head, t.text || '<|im_end|>' AS body
+  FROM placed t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+spans AS (
+  SELECT *, sum(length(head) + length(body) + 1) OVER (PARTITION BY conv_id, assistant, part ORDER BY turn, speaker, text
+    ROWS UNBOUNDED PRECEDING) - length(body) - 1 AS start FROM drawn)
+SELECT conv_id, assistant, CAST(part AS BIGINT) AS part, count(*) AS n_turns,
+       sha256(string_agg(head || body || chr(10), '' ORDER BY turn, speaker, text)) AS text_sha256,
+       CAST(coalesce(sum(length(body)) FILTER (mine), 0) AS BIGINT) AS n_masked,
+       coalesce(string_agg(CAST(start AS BIGINT) || ':' || CAST(start + length(body) AS BIGINT), ',' ORDER BY turn, speaker, text) FILTER (mine), '') AS masks
+FROM spans GROUP BY conv_id, assistant, part
+"""
+
+
+@query(CHAT)
+def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation from the perspective of each participant."""
+    rows = chat.rotated(table(spark, folder, "conversations"))
+    return rows.select(
+        "conv_id",
+        "assistant",
+        "part",
+        "n_turns",
+        F.sha2("text", 256).alias("text_sha256"),
+        F.aggregate("masks", F.lit(0), lambda n, m: n + m["stop"] - m["start"]).cast("long").alias("n_masked"),
+        F.array_join(F.transform("masks", lambda m: F.concat_ws(":", m["start"], m["stop"])), ",").alias("masks"),
+    )
