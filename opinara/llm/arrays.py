@@ -23,7 +23,7 @@ def sums_before(numbers: Column) -> Column:
     total = lambda array, first, number: F.aggregate(F.slice(array, first, number), F.lit(0), add)
 
     def with_width(width: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / width).cast("int")), lambda b: total(numbers, b * width + 1, width))
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((F.size(numbers) - 1) / width).cast("int"), F.lit(0))), lambda b: total(numbers, b * width + 1, width))
 
         def with_blocks(sums: Column) -> Column:
             def with_before(before: Column) -> Column:

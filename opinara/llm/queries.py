@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from . import bpe, caps, chat, exact_dedup, minhash, mixing, pii, quality, warc
+from . import bpe, caps, chat, exact_dedup, minhash, mixing, packing, pii, quality, warc
 from .registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
 
+#: The rank file that texts are packed with, and the pattern that splits them.
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 MIXING = r"""
@@ -291,3 +293,13 @@ def op1_chat(spark: SparkSession, folder: str) -> DataFrame:
         F.aggregate("masks", F.lit(0), lambda n, m: n + m["stop"] - m["start"]).cast("long").alias("n_masked"),
         F.array_join(F.transform("masks", lambda m: F.concat_ws(":", m["start"], m["stop"])), ",").alias("masks"),
     )
+
+
+@query()
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document packed into rows, and read back from the files."""
+    out = work_path(spark, "packed")
+    packing.write_packed(table(spark, folder, "documents"), out, RANKS, PATTERN)
+    rows = packing.read_packed(spark, out)
+    digest = F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256)
+    return rows.select("doc_id", "n_tokens", "n_pieces", digest.alias("ids_sha256"))
