@@ -27,9 +27,9 @@ from .components import components
 from .text_hashes import BLOCK_BYTES, FACTORS, LOWER, block_word_hashes, mixed, word_hashes
 
 #: Words of a shingle and the least similarity of a link, in percent.
-SHINGLE = 3
-PERCENT = 85
-#: Bands of rows; a link of similarity 0.85 is missed by all bands with probability 8e-7.
+SHINGLE = 5
+PERCENT = 80
+#: Bands of rows; a link of similarity 0.8 is missed by all bands with probability 7e-5, one of 0.85 with 8e-7.
 BANDS = 24
 ROWS = 5
 HASHES = BANDS * ROWS
@@ -37,7 +37,7 @@ HASHES = BANDS * ROWS
 BITS = 2
 PER_LONG = 30
 LONGS = HASHES // PER_LONG
-#: Estimates this far below the threshold are still confirmed: about six standard errors.
+#: Estimates this far below the threshold are still confirmed: about five standard errors.
 SLACK = 0.23
 #: Shingles hashed at once.
 BLOCK_SHINGLES = 1 << 16

@@ -125,7 +125,7 @@ FROM sets JOIN named USING (doc_id)
 @query(NEAR)
 def op10_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """The near-duplicate component of every document."""
-    return minhash.near_duplicates(table(spark, folder, "documents"))
+    return minhash.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
 
 
 @query()
