@@ -18,10 +18,8 @@ from ..operators.sentiment import scored
 from ..plans.clean import STOPWORDS, clean_corpus, with_clean_text
 from ..session import work_path
 from ..sources.sinks import overwrite_table
-from ..sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
-TEXT_TABLES = ("documents", "pages", "conversations")
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
@@ -37,9 +35,8 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the data folder; text tables of few files are dealt out to all cores."""
-    rows = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(rows) if name in TEXT_TABLES else rows
+    """A table of the data folder."""
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 # Lexicons made of words that occur in the test tables.

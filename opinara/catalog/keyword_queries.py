@@ -132,7 +132,7 @@ def word_by_platform(spark: SparkSession, folder: str) -> DataFrame:
     return K.word_frequency_by(B.corpus(spark, folder), ["platform"])
 
 
-ROUNDS = 4
+ROUNDS = 10
 RANK_ROUNDS = ", ".join(
     f"r{i} AS (SELECT word AS src, 0.15::DOUBLE + 0.85::DOUBLE * sum(w * r / s) AS r FROM edges JOIN r{i - 1} USING (src) JOIN sums USING (src) GROUP BY word)"
     for i in range(1, ROUNDS + 1)

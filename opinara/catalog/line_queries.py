@@ -12,7 +12,7 @@ from ..operators import lines as O
 from ..operators import selection as X
 from ..operators.columns import computed_once
 from ..operators.rows import cap_per_group, cap_total, first_rows, only_new, prefer_source
-from ..plans.landing import line_run
+from ..plans.landing import body_run, line_run, post_run
 from . import base as B
 from .base import query, table
 
@@ -211,7 +211,7 @@ CONV_LINES = (
 @query(
     f"WITH {CONV_LINES}, {candidate_sql('lines', 'conv_id', True)}, "
     f"posts AS (SELECT conv_id, {B.space_sql('text')} AS post FROM conversations WHERE turn = 0), "
-    f"own AS (SELECT f.* FROM found f LEFT JOIN posts USING (conv_id) WHERE post IS NULL OR NOT {similar_sql('content', 'post')}), "
+    f"own AS (SELECT f.* FROM found f JOIN posts USING (conv_id) WHERE NOT {similar_sql('content', 'post')}), "
     f"{kept_sql('conv_id', 3, 'conv_id')} "
     "SELECT 'forum' AS platform, 'k' AS keyword, 'weibo_comment_' || md5(conv_id::VARCHAR || content) AS comment_id, user_name, content, publish_time, "
     "0::BIGINT AS like_count, 'mixed' AS language, conv_id::VARCHAR AS source_url, '2025-05-01 00:00:00' AS crawl_time "
@@ -387,6 +387,16 @@ def video_links(spark: SparkSession, folder: str) -> DataFrame:
 )
 def search_targets(spark: SparkSession, folder: str) -> DataFrame:
     """Search addresses for the sources of the documents as keywords."""
+    words = table(spark, folder, "documents").select(F.concat("source", F.lit(" à/b")).alias("keyword")).distinct()
+    rows = X.paged_targets(words, 3)
+    return rows.select(F.regexp_replace("keyword", " à/b$", "").alias("keyword"), "page", "url")
+
+
+@query(
+    "SELECT DISTINCT source AS keyword, page::INT AS page, 'https://search.bilibili.com/video?keyword=' || url_encode(source) || '&page=' || page AS url "
+    "FROM documents, range(1, 3) r(page)"
+)
+def video_search_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """Video search addresses for the sources of the documents."""
     words = table(spark, folder, "documents").select(F.col("source").alias("keyword")).distinct()
-    paged = words.withColumn("page", F.explode(F.sequence(F.lit(1), F.lit(3))))
-    return paged.withColumn("url", ids.post_search_url(F.concat("keyword", F.lit(" à/b")), F.col("page")))
+    return X.paged_targets(words, 2, ids.video_search_url)

@@ -117,7 +117,7 @@ def kmeans_clusters(spark: SparkSession, folder: str) -> DataFrame:
 BAYES = (
     "lab AS (SELECT l.doc_id, l.quality AS c, d.text FROM labels l JOIN documents d USING (doc_id)), "
     f"lw AS (SELECT doc_id, c, unnest({B.lexicon_words_sql('text')}) AS word FROM lab), "
-    "vocab AS (SELECT word, count(*) AS n FROM lw GROUP BY word ORDER BY n DESC, word LIMIT 5000), "
+    "vocab AS (SELECT word, count(*) AS n FROM lw GROUP BY word), "
     "classes AS (SELECT c, count(*) AS n FROM lab GROUP BY c), "
     "prior AS (SELECT c, ln(n + 1) - ln((SELECT sum(n) FROM classes) + (SELECT count(*) FROM classes)) AS p FROM classes), "
     "cw AS (SELECT c, word, count(*) AS n FROM lw JOIN vocab USING (word) GROUP BY c, word), "
@@ -141,7 +141,7 @@ def nb_sentiment(spark: SparkSession, folder: str) -> DataFrame:
     """Naive Bayes trained on all labels scores all documents."""
     rows = labelled(spark, folder).withColumn("label", F.col("quality"))
     model = M.train_sentiment(rows)
-    out = M.positive_probability(model, table(spark, folder, "documents").select("doc_id", "text"))
+    out = M.positive_probability(model, table(spark, folder, "documents").select("doc_id", "text"), key="doc_id")
     return out.select("doc_id", F.round("base_score", 6).alias("base_score"))
 
 
@@ -151,12 +151,12 @@ def nb_sentiment(spark: SparkSession, folder: str) -> DataFrame:
 def supervised_topics(spark: SparkSession, folder: str) -> DataFrame:
     """Supervised label with confidence for all documents."""
     model = M.train_topics(labelled(spark, folder), "text", "quality")
-    out = M.predicted_topics(model, table(spark, folder, "documents").select("doc_id", "text"), "text")
+    out = M.predicted_topics(model, table(spark, folder, "documents").select("doc_id", "text"), "text", "doc_id")
     return out.select("doc_id", "topic_label", F.round("topic_confidence", 6).alias("topic_confidence"))
 
 
 @query()
 def supervised_topics_svm(spark: SparkSession, folder: str) -> DataFrame:
     model = M.train_topics(labelled(spark, folder), "text", "quality", kind="svm")
-    out = M.predicted_topics(model, table(spark, folder, "documents").select("doc_id", "text"), "text")
+    out = M.predicted_topics(model, table(spark, folder, "documents").select("doc_id", "text"), "text", "doc_id")
     return out.select("doc_id", "topic_label")

@@ -127,6 +127,8 @@ def _candidate(form: int, user: Column, content: Column, time: Column, count: Co
     )
 
 
+#: Parts into which the candidates of a page are dealt for the join with its post.
+PAGE_SALTS = 16
 CANDIDATE_FIELDS = ("form", "user_name", "content", "publish_time", "like_count")
 
 
@@ -226,23 +228,38 @@ def candidates_from_bodies(
     )
 
 
+def first_texts(candidates: DataFrame, page: str) -> DataFrame:
+    """First appearance of each text on a page; repeats are cut before the shuffle."""
+    return first_rows(candidates, [page, "content"], ["line_no", "form"])
+
+
 def not_from_post(candidates: DataFrame, posts: DataFrame, page: str, post_content: str) -> DataFrame:
     """Candidates with the other columns of their post, without repeats of its text.
 
-    Posts have one row per address; the hot side of the join is split by
-    adaptive execution.
+    Posts have one row per address; candidates of a page without a post go. A page's
+    candidates are dealt over ``PAGE_SALTS`` parts by their text and its post is copied to each part,
+    so a page that holds a third of all candidates is not one task.
     """
-    texts = posts.withColumn("_post", normalize_space(F.col(post_content))).drop(post_content)
-    joined = candidates.join(texts, page)
-    return joined.where(~L.repeats_post(F.col("content"), F.col("_post"))).drop("_post")
+    part = F.pmod(F.xxhash64("content"), F.lit(PAGE_SALTS)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(PAGE_SALTS - 1))).alias("_part")
+    texts = posts.withColumn("_post", normalize_space(F.col(post_content))).drop(post_content).select("*", copies)
+    joined = candidates.withColumn("_part", part).join(texts, [page, "_part"])
+    return joined.where(~L.repeats_post(F.col("content"), F.col("_post"))).drop("_post", "_part")
+
+
+def first_of_page(candidates: DataFrame, page: str, limit: int = V.MAX_COMMENTS_PER_ITEM) -> DataFrame:
+    """The first ``limit`` rows of each page."""
+    return cap_per_group(candidates, [page], ["line_no", "form"], limit)
 
 
 def page_comments(
-    candidates: DataFrame, page: str, limit: int = V.MAX_COMMENTS_PER_ITEM
+    candidates: DataFrame, posts: DataFrame, page: str, post_content: str, limit: int = V.MAX_COMMENTS_PER_ITEM
 ) -> DataFrame:
-    """First appearance of each text on a page, then the first ``limit`` of the page."""
-    once = first_rows(candidates, [page, "content"], ["line_no", "form"])
-    return cap_per_group(once, [page], ["line_no", "form"], limit)
+    """The first ``limit`` texts of a page, each once, that don't repeat its post.
+
+    Whether a text repeats the post depends on the text alone, so repeats go first.
+    """
+    return first_of_page(not_from_post(first_texts(candidates, page), posts, page, post_content), page, limit)
 
 
 def run_comments(

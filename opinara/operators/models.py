@@ -1,17 +1,19 @@
-"""Term vectors, clusters and trained classifiers on Spark ML.
+"""Term vectors, clusters and trained classifiers.
 
-The vocabulary is the only thing brought to the driver; its size is a parameter.
+Of the corpus only the vocabulary of the term vectors comes to the driver, and its
+size is a parameter; the words of naive Bayes stay in a table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, NaiveBayes, OneVsRest
+from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, IDF, Normalizer
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, HashingTF, IDF, Normalizer
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ MAX_TERMS = 5000
 CLUSTERS = 6
 STARTS = 10
 SEED = 42
+HASHED_WORDS = 1 << 18
 
 
 def term_counts(docs: DataFrame, terms: str = "terms") -> DataFrame:
@@ -42,25 +45,55 @@ def vocabulary(docs: DataFrame, size: int = MAX_TERMS, terms: str = "terms") ->
 def tfidf_rows(docs: DataFrame, key: str, tokens: str = "tokens", size: int = MAX_TERMS) -> DataFrame:
     """``(key, term, tf, tfidf)`` with smoothed idf plus one and unit row length.
 
-    ``docs`` is read for the statistics and again for the rows, so it should be
-    a stored table. The term table is bounded by ``size`` and broadcast. Rows
-    are placed by key once; counts and lengths per key then need no shuffle.
+    Terms are counted inside their row; one aggregation gives total and document frequency of
+    every term. ``docs`` is read for that and again for the rows, whose weights
+    and lengths need no shuffle: the term table is bounded by ``size``, broadcast
+    as sorted arrays and searched by halving. ``docs`` should be a stored table.
     """
-    terms = computed_once(docs.select(key, tokens), "terms", vector_terms(F.col(tokens)))
-    every = terms.select(F.explode("terms").alias("term"))
-    once = exploded(terms, [], F.array_distinct("terms"), "term")
-    totals = every.groupBy("term").agg(F.count(F.lit(1)).alias("_total"))
-    kept = totals.orderBy(F.desc("_total"), "term").limit(size).select("term")
-    frequencies = once.join(F.broadcast(kept), "term").groupBy("term").agg(F.count(F.lit(1)).alias("_df"))
+    terms = computed_once(docs.select(key, tokens), "_counts", term_histogram(vector_terms(F.col(tokens))))
+    counted = terms.select(F.inline("_counts"))
+    totals = counted.groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
+    kept = totals.orderBy(F.desc("_total"), "term").limit(size)
     n = docs.agg(F.count(F.lit(1))).scalar()
-    weights = frequencies.select("term", (F.log((n + 1) / (F.col("_df") + 1)) + 1).alias("_idf"))
-    placed = terms.repartition(key).select(key, F.explode("terms").alias("term"))
-    counts = placed.join(F.broadcast(weights), "term").groupBy(key, "term", "_idf").agg(
-        F.count(F.lit(1)).alias("tf")
+    idf = F.log((n + 1) / (F.col("_df") + 1)) + 1
+    entries = F.sort_array(F.collect_list(F.struct("term", idf.alias("idf"))))
+    weights = kept.agg(entries.alias("_entries")).select(
+        F.transform("_entries", lambda e: e["term"]).alias("_terms"), F.transform("_entries", lambda e: e["idf"]).alias("_idfs")
     )
-    weighted = counts.withColumn("_w", F.col("tf") * F.col("_idf"))
-    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
-    return weighted.select(key, "term", "tf", (F.col("_w") / length).alias("tfidf"))
+    placed = F.transform("_counts", lambda t: F.struct(t["term"].alias("term"), t["tf"].alias("tf"), place_in("_terms", t["term"], size).alias("at")))
+    known = F.filter(placed, lambda t: F.get("_terms", t["at"]) == t["term"])
+    weighted = F.transform(known, lambda t: F.struct(t["term"], t["tf"], (t["tf"] * F.get("_idfs", t["at"])).alias("w")))
+    rows = computed_once(terms.crossJoin(F.broadcast(weights)).drop(tokens), "_weighted", weighted)
+    length = F.sqrt(F.aggregate("_weighted", F.lit(0.0), lambda total, t: total + t["w"] * t["w"]))
+    return rows.select(key, length.alias("_length"), F.inline("_weighted")).select(
+        key, "term", "tf", (F.col("w") / F.col("_length")).alias("tfidf")
+    )
+
+
+def place_in(sorted_words: str, word: Column, size: int) -> Column:
+    """Where ``word`` is in a sorted array of at most ``size`` entries, or the entry before it."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(size, 1).bit_length()))])
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.coalesce(F.get(sorted_words, at + step) <= word, F.lit(False)), at + step).otherwise(at)
+    )
+
+
+def term_histogram(terms: Column) -> Column:
+    """``array<struct<term, tf>>`` of an array of terms: sorted, then cut where a new term begins."""
+
+    def of_sorted(sorted_terms: Column) -> Column:
+        size = F.size(sorted_terms)
+        firsts = F.filter(
+            F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get(sorted_terms, i) != F.get(sorted_terms, i - 1))
+        )
+        ends = F.concat(F.slice(firsts, 2, F.greatest(F.size(firsts) - 1, F.lit(0))), F.array(size))
+        return F.zip_with(
+            firsts, ends, lambda a, b: F.struct(F.get(sorted_terms, a).alias("term"), (b - a).cast("long").alias("tf"))
+        )
+
+    nothing = F.array().cast("array<struct<term: string, tf: bigint>>")
+    counted = F.get(F.transform(F.array(F.array_sort(terms)), of_sorted), F.lit(0))
+    return F.when(F.size(terms) > 0, counted).otherwise(nothing)
 
 
 def top_terms_per_row(rows: DataFrame, key: str, n: int) -> DataFrame:
@@ -90,23 +123,24 @@ def cluster(
     size: int = MAX_TERMS,
     starts: int = STARTS,
     seed: int = SEED,
-    iterations: int = 20,
+    iterations: int = 300,
 ) -> tuple[DataFrame, KMeansModel, list[str]]:
     """K-means on the term vectors, the cheapest of several seeded starts.
 
-    The vectors are written to the shared folder first: the starts do not clean
+    Each start runs until its centroids rest or ``iterations`` are done. The vectors are written to the shared folder first: the starts do not clean
     and tokenize the texts again, and a lost executor costs no recomputation.
     """
     vectors, names = tfidf_vectors(docs, tokens, size)
     path = work_path(docs.sparkSession, "vectors")
     vectors.write.parquet(path)
-    kept = docs.sparkSession.read.parquet(path)
+    kept = docs.sparkSession.read.parquet(path).persist()
     best: KMeansModel | None = None
     for start in range(starts):
         model = KMeans(k=k, seed=seed + start, maxIter=iterations, predictionCol="cluster").fit(kept)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
-    return best.transform(kept), best, names
+    kept.unpersist()
+    return best.transform(docs.sparkSession.read.parquet(path)), best, names
 
 
 def cluster_sizes(clustered: DataFrame, k: int = CLUSTERS) -> DataFrame:
@@ -133,46 +167,89 @@ def cluster_terms(docs: DataFrame, model: KMeansModel, names: Sequence[str], n:
     return table.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
-def word_counts_pipeline(vocabulary_words: list[str], classifier) -> Pipeline:
-    counts = CountVectorizerModel.from_vocabulary(vocabulary_words, inputCol="words", outputCol="features")
-    return Pipeline(stages=[counts, classifier])
-
-
 def with_words(rows: DataFrame, text: str = "text") -> DataFrame:
     return computed_once(rows, "words", lexicon_words(F.col(text)))
 
 
-def train_sentiment(
-    labelled: DataFrame, text: str = "text", label: str = "label", size: int = MAX_TERMS
-) -> PipelineModel:
-    """Multinomial naive Bayes on word counts of a labelled table."""
-    rows = with_words(labelled, text).withColumn("label", F.col(label).cast("double"))
-    words = vocabulary(rows, size, "words")
-    return word_counts_pipeline(words, NaiveBayes(smoothing=1.0)).fit(rows)
-
-
-def positive_probability(model: PipelineModel, rows: DataFrame, text: str = "text") -> DataFrame:
-    """Adds ``base_score``, the probability of the positive class."""
-    out = model.transform(with_words(rows, text))
-    return out.withColumn("base_score", vector_to_array("probability")[1]).drop(
-        "words", "features", "rawPrediction", "probability", "prediction"
-    )
+@dataclass(frozen=True)
+class WordBayes:
+    """Multinomial naive Bayes with add-one smoothing over all words of the labelled rows.
 
+    ``weights`` holds a row per word with its log probability per class, in a table
+    of the shared folder: the vocabulary may be of any size. The classes are few and on the driver.
+    """
 
-def train_topics(labelled: DataFrame, text: str, label: str, kind: str = "nb", size: int = MAX_TERMS) -> PipelineModel:
-    """Supervised topics: naive Bayes or one-vs-rest linear SVM."""
+    classes: list[int]
+    priors: list[float]
+    weights: DataFrame
+
+    def log_scores(self, rows: DataFrame, key: str, text: str) -> DataFrame:
+        """``(key, _scores)``: unnormalized log probability per class, for the rows that hold a known word."""
+        spoken = with_words(rows.select(key, text), text).select(key, F.explode("words").alias("word"))
+        counts = spoken.groupBy(key, "word").agg(F.count(F.lit(1)).alias("_n"))
+        known = counts.join(self.weights, "word")
+        sums = [F.sum(F.col("_n") * F.col("_theta")[i]) for i in range(len(self.classes))]
+        return known.groupBy(key).agg(F.array(*sums).alias("_scores"))
+
+    def probabilities(self, rows: DataFrame, key: str, text: str) -> DataFrame:
+        """Adds ``_probability``, an array in the order of the classes; ``key`` must be unique."""
+        scores = rows.join(self.log_scores(rows, key, text), key, "left")
+        priors = F.array(*map(F.lit, self.priors))
+        totals = F.coalesce(F.zip_with("_scores", priors, lambda s, p: s + p), priors)
+        odds = lambda x: F.transform(x, lambda s: F.exp(s - F.array_max(x)))
+        shares = F.transform(odds(totals), lambda o: o / F.aggregate(odds(totals), F.lit(0.0), lambda a, b: a + b))
+        return scores.withColumn("_probability", shares).drop("_scores")
+
+
+def train_bayes(labelled: DataFrame, text: str = "text", label: str = "label") -> WordBayes:
+    """Word counts per class in one aggregation; no word is left out."""
+    spark = labelled.sparkSession
+    rows = with_words(labelled.select(F.col(label).cast("int").alias("_class"), text), text)
+    sizes = rows.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).orderBy("_class").collect()  # a row per class
+    classes = [r["_class"] for r in sizes]
+    every = sum(r["n"] for r in sizes)
+    priors = [math.log((r["n"] + 1) / (every + len(sizes))) for r in sizes]
+    spoken = rows.select("_class", F.explode("words").alias("word"))
+    counts = spoken.groupBy("word").agg(*[F.count_if(F.col("_class") == c).alias(f"_{i}") for i, c in enumerate(classes)])
+    path = work_path(spark, "word-counts")
+    counts.write.parquet(path)
+    counts = spark.read.parquet(path)
+    totals = counts.agg(F.count(F.lit(1)).alias("words"), *[F.sum(f"_{i}").alias(f"_{i}") for i in range(len(classes))]).first()
+    theta = F.array(*[F.log((F.col(f"_{i}") + 1) / F.lit(float((totals[f"_{i}"] or 0) + totals["words"]))) for i in range(len(classes))])
+    return WordBayes(classes, priors, counts.select("word", theta.alias("_theta")))
+
+
+def train_sentiment(labelled: DataFrame, text: str = "text", label: str = "label") -> WordBayes:
+    """Naive Bayes on the words of a labelled table; the larger label is the positive one."""
+    return train_bayes(labelled, text, label)
+
+
+def positive_probability(model: WordBayes, rows: DataFrame, text: str = "text", key: str = "row_id") -> DataFrame:
+    """Adds ``base_score``, the probability of the positive class; ``key`` must be unique."""
+    out = model.probabilities(rows, key, text)
+    return out.withColumn("base_score", F.element_at("_probability", -1)).drop("_probability")
+
+
+def train_topics(labelled: DataFrame, text: str, label: str, kind: str = "nb") -> WordBayes | PipelineModel:
+    """Supervised topics: naive Bayes or one-vs-rest linear SVM.
+
+    The SVM's words are hashed into ``HASHED_WORDS`` dimensions, so all words count and
+    the coefficients have a fixed size.
+    """
+    if kind == "nb":
+        return train_bayes(labelled, text, label)
     rows = with_words(labelled, text).withColumn("label", F.col(label).cast("double"))
-    words = vocabulary(rows, size, "words")
-    chosen = NaiveBayes(smoothing=1.0) if kind == "nb" else OneVsRest(classifier=LinearSVC(maxIter=10))
-    return word_counts_pipeline(words, chosen).fit(rows)
-
-
-def predicted_topics(model: PipelineModel, rows: DataFrame, text: str) -> DataFrame:
-    """Adds ``topic_label`` and, for models with probabilities, ``topic_confidence``."""
-    out = model.transform(with_words(rows, text))
-    confidence: Column = F.lit(None).cast("double")
-    if "probability" in out.columns:
-        confidence = F.array_max(vector_to_array("probability"))
-    return out.withColumn("topic_confidence", confidence).withColumn(
-        "topic_label", F.col("prediction").cast("int")
-    ).select(*rows.columns, "topic_label", "topic_confidence")
+    hashed = HashingTF(numFeatures=HASHED_WORDS, inputCol="words", outputCol="features")
+    return Pipeline(stages=[hashed, OneVsRest(classifier=LinearSVC())]).fit(rows)
+
+
+def predicted_topics(model: WordBayes | PipelineModel, rows: DataFrame, text: str, key: str = "row_id") -> DataFrame:
+    """Adds ``topic_label`` and, for models with probabilities, ``topic_confidence``; ``key`` must be unique."""
+    if isinstance(model, WordBayes):
+        out = model.probabilities(rows, key, text).withColumn("topic_confidence", F.array_max("_probability"))
+        best = F.array_position(F.col("_probability"), F.col("topic_confidence")).cast("int")
+        chosen = F.get(F.array(*map(F.lit, model.classes)), best - 1)
+    else:
+        out = model.transform(with_words(rows, text)).withColumn("topic_confidence", F.lit(None).cast("double"))
+        chosen = F.col("prediction").cast("int")
+    return out.withColumn("topic_label", chosen).select(*rows.columns, "topic_label", "topic_confidence")

@@ -23,7 +23,14 @@ def search_targets(
 ) -> DataFrame:
     """``(keyword_order, keyword, page, url)`` of every search page."""
     listed = spark.createDataFrame(list(enumerate(keywords)), "keyword_order int, keyword string")
-    paged = listed.withColumn("page", F.explode(F.sequence(F.lit(1), F.lit(pages))))
+    return paged_targets(listed, pages, url)
+
+
+def paged_targets(
+    keywords: DataFrame, pages: int = V.MAX_POST_SEARCH_PAGES, url: Callable[[Column, Column], Column] = post_search_url
+) -> DataFrame:
+    """Adds ``page`` and ``url`` of every search page to a keyword table."""
+    paged = keywords.withColumn("page", F.explode(F.sequence(F.lit(1), F.lit(pages))))
     return paged.withColumn("url", url(F.col("keyword"), F.col("page")))
 
 

@@ -11,6 +11,7 @@ from ..functions.ids import content_comment_id
 from ..operators import lines as O
 from ..operators.columns import to_comment_columns
 from ..operators.replies import flatten_replies, landed_comments, page_text_comments, reply_comments
+from ..operators.rows import first_rows
 from ..operators.selection import chosen_posts, scored_posts
 
 
@@ -41,11 +42,12 @@ def line_run(
 ) -> DataFrame:
     """Comment rows of a run over pages from their candidates.
 
-    ``posts`` holds address, ``post_order``, ``keyword`` and ``post_content``.
+    ``posts`` holds address, ``post_order``, ``keyword`` and ``post_content``, one
+    row per address. Candidates of pages without a post are not landed: a run opens only
+    the pages of its posts.
     """
     known = posts.select(page, "post_order", "keyword", "post_content")
-    own = O.not_from_post(candidates, known, page, "post_content")
-    rows = O.run_comments(O.page_comments(own, page, limit), "post_order", total)
+    rows = O.run_comments(O.page_comments(candidates, known, page, "post_content", limit), "post_order", total)
     stamp = F.lit(crawl_time) if isinstance(crawl_time, str) else crawl_time
     user = F.when(F.col("user_name") == "", "unknown").otherwise(F.col("user_name"))
     return to_comment_columns(
@@ -69,14 +71,15 @@ def body_run(pages: DataFrame, posts: DataFrame, crawl_time: str | Column, rules
     return line_run(O.candidates_from_bodies(pages, "post_url", "body", rules), posts, crawl_time, **options)
 
 
-def post_run(candidates: DataFrame, limit: int = V.MAX_POSTS_PER_KEYWORD) -> DataFrame:
+def post_run(candidates: DataFrame, limit: int = V.MAX_POSTS_PER_KEYWORD, **scoring) -> DataFrame:
     """Posts to open, each address once: the ``posts`` of a line run.
 
     Comments are kept under the mobile address; ``post_order`` is the place of
-    the post in the run.
+    the post in the run. Of posts that share a mobile address the first of the run is opened.
     """
-    chosen = chosen_posts(scored_posts(candidates), limit)
-    place = F.struct("keyword_order", "page", (-F.col("score")).alias("score"), "pos")
-    return chosen.select(
+    chosen = chosen_posts(scored_posts(candidates, **scoring), limit)
+    place = F.struct("keyword_order", "page", (-F.col("score")).alias("score"), "pos", F.col("post_url").alias("url"))
+    opened = chosen.select(
         F.col("mobile_url").alias("post_url"), place.alias("post_order"), "keyword", "post_content", "score"
     )
+    return first_rows(opened, ["post_url"], ["post_order"])

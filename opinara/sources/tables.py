@@ -27,13 +27,3 @@ def first_table(spark: SparkSession, paths: Sequence[str]) -> DataFrame | None:
         if found is not None:
             return found
     return None
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deals a table of fewer splits than cores out to all cores.
-
-    For tables read from a few files whose texts are costly to process. A table
-    with a split per core or more, as any large one has, stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -57,9 +57,25 @@ def test_classifiers(spark):
         [("good great day", 1), ("great hope", 1), ("bad evil day", 0), ("evil crisis", 0)], "text string, label int"
     )
     model = M.train_sentiment(rows)
-    out = {r["text"]: r["base_score"] for r in M.positive_probability(model, rows.select("text")).collect()}
+    out = {r["text"]: r["base_score"] for r in M.positive_probability(model, rows.select("text"), key="text").collect()}
     assert out["great hope"] > 0.5 > out["evil crisis"] and all(0 <= v <= 1 for v in out.values())
     for kind in ("nb", "svm"):
-        topics = M.predicted_topics(M.train_topics(rows, "text", "label", kind), rows.select("text"), "text").collect()
+        topics = M.predicted_topics(M.train_topics(rows, "text", "label", kind), rows.select("text"), "text", "text").collect()
         assert {r["text"]: r["topic_label"] for r in topics}["good great day"] == 1
         assert all((r["topic_confidence"] is not None) == (kind == "nb") for r in topics)
+
+
+def test_bayes_as_by_hand(spark):
+    rows = spark.createDataFrame([("a a b", 1), ("b c", 0), ("c", 0)], "text string, label int")
+    seen = spark.createDataFrame([(1, "a"), (2, "c c zz"), (3, "zz"), (4, None)], "row_id int, text string")
+    got = {r["row_id"]: r["base_score"] for r in M.positive_probability(M.train_sentiment(rows), seen).collect()}
+    prior = (2 / 5, 3 / 5)
+    one = {"a": 3 / 6, "b": 2 / 6, "c": 1 / 6}
+    nil = {"a": 1 / 6, "b": 2 / 6, "c": 3 / 6}
+    share = lambda words: (p := prior[0] * math.prod(one[w] for w in words)) / (p + prior[1] * math.prod(nil[w] for w in words))
+    assert got == {1: pytest.approx(share("a")), 2: pytest.approx(share("cc")), 3: pytest.approx(0.4), 4: pytest.approx(0.4)}
+
+
+def test_words_beyond_the_vector_vocabulary_count(spark):
+    rows = spark.createDataFrame([(" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(6000)), 1), ("rare", 0)], "text string, label int")
+    assert M.train_sentiment(rows).weights.count() == 6001
