@@ -43,6 +43,8 @@ SLACK = 0.23
 BLOCK_SHINGLES = 1 << 16
 #: Parts into which the rows of one class or component are dealt.
 SALTS = 64
+#: Members of a bucket that are compared in one go.
+BLOCK = 512
 
 _RNG = np.random.default_rng(21)
 TIMES = _RNG.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)
@@ -207,6 +209,78 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: float) -> DataFrame:
     return rows.filter(100 * F.col("c") >= percent * (F.col("s") - F.col("c"))).select("u", "v")
 
 
+def late_links(stars: DataFrame, close: DataFrame, roots: DataFrame, classes: DataFrame, sets: DataFrame, percent: float) -> DataFrame:
+    """Links of the members that are close to their pivot by the estimate, but not in its component.
+
+    They are compared with the other close members of their bucket where these lie, a bucket
+    of many members as pairs of blocks; only links that join components leave the task.
+    """
+    found = (F.col("node") == F.col("u")) & (F.col("pivot") == F.col("v"))
+    spokes = stars.join(close, found, "left_semi").select("key", "node", "pivot")
+    labels = roots.select("node", "root")
+    spokes = spokes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mains = labels.select(F.col("node").alias("pivot"), F.col("root").alias("main"))
+    spokes = spokes.join(mains, "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
+    # The pivot itself has been compared with all; two others are needed, one of them outside.
+    open_keys = spokes.groupBy("key").agg(F.count("*").alias("_n"), F.max((F.col("root") != F.col("main")).cast("int")).alias("_out"))
+    open_keys = open_keys.filter("_n > 1 AND _out = 1").select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
+    members = spokes.join(open_keys, "key").withColumn("outside", F.col("root") != F.col("main"))
+    members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    members = members.select("key", "node", "root", "outside", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_other"))
+    part = F.least("block", "_other").cast("long") * F.col("blocks") + F.greatest("block", "_other")
+    members = members.select("key", part.alias("part"), "blocks", "node", "root", "outside", "block")
+    members = members.join(classes.select("node", "bits", "bands"), "node").join(sets, "node")
+    return members.groupBy("key", "part", "blocks").applyInArrow(compared(percent), "u long, v long")
+
+
+def compared(percent: float):
+    """Compares the members of one part of a bucket, each pair in the first bucket that it shares."""
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        here, part, blocks = (k.as_py() for k in key)
+        group = group.sort_by("node")
+        nodes, outside, block = (group[c].to_numpy() for c in ("node", "outside", "block"))
+        roots = group["root"].to_numpy().copy()
+        items = [x.values.to_numpy() for x in group["items"]]
+        sizes = np.array([len(x) for x in items])
+        bits, bands = (np.array(group[c].to_pylist(), np.int64) for c in ("bits", "bands"))
+        u, v = [], []
+        for x in np.flatnonzero(outside):
+            small, large = np.minimum(sizes, sizes[x]), np.maximum(sizes, sizes[x])
+            fit = (roots != roots[x]) & (100 * small >= percent * large)
+            fit &= ~outside | (np.arange(len(nodes)) > x)
+            if part // blocks != part % blocks:
+                fit &= block != block[x]
+            at = np.flatnonzero(fit)
+            at = at[estimates(bits[at], bits[x]) >= percent / 100 - SLACK]
+            if len(at):
+                same = bands[at] == bands[x]
+                at = at[bands[x][same.argmax(axis=1)] == here]
+            if not len(at):
+                continue
+            shared = np.isin(np.concatenate([items[y] for y in at]), items[x])
+            common = np.add.reduceat(shared.astype(np.int64), np.cumsum([0, *sizes[at[:-1]]]))
+            for y in at[100 * common >= percent * (sizes[at] + sizes[x] - common)]:
+                if roots[y] != roots[x]:
+                    u.append(nodes[x])
+                    v.append(nodes[y])
+                    roots[roots == roots[y]] = roots[x]
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return run
+
+
+def estimates(bits: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """``estimate`` for packed bits in arrays."""
+    unequal = bits ^ own
+    each = unequal.copy()
+    for shift in range(1, BITS):
+        each |= unequal >> shift
+    ones = np.bitwise_count(each & np.int64(sum(1 << (BITS * i) for i in range(PER_LONG)))).sum(axis=1, dtype=np.int64)
+    chance = 1 / (1 << BITS)
+    return (1 - ones / HASHES - chance) / (1 - chance)
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: float = PERCENT
 ) -> DataFrame:
@@ -256,19 +330,7 @@ def near_duplicates(
     links = stored(confirmed(pairs, sets, percent), "confirmed")
     roots = stored(components(links), "roots")
 
-    # Members close to the pivot but outside its component, with the other close members.
-    near_pivot = spokes.join(close, (F.col("node") == F.col("u")) & (F.col("pivot") == F.col("v")), "left_semi").select("key", "node", "pivot")
-    labels = roots.select(F.col("node").alias("node"), "root")
-    near_pivot = near_pivot.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    pivot_roots = labels.select(F.col("node").alias("pivot"), F.col("root").alias("main"))
-    near_pivot = near_pivot.join(pivot_roots, "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
-    outside = near_pivot.filter(F.col("root") != F.col("main")).select("key", F.col("node").alias("u"), F.col("root").alias("uroot"))
-    inside = near_pivot.select("key", F.col("node").alias("v"), F.col("root").alias("vroot"))
-    more = outside.join(inside, "key").filter(F.col("uroot") != F.col("vroot"))
-    more = more.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    more = more.join(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), ["u", "v"], "left_anti")
-    more = more.join(prefixed(classes, "u"), "u").join(prefixed(classes, "v"), "v").filter(near("u", "v", percent)).select("u", "v")
-    late = stored(confirmed(more, sets, percent), "late")
+    late = stored(late_links(stars, close, roots, classes, sets, percent), "late")
     if not late.isEmpty():
         roots = stored(components(links.unionByName(late)), "roots")
 
