@@ -21,7 +21,7 @@ TOTAL, BY_PLATFORM, BY_DAY = 3, 1, 2
 
 
 def headline(df: DataFrame, order: str = "row_id") -> DataFrame:
-    """One row: totals, label shares, mean score and the platforms seen first."""
+    """One row from one scan: totals, label shares, mean score and the platforms seen first."""
     label = first_available(df, SENTIMENT_COLUMNS)
     score = F.col("sentiment_score") if "sentiment_score" in df.columns else F.lit(None).cast("double")
     per_platform = df.groupBy("platform").agg(
@@ -32,7 +32,8 @@ def headline(df: DataFrame, order: str = "row_id") -> DataFrame:
     )
     named = F.col("platform").isNotNull()
     total = F.sum("total")
-    figures = per_platform.agg(
+    seen = F.sort_array(F.collect_list(F.when(named, F.struct("_at", "platform"))))  # one entry per platform
+    return per_platform.agg(
         total.alias("total"),
         F.count_if(named).alias("platforms"),
         F.sum("positive").alias("positive"),
@@ -41,12 +42,8 @@ def headline(df: DataFrame, order: str = "row_id") -> DataFrame:
         percent(F.sum("positive"), total).alias("positive_pct"),
         percent(F.sum("negative"), total).alias("negative_pct"),
         F.bround(F.sum("_sum") / F.sum("_scored"), 3).alias("avg_score"),
+        F.concat_ws("、", F.transform(F.slice(seen, 1, 3), lambda p: p["platform"])).alias("first_platforms"),
     )
-    first = per_platform.where(named).orderBy("_at", "platform").limit(3)
-    shown = first.agg(F.sort_array(F.collect_list(F.struct("_at", "platform"))).alias("_p")).select(
-        F.concat_ws("、", F.transform("_p", lambda p: p["platform"])).alias("first_platforms")
-    )
-    return figures.withColumn("first_platforms", shown.scalar())
 
 
 def _summary(df: DataFrame, label: str | None, time: str | None) -> DataFrame:

@@ -70,6 +70,20 @@ def without_words(
     return df.join(listed.select(F.col("word").alias(column)), column, "left_anti")
 
 
+def without_listed_tokens(df: DataFrame, key: str, listed: DataFrame, tokens: str = "tokens") -> DataFrame:
+    """``tokens`` without listed words, for lists too long to inline; ``key`` must be unique.
+
+    Words are compared by an anti join and put together again in order.
+    """
+    spoken = df.select(key, F.posexplode(tokens).alias("_at", "word"))
+    left = spoken.join(listed.select("word"), "word", "left_anti").groupBy(key).agg(
+        F.sort_array(F.collect_list(F.struct("_at", "word"))).alias("_left")
+    )
+    joined = df.join(left, key, "left")
+    words = F.coalesce(F.transform("_left", lambda t: t["word"]), F.array().cast("array<string>"))
+    return joined.withColumn(tokens, words).drop("_left")
+
+
 def with_weight(
     df: DataFrame,
     column: str,

@@ -46,10 +46,25 @@ def clean_corpus(
     Tokens are made after the duplicates are gone. The only shuffle is that of
     the first-row rule.
     """
+    kept = distinct_texts(with_clean_text(comments, content), list(order))
+    return with_tokens(kept, stopwords, entity, lexicon)
+
+
+def with_language(rows: DataFrame) -> DataFrame:
+    """The language of cleaned texts, detected where the table has no such column."""
+    return rows if "language" in rows.columns else rows.withColumn("language", detect_language(F.col("cleaned_text")))
+
+
+def with_tokens(
+    rows: DataFrame, stopwords: Iterable[str] = STOPWORDS, entity: Iterable[str] = V.ENTITY_WORDS, lexicon: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The tokens of cleaned texts, made where the table has none."""
+    if "tokens" in rows.columns:
+        return rows
     barred = sorted({*stopwords, *entity})
     words = custom_lexicon() if lexicon is None else dict(lexicon)
-    kept = distinct_texts(with_clean_text(comments, content), list(order))
-    return computed_once(kept, "tokens", tokens(F.col("cleaned_text"), F.col("language"), words, barred))
+    known = with_language(rows)
+    return computed_once(known, "tokens", tokens(F.col("cleaned_text"), F.col("language"), words, barred))
 
 
 def clean_folder(spark: SparkSession, folder: str, **options) -> DataFrame | None:

@@ -16,9 +16,9 @@ from ..operators.columns import first_available
 from ..sources.sinks import overwrite_table, write_findings
 from ..sources.tables import first_table, read_table
 from ..sources.wordlists import cloud_stop_words, stop_words
-from ..operators.membership import inline_words
+from ..operators.membership import inline_words, without_listed_tokens
 from . import reports as R
-from .clean import clean_folder
+from .clean import clean_folder, with_language, with_tokens
 
 CLEANED, SCORED, KEYWORDS, TOPICS = "cleaned", "scored", "keywords", "topics"
 
@@ -31,29 +31,44 @@ def _write(frame: DataFrame, folder: str, name: str) -> DataFrame:
 
 def clean(spark: SparkSession, raw: str, folder: str, word_files: list[str] | None = None, **options) -> DataFrame | None:
     """Landed CSV files to the cleaned table."""
-    if word_files:
-        listed = inline_words(stop_words(spark, word_files))
-        if listed is None:
-            raise ValueError("stop word files hold more words than a list may have")
-        options["stopwords"] = listed
+    listed = stop_words(spark, word_files) if word_files else None
+    long = None
+    if listed is not None:
+        short = inline_words(listed)
+        if short is None:
+            long = listed
+        else:
+            options["stopwords"] = short
     rows = clean_folder(spark, raw, **options)
     if rows is None:
         return None
-    return _write(rows.withColumn("comment_key", F.md5("cleaned_text")), folder, CLEANED)
+    rows = rows.withColumn("comment_key", F.md5("cleaned_text"))
+    if long is not None:
+        rows = without_listed_tokens(rows, "comment_key", long)
+    return _write(rows, folder, CLEANED)
 
 
 def score(
     spark: SparkSession, folder: str, polarity: Mapping[str, float] | None = None, labelled: DataFrame | None = None
 ) -> DataFrame | None:
-    """Cleaned to scored table; a labelled table trains the base score of other languages."""
+    """Cleaned to scored table.
+
+    The base score of English texts is the mean polarity of a word table, that of other languages the
+    probability of a model trained on a labelled table; with one of the two, it serves all languages. Neither is an
+    error: the rules alone move a constant and can't tell a comment from the next.
+    """
     rows = read_table(spark, f"{folder}/{CLEANED}")
     if rows is None:
         return None
-    base = None
+    if not polarity and labelled is None:
+        raise ValueError("scores need a polarity table or a labelled table")
+    rows = with_language(rows)
+    base, mood = None, polarity
     if labelled is not None:
-        rows = M.positive_probability(M.train_sentiment(labelled), rows, "cleaned_text")
+        rows = rows if "comment_key" in rows.columns else rows.withColumn("comment_key", F.md5("cleaned_text"))
+        rows = M.positive_probability(M.train_sentiment(labelled), rows, "cleaned_text", "comment_key")
         base = F.col("base_score")
-    mood = polarity if polarity else F.lit(0.0)
+        mood = polarity if polarity else base * 2 - 1
     return _write(R.scored(rows, mood, base), folder, SCORED)
 
 
@@ -74,7 +89,7 @@ def topics(spark: SparkSession, folder: str) -> dict[str, DataFrame] | None:
     if rows is None:
         return None
     moods = read_table(spark, f"{folder}/{SCORED}")
-    tables = R.topic_report(rows, moods, "comment_key")
+    tables = R.topic_report(with_tokens(rows), moods, "comment_key")
     return {name: _write(t, folder, TOPICS if name == "topics" else f"topic_{name}") for name, t in tables.items()}
 
 
@@ -91,7 +106,7 @@ def report(spark: SparkSession, folder: str, word_files: list[str] | None = None
         "platforms": R.platform_sentiment(rows),
         "trend": R.daily_trend(rows, time),
         "topic_counts": R.topic_distribution(topic_rows),
-        "words": R.word_cloud(rows, cloud_stop_words(spark, word_files)),
+        "words": R.word_cloud(with_tokens(rows), cloud_stop_words(spark, word_files)),
         "findings": R.generate(rows, topic_rows, time),
     }
     written = {n: _write(t, folder, f"report_{n}") for n, t in tables.items() if t is not None}
@@ -99,11 +114,14 @@ def report(spark: SparkSession, folder: str, word_files: list[str] | None = None
     return written
 
 
-def run(spark: SparkSession, raw: str, folder: str, **options) -> dict[str, DataFrame] | None:
+def run(
+    spark: SparkSession, raw: str, folder: str, polarity: Mapping[str, float] | None = None, labelled: DataFrame | None = None,
+    word_files: list[str] | None = None, **options,
+) -> dict[str, DataFrame] | None:
     """All steps in order."""
-    if clean(spark, raw, folder, **options) is None:
+    if clean(spark, raw, folder, word_files, **options) is None:
         return None
-    score(spark, folder)
+    score(spark, folder, polarity, labelled)
     keywords(spark, folder)
     topics(spark, folder)
-    return report(spark, folder)
+    return report(spark, folder, word_files)

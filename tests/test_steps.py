@@ -23,7 +23,7 @@ def folders(tmp_path_factory):
 def test_run(spark, folders):
     raw, tables = folders
     assert steps.score(spark, tables) is None and steps.report(spark, tables) is None
-    out = steps.run(spark, raw, tables)
+    out = steps.run(spark, raw, tables, {"hope": 0.9, "terrible": -0.8})
     assert set(out) == {"headline", "sentiment", "platforms", "trend", "topic_counts", "words", "findings"}
     head = out["headline"].first()
     assert head["total"] == 42 and head["platforms"] == 2
@@ -49,6 +49,33 @@ def test_trained_base_score(spark, folders):
     assert best["sentiment_score"] == 1.0 and best["sentiment"] == "正面"
 
 
+def test_scores_need_a_base(spark, folders):
+    with pytest.raises(ValueError):
+        steps.score(spark, folders[1])
+
+
+def test_missing_columns_are_made(spark, folders, tmp_path):
+    """Tables without language and tokens, as another tool may leave them."""
+    _, tables = folders
+    bare = str(tmp_path)
+    spark.read.parquet(f"{tables}/cleaned").drop("language", "tokens").write.parquet(f"{bare}/cleaned")
+    polarity = {"hope": 0.9, "terrible": -0.8}
+    scored = steps.score(spark, bare, polarity).select("comment_key", "sentiment_score")
+    whole = steps.score(spark, tables, polarity).select("comment_key", "sentiment_score")
+    assert sorted(map(tuple, scored.collect())) == sorted(map(tuple, whole.collect()))
+    assert steps.topics(spark, bare)["cluster_sizes"].agg(F.sum("size")).first()[0] == 42
+    words = {r["word"]: r["freq"] for r in steps.report(spark, bare)["words"].collect()}
+    assert words["peace"] == 3
+
+
+def test_long_stop_word_lists(spark, folders, tmp_path):
+    raw, _ = folders
+    (tmp_path / "words.txt").write_text("\n".join([*(f"word{i}" for i in range(30_000)), "peace"]))
+    rows = steps.clean(spark, raw, str(tmp_path / "tables"), [str(tmp_path / "words.txt")])
+    tokens = {t for r in rows.select("tokens").collect() for t in r["tokens"]}
+    assert "peace" not in tokens and "talks" in tokens and rows.count() == 42
+
+
 def test_missing_dates_and_split(spark):
     rows = spark.createDataFrame([("a", " ", "2025/5/1"), ("", "x", "2025-05-02"), (None, "y", "z"), ("b", None, None)], "t string, u string, d string")
     kept = handle_missing(rows, ["t"], {"u": "none"}).collect()
