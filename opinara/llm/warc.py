@@ -1,12 +1,11 @@
 """WARC files: a deterministic sharded writer, and a reader.
 
-Records are range-sorted by page. Each range is written as one run of gzip members to a
-temporary file; the compressed sizes of all records before it give a record
-its place in the whole, and the place divided by the roll size its file. So the files
-are the same whatever the ranges were. A file is put together from its pieces of the runs
-under a temporary name, renamed when complete, and listed in the manifest, which is
-committed last. A reader takes what the manifest lists. Attempts that were lost leave
-only temporary files, which go at the end.
+Records are sorted by page and cut into shards, ranges of equal payload bytes found from
+running totals, so they don't depend on a sample. Each shard is written in order as a
+row of files: gzip members under a temporary name, closed at the record that reaches the roll
+size, renamed when complete, and listed in the manifest, which is committed last. A
+reader takes what the manifest lists. Attempts that were lost leave only temporary
+files, which go at the end, or the same bytes under the same name.
 
 The folder must be one that all machines reach, by a URI or path that pyarrow opens
 (a mounted path, hdfs, s3, gs).
@@ -17,16 +16,16 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_or_last, id_or_null, salted_lookup, shuffle_partitions, stored
+from .common import id_or_last, running_totals, salted_lookup, shuffle_partitions, stored
 
 #: Compressed bytes after which a file is closed with the record at hand.
 ROLL_BYTES = 1 << 26
@@ -37,9 +36,13 @@ LEAST_REVISIT = 100
 #: Written as the date of every record, as the pages state none.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Bytes of records handed on or copied at once.
+#: Bytes of records handed on at once.
 CHUNK = 1 << 23
+#: Bytes counted for the headers of a record.
+HEAD_BYTES = 512
 SALTS = 64
+#: What records are sorted by.
+ORDER = ("_id", "_url", "digest")
 
 
 def opened(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
@@ -82,149 +85,134 @@ def record(page: int | None, url: str | None, digest: str, size: int, payload: b
     return packer.compress(f"WARC/1.1\r\n{lines}\r\n".encode() + block + b"\r\n\r\n") + packer.flush()
 
 
-RESPONSES = "_id long, url string, digest string, size long, member binary"
+def in_order(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
+    """The columns that records are sorted by, without nulls, and whether there is an id."""
+    return pages.withColumns(
+        {"_id": id_or_last(id_col), "_there": F.col(id_col).isNotNull(), "_url": F.coalesce(F.col(url_col).cast("string"), F.lit(""))}
+    )
+
+
+def shard_plan(facts: DataFrame, shards: int) -> DataFrame:
+    """Adds ``shard``: sorted by page, the shards are ranges of equal payload bytes."""
+    sized = facts.withColumn("_all", F.lit(0)).withColumn("_bytes", F.col("size") + HEAD_BYTES)
+    total = sized.agg(F.sum("_bytes")).first()[0] or 1
+    placed = running_totals(sized, ["_all"], list(ORDER), "_bytes", "_before")
+    shard = F.floor(F.col("_before").cast("decimal(38,0)") * shards / F.lit(total)).cast("int")
+    return placed.withColumn("shard", shard).drop("_all", "_bytes", "_before")
+
+
+def revisits(facts: DataFrame) -> DataFrame:
+    """The records that revisit another page, with ``first_id`` and ``first_url`` of that page."""
+    large = facts.filter(F.col("size") >= LEAST_REVISIT)
+    groups = large.groupBy("digest").agg(F.min(F.struct("_id", "_url")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    rows = large.withColumn("_salt", F.pmod(F.xxhash64("_id", "_url"), F.lit(SALTS)))
+    rows = salted_lookup(rows, groups.select("digest", "first"), "digest", "_salt").filter(F.col("_id") > F.col("first._id"))
+    return rows.select(*ORDER, "shard", F.col("first._id").alias("first_id"), F.col("first._url").alias("first_url")).distinct()
+
+
+RECORDS = "_id long, _url string, digest string, size long, there boolean, shard int, member binary, first_id long, first_url string"
+RECORDS_ARROW = pa.schema(
+    [
+        ("_id", pa.int64()), ("_url", pa.string()), ("digest", pa.string()), ("size", pa.int64()), ("there", pa.bool_()),
+        ("shard", pa.int32()), ("member", pa.binary()), ("first_id", pa.int64()), ("first_url", pa.string()),
+    ]
+)
 
 
-def responses(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """Every page as a response record, with the digest and size of its payload."""
+def responses(pages: DataFrame, html_col: str, bounds: list[tuple[tuple[int, str, str], int]]) -> DataFrame:
+    """Every page as a response record, with its shard; ``bounds`` are the first keys of the shards, in order."""
+    keys, numbers = [key for key, _ in bounds], [number for _, number in bounds]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple] = []
+            rows: list[dict] = []
             held = 0
             for page, there, url, html in zip(*(batch.column(i) for i in range(4)), strict=True):
                 payload = (html.as_py() or "").encode()
-                digest = hashlib.sha256(payload).hexdigest()
-                name = page.as_py() if there.as_py() else None
-                rows.append((page.as_py(), url.as_py(), digest, len(payload), record(name, url.as_py(), digest, len(payload), payload, None)))
-                held += len(rows[-1][4])
+                row = {"_id": page.as_py(), "_url": url.as_py(), "digest": hashlib.sha256(payload).hexdigest(), "size": len(payload), "there": there.as_py()}
+                row["shard"] = numbers[max(bisect_right(keys, (row["_id"], row["_url"], row["digest"])) - 1, 0)]
+                row["member"] = record(row["_id"] if row["there"] else None, row["_url"], row["digest"], len(payload), payload, None)
+                rows.append(row)
+                held += len(row["member"])
                 if held >= CHUNK:
-                    yield as_batch(rows)
+                    yield from pa.Table.from_pylist(rows, RECORDS_ARROW).to_batches()
                     rows, held = [], 0
-            yield as_batch(rows)
-
-    chosen = pages.select(
-        id_or_last(id_col).alias("_id"), F.col(id_col).isNotNull().alias("_there"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html")
-    )
-    return chosen.mapInArrow(run, RESPONSES)
+            yield from pa.Table.from_pylist(rows, RECORDS_ARROW).to_batches()
 
+    return pages.select("_id", "_there", "_url", F.col(html_col).alias("_html")).mapInArrow(run, RECORDS)
 
-def as_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (("_id", pa.int64()), ("url", pa.string()), ("digest", pa.string()), ("size", pa.int64()), ("member", pa.binary()))
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(kinds)], [n for n, _ in kinds])
 
-
-def with_firsts(found: DataFrame) -> DataFrame:
-    """Adds ``first_id`` and ``first_url`` to the records that revisit another page."""
-    payloads = found.filter(F.col("size") >= LEAST_REVISIT).groupBy("digest")
-    groups = payloads.agg(F.min(F.struct("_id", "url")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    rows = found.withColumn("_salt", F.pmod(F.xxhash64("_id", "url"), F.lit(SALTS)))
-    spots = rows.filter(F.col("size") >= LEAST_REVISIT).select("digest", "_salt", "_id")
-    later = salted_lookup(spots, groups.select("digest", "first"), "digest", "_salt").filter(F.col("_id") > F.col("first._id"))
-    later = later.select("digest", "_salt", "_id", F.col("first._id").alias("first_id"), F.col("first.url").alias("first_url")).distinct()
-    return rows.join(later, ["digest", "_salt", "_id"], "left").drop("_salt")
+FILES = "name string, bytes long, sha256 string, records long, blocks array<struct<start: long, length: long, records: long>>"
+MANIFEST = pa.schema(
+    [
+        ("name", pa.string()), ("bytes", pa.int64()), ("sha256", pa.string()), ("records", pa.int64()),
+        ("blocks", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("records", pa.int64())]))),
+    ]
+)
 
 
-RUNS = "part int, run string, start long, length long"
+class Archive:
+    """A file under way: written under a temporary name, renamed when it is complete."""
 
+    def __init__(self, store: pyarrow.fs.FileSystem, base: str, drafts: str, name: str) -> None:
+        self.store, self.path, self.draft, self.name = store, f"{base}/{name}", f"{drafts}/{name}-{uuid.uuid4().hex}", name
+        self.out = store.open_output_stream(self.draft)
+        self.digest, self.bytes, self.blocks = hashlib.sha256(), 0, []
 
-def written_runs(rows: DataFrame, folder: str) -> DataFrame:
-    """Writes each range of sorted records as one temporary file; returns where each record is."""
+    def write(self, member: bytes) -> None:
+        if not self.blocks or self.blocks[-1]["length"] >= BLOCK_BYTES:
+            self.blocks.append({"start": self.bytes, "length": 0, "records": 0})
+        self.out.write(member)
+        self.digest.update(member)
+        self.bytes += len(member)
+        self.blocks[-1]["length"] += len(member)
+        self.blocks[-1]["records"] += 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = opened(folder)
-        task = TaskContext.get()
-        name = f"run-{task.partitionId():06d}-{task.taskAttemptId()}"
-        starts, at = [0], 0
-        out = None
-        try:
-            for batch in batches:
-                if out is None:
-                    out = store.open_output_stream(f"{base}/{name}")
-                for row in batch.to_pylist():
-                    member = row["member"]
-                    if row["first_id"] is not None:
-                        page = row["_id"] if row["there"] else None
-                        member = record(page, row["url"], row["digest"], row["size"], None, (row["first_id"], row["first_url"]))
-                    out.write(member)
-                    at += len(member)
-                    starts.append(at)
-                    if len(starts) > 100_000:
-                        yield places(task.partitionId(), name, starts)
-                        starts = [at]
-        finally:
-            if out is not None:
-                out.close()
-        yield places(task.partitionId(), name, starts)
-
-    return rows.mapInArrow(run, RUNS)
-
-
-def places(part: int, name: str, starts: list[int]) -> pa.RecordBatch:
-    number = len(starts) - 1
-    lengths = [b - a for a, b in zip(starts, starts[1:], strict=False)]
-    columns = [pa.array([part] * number, pa.int32()), pa.array([name] * number, pa.string()), pa.array(starts[:-1], pa.int64()), pa.array(lengths, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["part", "run", "start", "length"])
-
-
-PIECE = "struct<place: long, run: string, start: long, length: long, records: long>"
-FILES = "name string, bytes long, sha256 string, records long, blocks array<struct<start: long, length: long, records: long>>"
+    def closed(self) -> pa.RecordBatch:
+        """Puts the file in its place, over that of an earlier attempt with the same bytes; returns its row of the manifest."""
+        self.out.close()
+        if self.store.get_file_info(self.path).type != pyarrow.fs.FileType.NotFound:
+            self.store.delete_file(self.path)
+        self.store.move(self.draft, self.path)
+        records = sum(b["records"] for b in self.blocks)
+        row = {"name": self.name, "bytes": self.bytes, "sha256": self.digest.hexdigest(), "records": records, "blocks": self.blocks}
+        return pa.RecordBatch.from_pylist([row], MANIFEST)
 
 
-def assembled(index: DataFrame, runs_folder: str, folder: str, roll_bytes: int) -> DataFrame:
-    """Puts the files together from their pieces; returns the rows of the manifest."""
-    parts = index.groupBy("part").agg(F.sum("length").alias("_sum"))
-    upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select("part", F.coalesce(F.sum("_sum").over(upto), F.lit(0)).alias("_before"))  # one row per range
-    placed = index.join(parts, "part").withColumn("place", F.col("_before") + F.col("start"))
-    block = F.floor(F.col("place") / min(BLOCK_BYTES, roll_bytes)).alias("block")
-    pieces = placed.groupBy(F.floor(F.col("place") / roll_bytes).alias("file"), block, "run").agg(
-        F.min("place").alias("place"), F.min("start").alias("start"), F.sum("length").alias("length"), F.count("*").alias("records")
-    )
-    files = pieces.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("place", "run", "start", "length", "records"))).alias("pieces"))
+def written(rows: DataFrame, folder: str, drafts_folder: str, roll_bytes: int) -> DataFrame:
+    """Writes sorted records shard by shard, closing a file when it has ``roll_bytes``; returns the manifest's rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = opened(folder)
-        runs = opened(runs_folder)[1]
+        drafts = opened(drafts_folder)[1]
+        archive, shard, number, first = None, None, 0, None
         for batch in batches:
-            rows = []
-            for number, pieces in zip(batch["file"].to_pylist(), batch["pieces"].to_pylist(), strict=True):
-                name = f"pages-{number:06d}.warc.gz"
-                draft = f"{runs}/{name}-{uuid.uuid4().hex}"
-                digest, at, blocks = hashlib.sha256(), 0, []
-                with store.open_output_stream(draft) as out:
-                    for piece in pieces:
-                        with store.open_input_file(f"{runs}/{piece['run']}") as source:
-                            source.seek(piece["start"])
-                            left = piece["length"]
-                            while left:
-                                chunk = source.read(min(left, CHUNK))
-                                if not chunk:
-                                    raise OSError(f"{piece['run']} is shorter than its index says")
-                                out.write(chunk)
-                                digest.update(chunk)
-                                left -= len(chunk)
-                        blocks.append({"start": at, "length": piece["length"], "records": piece["records"]})
-                        at += piece["length"]
-                if store.get_file_info(f"{base}/{name}").type != pyarrow.fs.FileType.NotFound:
-                    store.delete_file(f"{base}/{name}")  # of an earlier attempt, with the same bytes
-                store.move(draft, f"{base}/{name}")
-                rows.append({"name": name, "bytes": at, "sha256": digest.hexdigest(), "records": sum(b["records"] for b in blocks), "blocks": blocks})
-            yield from pa.Table.from_pylist(rows, MANIFEST).to_batches()
-
-    return files.mapInArrow(run, FILES)
-
-
-MANIFEST = pa.schema(
-    [
-        ("name", pa.string()), ("bytes", pa.int64()), ("sha256", pa.string()), ("records", pa.int64()),
-        ("blocks", pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("records", pa.int64())]))),
-    ]
-)
+            for row in batch.to_pylist():
+                key = (row["_id"], row["_url"], row["digest"])
+                if row["member"] is None:  # comes right before the record that it is about
+                    first = (key, (row["first_id"], row["first_url"]))
+                    continue
+                if archive is not None and (row["shard"] != shard or archive.bytes >= roll_bytes):
+                    yield archive.closed()
+                    archive = None
+                if row["shard"] != shard:
+                    shard, number = row["shard"], 0
+                if archive is None:
+                    archive = Archive(store, base, drafts, f"pages-{shard:06d}-{number:04d}.warc.gz")
+                    number += 1
+                member = row["member"]
+                if first is not None and first[0] == key:
+                    member = record(row["_id"] if row["there"] else None, row["_url"], row["digest"], row["size"], None, first[1])
+                archive.write(member)
+        if archive is not None:
+            yield archive.closed()
+
+    return rows.mapInArrow(run, FILES)
 
 
 def write_warc(
-    pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", roll_bytes: int = ROLL_BYTES
+    pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+    roll_bytes: int = ROLL_BYTES, shards: int | None = None,
 ) -> None:
     """Writes one record per row of ``pages`` and the manifest to ``folder``, which must be new.
 
@@ -232,19 +220,26 @@ def write_warc(
     ``LEAST_REVISIT`` bytes the one of the smallest page id (null last, then the address) is a response;
     those of larger ids are revisits of it; smaller payloads are all responses. Rows that repeat
     are written each, with the same record id. An empty table gives a manifest
-    without files. Other columns are left out. The same table gives the same files and digests.
+    without files. Other columns are left out. The same table and number of shards (as many as
+    shuffle partitions, unless stated) give the same files and digests.
     """
     spark = pages.sparkSession
-    runs_folder = f"{folder.rstrip('/')}/_temporary-{uuid.uuid4().hex}"
-    store, runs = opened(runs_folder)
-    store.create_dir(runs)
-    found = stored(responses(pages, id_col, url_col, html_col), "responses")
-    rows = with_firsts(found).withColumn("there", id_or_null(F.col("_id")).isNotNull())
-    rows = rows.repartitionByRange(shuffle_partitions(spark), "_id", "url", "digest").sortWithinPartitions("_id", "url", "digest")
-    index = stored(written_runs(rows, runs_folder), "places")
-    files = stored(assembled(index, runs_folder, folder, roll_bytes), "files")
-    files.write.parquet(f"{folder.rstrip('/')}/manifest")  # complete with the marker that Spark writes last
-    store.delete_dir(runs)
+    shards = shards or shuffle_partitions(spark)
+    drafts_folder = f"{folder.rstrip('/')}/_temporary-{uuid.uuid4().hex}"
+    store, drafts = opened(drafts_folder)
+    store.create_dir(drafts)
+    rows = in_order(pages, id_col, url_col)
+    payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "utf-8")
+    facts = rows.select("_id", "_url", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("long").alias("size"))
+    facts = stored(shard_plan(stored(facts, "facts"), shards), "shards")
+    first = facts.groupBy("shard").agg(F.min(F.struct(*ORDER)).alias("key")).orderBy("shard").collect()  # a row per shard
+    bounds = [((r["key"]["_id"], r["key"]["_url"], r["key"]["digest"]), r["shard"]) for r in first] or [((0, "", ""), 0)]
+    records = responses(rows, html_col, bounds)
+    marks = revisits(facts).withColumns({c: F.lit(None).cast(records.schema[c].dataType) for c in ("size", "there", "member")})
+    # A mark sorts before its record: its member is null.
+    ordered = records.unionByName(marks).repartition(shards, "shard").sortWithinPartitions("shard", *ORDER, F.col("member").isNotNull())
+    written(ordered, folder, drafts_folder, roll_bytes).write.parquet(f"{folder.rstrip('/')}/manifest")  # its marker comes last
+    store.delete_dir(drafts)
 
 
 def parsed(data: bytes) -> Iterator[dict]:
