@@ -41,6 +41,19 @@ def test_listing_and_encodings(spark, landing):
     assert {r["content"] for r in rows} == {"一二三四五六", "甲乙丙丁戊己"}
 
 
+def test_rows_follow_the_names_of_part_files(spark, tmp_path):
+    folder = tmp_path / "raw" / "weibo 1+2.csv"
+    folder.mkdir(parents=True)
+    write(folder / "part-0.csv", "content\nfirst of all\nsecond\n")
+    write(folder / "part-1.csv", "content\n" + "\n".join(f"a much larger file row {i}" for i in range(500)) + "\n")
+    write(folder / "part-2.csv", "content\n第三个文件\n", "gbk")
+    (folder / "part-3.csv").write_bytes(b"content\n\xff\xff\xff neither\n")
+    rows = files.landed_comments(spark, str(tmp_path / "raw")).orderBy("row_id").select("content").collect()
+    texts = [r["content"] for r in rows]
+    assert texts[:3] == ["first of all", "second", "a much larger file row 0"]
+    assert texts[-2:] == ["a much larger file row 499", "第三个文件"] and len(texts) == 503
+
+
 def test_landed_comments(spark, landing):
     rows = files.landed_comments(spark, str(landing)).select("platform", "content", "timestamp", "likes", "publish_time").collect()
     got = {(r["platform"], r["content"]) for r in rows}
