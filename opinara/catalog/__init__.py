@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import keyword_queries, line_queries, payload_queries, report_queries, text_queries, topic_queries
+from . import keyword_queries, line_queries, payload_queries, report_queries, source_queries, text_queries, topic_queries
 from .base import QUERIES, SQL
 
 __all__ = [
@@ -10,6 +10,7 @@ __all__ = [
     "line_queries",
     "payload_queries",
     "report_queries",
+    "source_queries",
     "text_queries",
     "topic_queries",
 ]

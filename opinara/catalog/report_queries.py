@@ -13,6 +13,7 @@ from ..functions.text import distinct_words, lexicon_words
 from ..operators import aggregates as A
 from ..operators.columns import computed_once
 from ..operators.findings import generate, headline as headline_row
+from ..operators.keywords import word_frequency_by
 from ..operators.membership import text_matches_words, word_frame
 from ..operators.sentiment import hits_by_join, polarity_by_join
 from ..operators.topics import with_rule_topic
@@ -323,14 +324,10 @@ def lenient_dates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(
-    "SELECT event_type AS platform, strftime(ts, '%Y-%m-%d') AS date, lower(props[3:3]) AS word, count(*) AS freq FROM events GROUP BY ALL"
+    f"WITH {B.CORPUS}, t AS (SELECT platform, row_id % 7 AS day, lower(trim(unnest(tokens))) AS word FROM corpus) "
+    "SELECT platform, day, word, count(*) AS freq FROM t WHERE length(word) > 1 GROUP BY ALL"
 )
 def word_by_platform_and_day(spark: SparkSession, folder: str) -> DataFrame:
-    """Frequencies of the property names of events per platform and day."""
-    rows = table(spark, folder, "events").select(
-        F.col("event_type").alias("platform"),
-        F.to_date("ts").cast("string").alias("date"),
-        F.transform(F.json_object_keys("props"), lambda k: F.lower(k)).alias("keys"),
-    )
-    exploded = rows.select("platform", "date", F.explode("keys").alias("word"))
-    return exploded.groupBy("platform", "date", "word").agg(F.count(F.lit(1)).alias("freq"))
+    """Word frequencies of the cleaned corpus per platform and day; the documents are dealt over seven days."""
+    rows = B.corpus(spark, folder).withColumn("day", F.col("row_id") % 7)
+    return word_frequency_by(rows, ["platform", "day"])

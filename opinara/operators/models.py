@@ -26,7 +26,7 @@ MAX_TERMS = 5000
 CLUSTERS = 6
 STARTS = 10
 SEED = 42
-HASHED_WORDS = 1 << 18
+HASHED_WORDS = 1 << 16
 
 
 def term_counts(docs: DataFrame, terms: str = "terms") -> DataFrame:
