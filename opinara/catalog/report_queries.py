@@ -8,13 +8,12 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import scoring as S
 from ..functions.ids import lenient_time
-from ..functions.lexicon_match import contains_any_word
 from ..functions.text import distinct_words, lexicon_words
 from ..operators import aggregates as A
 from ..operators.columns import computed_once
 from ..operators.findings import generate, headline as headline_row
 from ..operators.keywords import word_frequency_by
-from ..operators.membership import text_matches_words, word_frame
+from ..operators.membership import text_matches_words, texts_with_any, word_frame
 from ..operators.sentiment import hits_by_join, polarity_by_join
 from ..operators.topics import with_rule_topic
 from ..plans import reports as R
@@ -61,15 +60,16 @@ def lexicon_polarity_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"SELECT doc_id AS row_id, {B.contains_sql('text', B.NEGATIVE_PARTS)} AS found FROM documents")
 def contains_any(spark: SparkSession, folder: str) -> DataFrame:
-    found = contains_any_word(F.col("content"), B.NEGATIVE_PARTS)
+    found = S.contains_any(F.col("content"), B.NEGATIVE_PARTS)
     return B.documents(spark, folder).select("row_id", found.alias("found"))
 
 
 @query(f"SELECT doc_id AS row_id, {B.contains_sql('text', B.NEGATIVE_PARTS)} AS found FROM documents")
 def contains_any_arrow(spark: SparkSession, folder: str) -> DataFrame:
-    """Containment on the path for long lists."""
-    found = contains_any_word(F.col("content"), B.NEGATIVE_PARTS, in_jvm=False)
-    return B.documents(spark, folder).select("row_id", found.alias("found"))
+    """Containment by a join, the form for long lists."""
+    rows = B.documents(spark, folder).select("row_id", "content")
+    found = texts_with_any(rows, "row_id", "content", word_frame(spark, B.NEGATIVE_PARTS)).withColumn("found", F.lit(True))
+    return rows.join(found, "row_id", "left").select("row_id", F.coalesce("found", F.lit(False)).alias("found"))
 
 
 @query(

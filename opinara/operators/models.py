@@ -18,6 +18,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import place_in
 from ..functions.text import lexicon_words, vector_terms
 from ..session import work_path
 from .columns import computed_once, exploded
@@ -60,7 +61,7 @@ def tfidf_rows(docs: DataFrame, key: str, tokens: str = "tokens", size: int = MA
     weights = kept.agg(entries.alias("_entries")).select(
         F.transform("_entries", lambda e: e["term"]).alias("_terms"), F.transform("_entries", lambda e: e["idf"]).alias("_idfs")
     )
-    placed = F.transform("_counts", lambda t: F.struct(t["term"].alias("term"), t["tf"].alias("tf"), place_in("_terms", t["term"], size).alias("at")))
+    placed = F.transform("_counts", lambda t: F.struct(t["term"].alias("term"), t["tf"].alias("tf"), place_in(F.col("_terms"), t["term"], size).alias("at")))
     known = F.filter(placed, lambda t: F.get("_terms", t["at"]) == t["term"])
     weighted = F.transform(known, lambda t: F.struct(t["term"], t["tf"], (t["tf"] * F.get("_idfs", t["at"])).alias("w")))
     rows = computed_once(terms.crossJoin(F.broadcast(weights)).drop(tokens), "_weighted", weighted)
@@ -70,14 +71,6 @@ def tfidf_rows(docs: DataFrame, key: str, tokens: str = "tokens", size: int = MA
     )
 
 
-def place_in(sorted_words: str, word: Column, size: int) -> Column:
-    """Where ``word`` is in a sorted array of at most ``size`` entries, or the entry before it."""
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(max(size, 1).bit_length()))])
-    return F.aggregate(
-        steps, F.lit(0), lambda at, step: F.when(F.coalesce(F.get(sorted_words, at + step) <= word, F.lit(False)), at + step).otherwise(at)
-    )
-
-
 def term_histogram(terms: Column) -> Column:
     """``array<struct<term, tf>>`` of an array of terms: sorted, then cut where a new term begins."""
 

@@ -14,6 +14,10 @@ from ..operators.rows import only_new
 from .tables import read_table
 
 
+#: Parts of a table that batches are appended to.
+KEY_PARTS = 256
+
+
 def overwrite_table(df: DataFrame, path: str) -> None:
     """Cleaned, scored, topic or keyword table; arrays stay arrays."""
     df.write.mode("overwrite").parquet(path)
@@ -29,12 +33,20 @@ def overwrite_csv(df: DataFrame, path: str) -> None:
     df.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def append_new(df: DataFrame, path: str, key: str = "comment_id") -> None:
-    """Append the rows whose key the table does not hold yet."""
+def append_new(df: DataFrame, path: str, key: str = "comment_id", parts: int = KEY_PARTS) -> None:
+    """Append the rows whose key the table does not hold yet.
+
+    The table is partitioned by a digest of the key (``_part``), so a batch is compared
+    with the keys of its own parts alone; their numbers, at most ``parts``, come to the driver.
+    """
+    rows = df.withColumn("_part", F.pmod(F.crc32(F.col(key).cast("binary")), F.lit(parts)).cast("int"))
     known = read_table(df.sparkSession, path)
     if known is None:
         known = df.select(key).limit(0)
-    only_new(df, known, key).write.mode("append").parquet(path)
+    else:
+        touched = [r["_part"] for r in rows.where("_part is not null").select("_part").distinct().collect()]
+        known = known.where(F.col("_part").isin(touched))
+    only_new(rows, known, key).repartition("_part").write.mode("append").partitionBy("_part").parquet(path)
 
 
 def write_records(df: DataFrame, path: str, columns: Sequence[str] = V.COMMENT_COLUMNS) -> None:

@@ -3,8 +3,8 @@ from pyspark.sql import functions as F
 
 from opinara.functions import scoring as S
 from opinara.functions.text import lexicon_words
-from opinara.functions.lexicon_match import contains_any_word
 from opinara.operators import membership as M
+from opinara.operators.membership import texts_with_any
 from opinara.operators.sentiment import hits_by_join, polarity_by_join, scored
 
 
@@ -89,12 +89,13 @@ def test_polarity_and_hits_by_join_equal_the_row_form(spark):
     assert hits == {1: 2, 2: 1}
 
 
-def test_contains_any_paths_agree(column):
-    texts = ["abc", "xbcx", "", None, "和平解决"]
-    for words in (["bc", "和平"], ["zz"]):
-        assert column(texts, lambda c: contains_any_word(c, words, True)) == column(
-            texts, lambda c: contains_any_word(c, words, False)
-        )
+def test_contains_any_forms_agree(spark):
+    texts = ["abc", "xbcx", "", None, "和平解决", "b", "a longer text with zyx inside"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    for words in (["bc", "和平", "zyx"], ["zz"], ["b"]):
+        inline = {r["k"] for r in rows.where(S.contains_any(F.col("t"), words)).collect()}
+        listed = spark.createDataFrame([(w,) for w in words], "word string")
+        assert {r["k"] for r in texts_with_any(rows, "k", "t", listed).collect()} == inline
 
 
 def test_rule_topic(column):
