@@ -166,10 +166,12 @@ def mixed(
 def training_order(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` in training order, as often as ``plan`` takes them, with their own columns.
 
-    Ids join null to null. Rows that share an id share the copies of that id's plan rows
-    one to one at best, so ids should be unique; copies of equal rows are equal.
+    Rows that share an id (null is one) can't be told apart in the plan: each of them appears as
+    often as the one of them that is taken most.
     """
     key = F.coalesce(F.col(id_col).cast("string"), F.lit("\x00"))
-    wanted = plan.select(key.alias("_key"), F.explode("positions").alias("_position"))
+    most = F.max_by("positions", F.struct(F.size("positions"), "positions"))
+    wanted = plan.select(key.alias("_key"), "positions").groupBy("_key").agg(most.alias("_positions"))
+    wanted = wanted.select("_key", F.explode("_positions").alias("_position"))
     rows = docs.select(F.struct("*").alias("_doc"), key.alias("_key")).join(wanted, "_key")
     return rows.orderBy("_position", "_key").select("_doc.*")
