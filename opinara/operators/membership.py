@@ -1,7 +1,7 @@
 """Word lists as tables, and joins against them.
 
-A list that comes as a table is measured before it is broadcast. Beyond
-``BROADCAST_ROWS`` the same join runs as a shuffle join.
+A list that comes as a table is written once and measured before it is broadcast. Beyond
+``BROADCAST_ROWS`` or ``BROADCAST_BYTES`` the same join runs as a shuffle join.
 """
 
 from __future__ import annotations
@@ -10,10 +10,13 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from ..session import work_path
 from .columns import exploded
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 1 << 26
 INLINE_ROWS = 20_000
 
 
@@ -36,14 +39,15 @@ def union_words(*frames: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """The table has at most ``rows`` rows; the check itself reads no more than that."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def hinted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The table, marked for broadcast only if its measured size allows it."""
-    return F.broadcast(df) if is_small(df, rows) else df
+def hinted(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """The table, written once and measured there; marked for broadcast only if both bounds allow it."""
+    path = work_path(df.sparkSession, "list")
+    df.write.parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, StringType)]
+    width = sum(texts, F.lit(8 * len(df.columns)))
+    seen = kept.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("size")).first()
+    return F.broadcast(kept) if seen["rows"] <= rows and (seen["size"] or 0) <= size else kept
 
 
 def inline_words(df: DataFrame, rows: int = INLINE_ROWS) -> list[str] | None:
