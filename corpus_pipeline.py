@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix, and a digest of the text that they decode to."""
-    rows = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
+    rows = bpe.encode(docs, TOKENIZER, decoded=True)
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -14,18 +14,22 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Words whose encoding a worker remembers; when full, it starts anew and looks up the older ones once more.
-CACHED_WORDS = 120_000
+#: Words, and pieces between blanks, whose encoding a worker remembers: twice as many at most.
+CACHED_WORDS = 150_000
+CACHED_PIECES = 80_000
+#: Longer ones are not remembered.
+CACHED_LENGTH = 64
 #: Tokens after which a batch of results is handed on.
 BATCH_TOKENS = 1 << 21
 
@@ -41,8 +45,28 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in plain else next(shifted)) for b in range(256)]
 
 
+class Remembered(dict):
+    """Results of a function of a string. When full, the entries become the older ones, which are looked up once more."""
+
+    def __init__(self, function: Callable[[str], bytes], most: int) -> None:
+        super().__init__()
+        self.function, self.most = function, most
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        found = self.older.get(key)
+        if found is None:
+            found = self.function(key)
+        if len(key) <= CACHED_LENGTH:
+            self[key] = found
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+        return found
+
+
 class Vocabulary:
-    """The tables of one tokenizer file."""
+    """The tables of one tokenizer file. Encodings are packed as 32-bit numbers."""
 
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as file:
@@ -67,8 +91,8 @@ class Vocabulary:
         self.words = regex.compile(steps[0]["pattern"]["Regex"], flags=regex.V1)
         self.special = special
         self.cuts = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.word_ids = Remembered(lambda word: array("i", self.merged(word.encode())).tobytes(), CACHED_WORDS)
+        self.piece_ids = Remembered(self.piece, CACHED_PIECES)
 
     def merged(self, word: bytes) -> tuple[int, ...]:
         """Ids of one word: merges by rank, the leftmost first among equal ranks."""
@@ -78,11 +102,8 @@ class Vocabulary:
         merges = self.merges
         before, after = list(range(-1, count - 1)), [*range(1, count), -1]
         # An entry is rank and position as one number; the pair at that place tells whether it is stale.
-        queue = [
-            found >> 32 << 32 | i
-            for i in range(count - 1)
-            if (found := merges.get(ids[i] << 32 | ids[i + 1])) is not None
-        ]
+        pairs = enumerate(zip(ids, ids[1:], strict=False))
+        queue = [found >> 32 << 32 | i for i, (a, b) in pairs if (found := merges.get(a << 32 | b)) is not None]
         heapq.heapify(queue)
         while queue:
             entry = heapq.heappop(queue)
@@ -105,29 +126,28 @@ class Vocabulary:
                 heapq.heappush(queue, found >> 32 << 32 | h)
         return tuple(i for i in ids if i >= 0)
 
-    def plain(self, text: str, out: list[int]) -> None:
-        """Appends the ids of a text without special tokens."""
-        known = self.known
-        for word in self.words.findall(lowered(unicodedata.normalize("NFC", text))):
-            ids = known.get(word)
-            if ids is None:
-                ids = self.older.get(word) or self.merged(word.encode())
-                if len(word) <= 64:
-                    known[word] = ids
-                    if len(known) >= CACHED_WORDS:
-                        self.older, self.known = known, {}
-                        known = self.known
-            out += ids
-
-    def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        at = 0
+    def piece(self, text: str) -> bytes:
+        return b"".join(map(self.word_ids.__getitem__, self.words.findall(text)))
+
+    def plain(self, text: str) -> bytes:
+        """Encodes a text without special tokens. No word holds a blank or a line end, so pieces between them go alone."""
+        text = lowered(unicodedata.normalize("NFC", text)).replace("\n", " ")
+        return b"".join(map(self.piece_ids.__getitem__, text.split(" ")))
+
+    def encode(self, text: str) -> np.ndarray:
+        out, at = [], 0
         for found in self.cuts.finditer(text) if self.cuts else ():
-            self.plain(text[at : found.start()], out)
-            out.append(self.special[found[0]])
+            out += [self.plain(text[at : found.start()]), array("i", [self.special[found[0]]]).tobytes()]
             at = found.end()
-        self.plain(text[at:] if at else text, out)
-        return out
+        out.append(self.plain(text[at:] if at else text))
+        return np.frombuffer(b"".join(out), np.int32)
+
+    def forget(self) -> None:
+        """Frees the remembered encodings: a worker outlives the task that filled them."""
+        for known in (self.word_ids, self.piece_ids):
+            known.clear()
+            known.older = {}
+        pa.default_memory_pool().release_unused()
 
     def decode(self, ids: list[int]) -> str:
         """Vocabulary strings joined by a space, as this file states no decoder of its own."""
@@ -153,10 +173,27 @@ def int_lists(lists: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encoded(table: Vocabulary, batch: pa.RecordBatch, back: bool) -> Iterator[pa.RecordBatch]:
+    """The ids of a batch of keys and texts, and the text that they decode to, handed on when there are many."""
+    keys, texts = batch.column(0), batch.column(1)
+    lists: list[np.ndarray] = []
+    held = start = 0
+    for at in range(batch.num_rows):
+        lists.append(table.encode(texts[at].as_py() or ""))
+        held += len(lists[-1])
+        if held >= BATCH_TOKENS or at == batch.num_rows - 1:
+            columns = {"id": keys.slice(start, at + 1 - start), "ids": int_lists(lists)}
+            if back:
+                columns["decoded"] = pa.array([table.decode(ids.tolist()) for ids in lists], pa.string())
+            yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
+            lists, held, start = [], 0, at + 1
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False) -> DataFrame:
     """``id_col`` and ``ids`` (array<int>) of every row; other columns are left out.
 
-    Whole texts, one row each. A null or empty text, or one of white space, has no
+    With ``decoded`` also the text that ``decode`` makes of these ids, in the same pass. Whole
+    texts, one row each. A null or empty text, or one of white space, has no
     ids. Repeated rows are encoded each. Memory holds a batch of texts, about
     ``BATCH_TOKENS`` ids and the remembered words. A very long word is one unit:
     its cost is n log n.
@@ -164,32 +201,30 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = vocabulary(path)
-        for batch in batches:
-            keys, texts = batch.column(0), batch.column(1)
-            lists: list[np.ndarray] = []
-            held = start = 0
-            for at in range(batch.num_rows):
-                ids = np.array(table.encode(texts[at].as_py() or ""), np.int32)
-                lists.append(ids)
-                held += len(ids)
-                if held >= BATCH_TOKENS or at == batch.num_rows - 1:
-                    part = keys.slice(start, at + 1 - start)
-                    yield pa.RecordBatch.from_arrays([part, int_lists(lists)], ["id", "ids"])
-                    lists, held, start = [], 0, at + 1
+        try:
+            for batch in batches:
+                yield from encoded(table, batch, decoded)
+        finally:
+            table.forget()
 
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = chosen.schema["id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    schema = f"id {kind}, ids array<int>" + ", decoded string" * decoded
+    return chosen.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the text that the ids stand for; special tokens are written out, null ids give ''.
 
-    Ids that the vocabulary lacks are left out.
+    Ids that the vocabulary lacks are left out. A column that is named as the result is replaced.
     """
-    @F.pandas_udf("string")
-    def text_of(lists: pd.Series) -> pd.Series:
+    chosen = rows.drop(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = vocabulary(path)
-        return pd.Series([table.decode(x.tolist()) if x is not None else "" for x in lists], dtype=object)
+        for batch in batches:
+            lists = batch.column(batch.schema.get_field_index(ids_col))
+            texts = [table.decode(x.values.to_pylist()) if x.is_valid else "" for x in lists]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
 
-    return rows.withColumn(out, text_of(F.col(ids_col)))
+    return chosen.mapInArrow(run, T.StructType([*chosen.schema.fields, T.StructField(out, T.StringType())]))

@@ -13,8 +13,6 @@ size is at most one record per partition after the first sort.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -76,15 +74,24 @@ def text_keys(runs: np.ndarray) -> np.ndarray:
     return keys.view("S37").ravel()
 
 
+def cut(at: int, records: np.ndarray, place: int) -> pa.Table:
+    """A partition's run in pieces by digit ``place`` of the digest, addressed to the partitions that take them."""
+    digits = run_digits(records, place)
+    weight = FAN**place
+    home = at - at // weight % FAN * weight
+    pieces = [(home + d * weight, records[digits == d]) for d in range(FAN)]
+    return packed([p for p in pieces if len(p[1])])
+
+
 def first_runs(key: tuple, group: pa.Table) -> pa.Table:
-    """The records of one partition as a sorted run."""
+    """The records of one partition as a sorted run, cut for the first round."""
     records = np.zeros(group.num_rows, RECORD)
     sha = "".join(group["_sha"].to_pylist())
     records["digest"] = np.frombuffer(bytes.fromhex(sha), "S32")
     for name, column in (("size", "_size"), ("chars", "_chars"), ("id", "_id"), ("row", "_row")):
         records[name] = group[column].to_numpy()
     records["rows"] = 1
-    return packed([(key[0].as_py(), merged(records))])
+    return cut(key[0].as_py(), merged(records), 0)
 
 
 def packed(runs: list[tuple[int, np.ndarray]]) -> pa.Table:
@@ -102,47 +109,37 @@ def run_digits(run: np.ndarray, place: int) -> np.ndarray:
     return (head.astype(np.uint64) >> np.uint64(4)).astype(np.int64) // FAN**place % FAN
 
 
-def exchange(runs: DataFrame, place: int) -> DataFrame:
-    """One round: runs are cut by digit ``place`` of the digest, sent and merged."""
-    weight = FAN**place
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, run in zip(batch["at"].to_pylist(), batch["run"].to_pylist(), strict=True):
-                records = np.frombuffer(run, RECORD)
-                digits = run_digits(records, place)
-                home = at - at // weight % FAN * weight
-                pieces = [(home + d * weight, records[digits == d]) for d in range(FAN)]
-                yield from packed([p for p in pieces if len(p[1])]).to_batches()
+def exchange(runs: DataFrame, next_place: int) -> DataFrame:
+    """One round: each partition merges the runs that it was sent and cuts the result for the next round."""
 
     def merge(key: tuple, group: pa.Table) -> pa.Table:
-        return packed([(key[0].as_py(), merged(unpacked(group["run"])))])
+        return cut(key[0].as_py(), merged(unpacked(group["run"])), next_place)
+
+    return runs.groupBy("at").applyInArrow(merge, RUNS)
 
-    return runs.mapInArrow(cut, RUNS).groupBy("at").applyInArrow(merge, RUNS)
 
+TEXTS = "_sha string, _size long, keep_chars long, keep long, keep_row long, group_size long"
 
-def spread_runs(runs: DataFrame) -> DataFrame:
-    """One row per text: ``_sha``, ``_size`` and the record that stays."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for run in batch["run"].to_pylist():
-                records = np.frombuffer(run, RECORD)
-                sha = [run[i : i + 32].hex() for i in range(0, len(run), RECORD.itemsize)]
-                columns = [pa.array(sha), pa.array(records["size"].astype(np.int64))]
-                columns += [pa.array(records[n].astype(np.int64)) for n in ("chars", "id", "row", "rows")]
-                yield pa.RecordBatch.from_arrays(columns, ["_sha", "_size", "keep_chars", "keep", "keep_row", "group_size"])
+def last_round(runs: DataFrame) -> DataFrame:
+    """Merges the last pieces; one row per text: ``_sha``, ``_size`` and the record that stays."""
+
+    def merge(key: tuple, group: pa.Table) -> pa.Table:
+        records = merged(unpacked(group["run"]))
+        raw = records.tobytes()
+        columns = [pa.array([raw[i : i + 32].hex() for i in range(0, len(raw), RECORD.itemsize)])]
+        columns += [pa.array(records[n].astype(np.int64)) for n in ("size", "chars", "id", "row", "rows")]
+        return pa.table(columns, ["_sha", "_size", "keep_chars", "keep", "keep_row", "group_size"])
 
-    schema = "_sha string, _size long, keep_chars long, keep long, keep_row long, group_size long"
-    return runs.mapInArrow(rows, schema)
+    return runs.groupBy("at").applyInArrow(merge, TEXTS)
 
 
 def kept_texts(rows: DataFrame, rounds: int) -> DataFrame:
     """One row per text of stored digest records that have their partition in ``_at``."""
     runs = rows.groupBy("_at").applyInArrow(first_runs, RUNS)
-    for place in range(rounds):
+    for place in range(1, rounds):
         runs = exchange(runs, place)
-    return spread_runs(runs)
+    return last_round(runs)
 
 
 def rounds_for(count: int) -> int:

@@ -88,7 +88,7 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded, and decoded again from its ids."""
-    rows = bpe.decode(bpe.encode(table(spark, folder, "documents"), TOKENIZER), TOKENIZER)
+    rows = bpe.encode(table(spark, folder, "documents"), TOKENIZER, decoded=True)
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
