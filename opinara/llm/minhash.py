@@ -304,8 +304,12 @@ def near_duplicates(
     classes = stored(classes, "classes")
 
     keyed = classes.select("node", F.explode("bands").alias("key"))
-    pivots = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).filter("members > 1")
-    stars = stored(keyed.join(pivots, "key").select("key", "node", "pivot"), "buckets")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    shared = stored(keyed.join(shared, "key"), "shared")
+    # The pivot of a bucket is the member that meets most others over all its buckets: the middle of a group, if any.
+    met = shared.groupBy("node").agg(F.sum("members").alias("met"))
+    pivots = shared.join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("most"))
+    stars = stored(shared.join(pivots, "key").select("key", "node", F.col("most.node").alias("pivot")), "buckets")
     spokes = stars.filter("node <> pivot")
     close = spokes.select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
     close = close.join(prefixed(classes, "u"), "u").join(prefixed(classes, "v"), "v").filter(near("u", "v", percent))
