@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.llm import bpe, exact_dedup, minhash, mixing, quality
-from opinara.llm.common import stored
+from opinara.llm.common import stored, with_place
 from opinara.llm.queries import TOKENIZER
 
 
@@ -40,9 +40,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix, and a digest of the text that they decode to."""
-    rows = bpe.encode(docs, TOKENIZER, decoded=True)
-    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Token ids of every document of the mix, and a digest of the text that they decode to.
+
+    ``position`` is the row's place in training order, from 0: rows of a stored table come back in
+    any order, so it is taken from the files that the mix was written to.
+    """
+    placed = with_place(docs, "position").select(F.struct("doc_id", "position").alias("row"), "text")
+    rows = bpe.encode(placed, TOKENIZER, "row", decoded=True)
+    return rows.select(
+        "row.doc_id", "row.position", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256")
+    )
 
 
 STAGES = [

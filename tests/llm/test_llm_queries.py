@@ -82,3 +82,28 @@ def test_stages_keep_the_columns(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, FOLDER).count() == 0
+
+
+def test_tokens_carry_the_training_order(spark):
+    from pyspark.sql import functions as F
+
+    from opinara.llm import mixing
+    from opinara.llm.common import stored
+
+    text = F.concat(F.lit("w"), F.repeat(F.lit(" w"), F.pmod(F.xxhash64("id"), F.lit(400)).cast("int")))
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), text.alias("text"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"))
+    docs = stored(docs, "some-docs")
+    plan = {r["doc_id"]: r["positions"] for r in mixing.mixed(docs, least=1.0).collect()}
+    spread = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in spread.items():
+        spark.conf.set(name, value)
+    try:
+        mix = stored(corpus_pipeline.mix_sources(spark, docs, FOLDER), "some-mix")
+    finally:
+        for name in spread:
+            spark.conf.unset(name)
+    assert len(mix.inputFiles()) > 1
+    rows = sorted(corpus_pipeline.tokenize(spark, mix, FOLDER).collect(), key=lambda r: r["position"])
+    assert [r["position"] for r in rows] == list(range(sum(map(len, plan.values()))))
+    places = [plan[r["doc_id"]].pop(0) for r in rows]
+    assert places == sorted(places) and not any(plan.values())
