@@ -105,7 +105,9 @@ def thread_payloads(spark: SparkSession, folder: str) -> DataFrame:
     text = F.concat(normalize_space(F.col("text")), F.lit(" &lt;b&gt; &amp; &eacute;"))
     comment = F.struct(F.struct(text.alias("textDisplay")).alias("snippet"))
     nested = F.struct(F.struct(comment.alias("topLevelComment")).alias("snippet"))
-    turns = table(spark, folder, "conversations").groupBy("conv_id").agg(F.collect_list(nested).alias("items"))
+    # A thread is landed as many lines of at most 128 comments, whatever the turns are numbered.
+    paged = table(spark, folder, "conversations").withColumn("_page", F.shiftright(F.monotonically_increasing_id(), 7))
+    turns = paged.groupBy("conv_id", "_page").agg(F.collect_list(nested).alias("items"))
     threads = turns.select(
         F.concat(F.lit("T"), F.col("conv_id"), F.lit(" &amp; co")).alias("video_title"),
         F.concat(F.lit("v"), F.col("conv_id")).alias("video_id"),

@@ -155,3 +155,18 @@ def test_json_payloads(spark, tmp_path):
     write(tmp_path / "threads.json", '{"video_title":"A &amp; B","video_id":"v","items":[{"snippet":{"topLevelComment":{"snippet":{"textDisplay":"it&#39;s"}}}},{"snippet":null}]}\n')
     rows = payloads.thread_comments(spark, str(tmp_path / "threads.json")).collect()
     assert [tuple(r) for r in rows] == [("A & B", "v", "it's")]
+
+
+def test_long_threads_land_as_many_lines(spark, tmp_path, monkeypatch):
+    from opinara.catalog import source_queries
+
+    turn = F.when(F.col("id") % 2 == 0, F.col("id"))
+    turns = spark.range(3000).select(F.lit(7).alias("conv_id"), turn.alias("turn"), F.lit("user").alias("role"), F.concat(F.lit("text "), "id").alias("text"))
+    turns.write.parquet(str(tmp_path / "conversations.parquet"))
+    landed = []
+    explode = payloads.thread_comments
+    monkeypatch.setattr(source_queries.payloads, "thread_comments", lambda spark, path: landed.append(path) or explode(spark, path))
+    found = source_queries.thread_payloads(spark, str(tmp_path))
+    assert found.distinct().count() == found.count() == 3000
+    lines = spark.read.json(landed[0]).select(F.size("items").alias("n")).collect()
+    assert sum(r["n"] for r in lines) == 3000 and max(r["n"] for r in lines) <= 128
