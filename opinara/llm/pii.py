@@ -91,6 +91,19 @@ class Kind:
     base: bool = True
 
 
+#: Countries by the length of their account numbers (IBAN registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FO FI GL NL FK SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG DJ",
+    25: "LY PT ST", 26: "IS TR", 27: "BI FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+#: A number of a listed country, at its whole length.
+LISTED = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+LISTED = rf"(?:{LISTED})(?![A-Za-z0-9])"
+#: Any other run of that form, up to where a number of a listed country starts.
+OTHER = rf"[A-Z]{{2}}[0-9]{{2}}(?:(?!\x20{LISTED})\x20?[A-Z0-9]){{11,30}}"
+
 #: In the order in which spans of one start are listed. Groups that repeat are possessive:
 #: nothing follows them that a shorter repetition could help, and they need no stack. The
 #: email pattern starts only where a run of its characters does, or the last match ended.
@@ -103,7 +116,7 @@ KINDS = (
     Kind("card", r"[0-9](?:[\x20-]?[0-9])++", 0.4, "card|visa|credit|payment|pay", luhn, checksum=True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 0.5, "phone|call|tel|mobile|fax", phone_length, needs="+"),
     Kind(
-        "iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}", 0.3, "iban|account|bank|transfer|konto", mod_97,
+        "iban", rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{LISTED}|{OTHER})", 0.3, "iban|account|bank|transfer|konto", mod_97,
         checksum=True, bounded=True, base=False,
     ),
     Kind("ssn", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", 0.3, "ssn|social|security", issued, needs="-", bounded=True, base=False),

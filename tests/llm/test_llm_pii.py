@@ -74,5 +74,23 @@ def test_checks_and_context(spark):
     assert scores[0] == 1.0 and scores[3] == 0.6
 
 
+def test_account_numbers_end_at_their_length(spark):
+    texts = {
+        "DE89370400440532013000 Please": [(0, 22)],
+        "DE89 3704 0044 0532 0130 00 BIC COBADEFF": [(0, 27)],
+        "pay DE89 3704 0044 0532 0130 00 2024 12": [(4, 31)],
+        "DE89370400440532013000 GB29 NWBK 6016 1331 9268 19 OK": [(0, 22), (23, 50)],
+        "REF AA11 DE89370400440532013000 NO93 8601 1117 947 A": [(9, 31), (32, 50)],
+        "xDE89370400440532013000 FR14 2004 1010 0505 0001 3M02 606": [(24, 57)],
+        "MT84MALT011000012345MTLCAST001S\nX": [(0, 31)],
+        "DE89370400440532013000X DE89370400440532013001 Please": [],
+    }
+    docs = spark.createDataFrame(list(texts.items()), "text string, want array<struct<a: int, b: int>>").withColumn("doc_id", F.monotonically_increasing_id())
+    rows = pii.personal_data(docs).join(docs, "doc_id").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert [(x["start"], x["stop"]) for x in r["found"] if x["kind"] == "iban"] == [tuple(w) for w in r["want"]], r["text"]
+
+
 def test_no_rows(spark):
     assert pii.personal_data(spark.createDataFrame([], "doc_id int, text string")).collect() == []
