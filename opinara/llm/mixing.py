@@ -145,7 +145,8 @@ def mixed(
     times (0 to 1) of its copies, empty if it is not taken. Without ``schedules`` the
     defaults apply. Null text has size 0, null sources are a source of their own,
     a null id is shuffled as ''. Rows that repeat are taken one by one. A source
-    without words has target 0. Other columns are left out. An empty table gives none.
+    without words has target 0; with ``least`` of 1 or more its rows have the position 0.0 once.
+    Other columns are left out. An empty table gives none.
     """
     sizes = stored(measured(docs, id_col, text_col, source_col), "sizes")
     sources = sizes.groupBy("_source").agg(F.sum("_size").alias("size"))
@@ -157,6 +158,8 @@ def mixed(
     turns = F.filter(F.sequence(F.lit(0), F.lit(passes - 1)), lambda turn: (middle(turn) <= F.col("target")) & (F.col("target") > 0))
     rows = rows.withColumn("_turns", turns)
     times = F.transform("_turns", lambda turn: time_of(middle(turn) / F.col("target"), F.col("pieces"), F.col("weight")))
+    if least >= 1:
+        times = F.when(F.col("source_size") == 0, F.array(F.lit(0.0))).otherwise(times)
     return rows.select(
         F.col("_id").alias(id_col), F.col("_size").alias("size"), "source_size", "target",
         (F.size("_turns") * F.col("_size")).cast("long").alias("taken"), times.alias("positions"),

@@ -89,3 +89,13 @@ def test_no_words_and_no_rows(spark):
     docs = spark.createDataFrame([(1, None, "a", "", 0, 0), (None, "", None, "", 0, 0)], CLASH)
     assert all(r["target"] == 0 and r["taken"] == 0 for r in mixing.mixed(docs).collect())
     assert mixing.mixed(docs.limit(0)).collect() == []
+
+
+def test_a_source_without_words_stays_in_the_mix(spark):
+    rows = [(1, None, "a", "", 0, 0), (2, " \n", "a", "", 0, 0), (3, "x y", "b", "", 0, 0), (4, "", None, "", 0, 0), (5, "z", "b", "", 0, 0)]
+    docs = spark.createDataFrame(rows, CLASH)
+    plan = mixing.mixed(docs, least=1.0)
+    wordless = {r["doc_id"]: (r["taken"], r["positions"]) for r in plan.collect() if r["source_size"] == 0}
+    assert wordless == {1: (0, [0.0]), 2: (0, [0.0]), 4: (0, [0.0])}
+    got = [r["doc_id"] for r in mixing.training_order(docs, plan).collect()]
+    assert set(got) == {1, 2, 3, 4, 5} and [got.count(i) for i in (1, 2, 4)] == [1, 1, 1]
