@@ -36,3 +36,30 @@ def sums_before(numbers: Column) -> Column:
         return once(blocks, with_blocks)
 
     return once(F.greatest(F.ceil(F.sqrt(F.size(numbers))).cast("int"), F.lit(1)), with_width)
+
+
+def maxima_before(numbers: Column, least: int) -> Column:
+    """For each number of an int array the largest of those before it, ``least`` for the first.
+
+    Block by block as ``sums_before``. An empty array gives an empty one.
+    """
+    larger = lambda s, x: F.greatest(s, x)
+    top = lambda array, first, number: F.aggregate(F.slice(array, first, number), F.lit(least), larger)
+
+    def with_width(values: Column, width: Column) -> Column:
+        last = F.greatest(F.floor((F.size(values) - 1) / width).cast("int"), F.lit(0))
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda b: top(values, b * width + 1, width))
+
+        def with_before(before: Column) -> Column:
+            def value(i: Column) -> Column:
+                block = F.floor(i / width).cast("int")
+                return F.greatest(F.get(before, block), top(values, block * width + 1, i % width))
+
+            return F.transform(values, lambda _, i: value(i))
+
+        return once(blocks, lambda b: once(F.transform(b, lambda _, i: top(b, F.lit(1), i)), with_before))
+
+    def with_values(values: Column) -> Column:
+        return once(F.greatest(F.ceil(F.sqrt(F.size(values))).cast("int"), F.lit(1)), lambda width: with_width(values, width))
+
+    return once(numbers, with_values)

@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
-from . import bpe, caps, chat, exact_dedup, minhash, mixing, packing, pii, quality, warc
+from . import bpe, caps, chat, exact_dedup, minhash, mixing, packing, pii, quality, scan_queries, warc
 from .registry import QUERIES, SQL, query, table
 
-__all__ = ["QUERIES", "SQL"]
+__all__ = ["QUERIES", "SQL", "scan_queries"]
 
 #: The rank file that texts are packed with, and the pattern that splits them.
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
