@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses
+from . import licenses, resample
 from .registry import query, table
 
 
@@ -73,3 +73,53 @@ def op13_licenses(spark: SparkSession, folder: str) -> DataFrame:
         joined(F.concat(of("places", "label"), of("found", "label"))).alias("labels"),
         F.greatest(some, F.coalesce(F.array_max(sure), F.lit(0.0))).alias("score"),
     )
+
+
+#: CRC-32 of a list of bytes, by a table of the 256 one-byte steps.
+_CRC_TABLE = """
+crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+  lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS steps)"""
+
+
+def _crc32(bytes_list: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_list}), lambda x, b: xor(x >> 8, steps[1 + (xor(x, b) & 255)])), 4294967295)"
+
+
+_UTF8 = "list_transform(range(strlen(f)), lambda i: CAST('0x' || substr(hex(encode(f)), 2 * i + 1, 2) AS BIGINT))"
+RESAMPLE = rf"""
+WITH {_CRC_TABLE},
+lists AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+own AS (SELECT r, unnest(w) AS f FROM lists),
+wanted AS (SELECT unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS f
+  FROM benchmark),
+hashed AS (
+  SELECT f, {_crc32(_UTF8)} % 10000 AS bucket
+  FROM (SELECT f FROM own UNION SELECT f FROM wanted) CROSS JOIN crc),
+s AS (SELECT bucket, count(*) AS n FROM own JOIN hashed USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM wanted JOIN hashed USING (f) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM s), 0) + 10000)::DOUBLE
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket)),
+sums AS (SELECT r, sum(gain)::BIGINT AS weight FROM own JOIN hashed USING (f) JOIN gains USING (bucket) GROUP BY r),
+noised AS (
+  SELECT doc_id, len(w) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+    (CAST('0x' || left(sha256('2024:' || doc_id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM lists LEFT JOIN sums USING (r)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id, n_features) AS place,
+         (SELECT 10 * count(*) // 100 FROM noised WHERE n_features >= 20) AS number
+  FROM noised)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score, CASE WHEN n_features >= 20 AND place <= number THEN place END AS rank
+FROM ranked
+"""
+
+
+@query(RESAMPLE)
+def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and rank of every document toward the texts of the benchmark."""
+    return resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("n_words")
