@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, resample
+from . import licenses, resample, runs
+from .arrays import once
+from .common import SPACE
 from .registry import query, table
 
 
@@ -123,3 +125,66 @@ FROM ranked
 def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
     """Weight, score and rank of every document toward the texts of the benchmark."""
     return resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("n_words")
+
+
+RUNS = rf"""
+WITH {_CRC_TABLE},
+lists AS (
+  SELECT doc_id, row_number() OVER () AS r, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w,
+         {_crc32("list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))")} AS h
+  FROM documents CROSS JOIN crc),
+planned AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, 3 + (h // 10) % 8 AS d FROM lists),
+texts AS (
+  SELECT doc_id, r, CASE WHEN a IS NULL THEN w
+    ELSE list_transform(range(len(w)), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (len(w) - a) // d) END]) END AS w
+  FROM planned),
+words AS (SELECT r, unnest(range(len(w))) AS i, unnest(w) AS word FROM texts),
+same AS (
+  SELECT x.r, y.i - x.i AS p, x.i AS i, x.i - row_number() OVER (PARTITION BY x.r, y.i - x.i ORDER BY x.i) AS island
+  FROM words x JOIN words y ON x.r = y.r AND x.word = y.word AND x.i < y.i),
+stretches AS (
+  SELECT r, min(i) AS start, count(*) + p AS length, p FROM same
+  GROUP BY r, p, island HAVING count(*) + p >= greatest(6, 4 * p)),
+runs AS (SELECT r, start, length, min(p) AS period FROM stretches GROUP BY r, start, length),
+gone AS (SELECT DISTINCT words.r, words.i FROM words JOIN runs ON words.r = runs.r AND i >= start + period AND i < start + length),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed FROM words ANTI JOIN gone USING (r, i) GROUP BY r),
+listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM runs GROUP BY r),
+best AS (SELECT r, start, length, period FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY length DESC, start, period) = 1)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM texts LEFT JOIN listed USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; in the texts whose checksum says so the words from some place on repeat the first of them."""
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+
+    def planted(words: Column, g: Column) -> Column:
+        start = (g % F.size(words)).cast("int")
+        period = (1 + F.floor((F.size(words) - start) / (3 + g % 8))).cast("int")
+        place = lambda i: F.when(i < start, i).otherwise(start + (i - start) % period)
+        return F.when(F.size(words) > 0, F.array_join(F.transform(words, lambda _, i: F.get(words, place(i))), " ")).otherwise("")
+
+    words = F.regexp_extract_all("text", F.lit(f"[^{SPACE}]+"), F.lit(0))
+    text = F.when((checksum % 10 == 0) & F.col("text").isNotNull(), once(words, lambda w: planted(w, F.floor(checksum / 10))))
+    return docs.select("doc_id", F.when(checksum % 10 == 0, text).otherwise(F.col("text")).alias("text"))
+
+
+@query(RUNS)
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of every document, some of which get a run by rule."""
+    rows = runs.periodic_runs(with_planted_runs(table(spark, folder, "documents")))
+    best = F.array_max(F.transform("runs", lambda x: F.struct(x["length"].alias("length"), (-x["start"]).alias("back"), (-x["period"]).alias("less"))))
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    rows = rows.withColumn("best", best)
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.back")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.less")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.less")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
