@@ -9,7 +9,8 @@ confirmed on the full sets.
 
 Documents with equal sets are one class from the start. Within a bucket the classes
 are compared with one pivot, not with each other; only classes that are not in the
-pivot's component afterwards are compared with the rest of the bucket.
+pivot's component afterwards are compared with the rest of the bucket, in pairs of blocks:
+first by their bits, and those that meet a similar one there by their full sets.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_or_last, id_or_null, salted_lookup, stored
+from .common import SPACE, id_or_last, id_or_null, salted_lookup, stored
 from .components import components
 from .text_hashes import BLOCK_BYTES, FACTORS, LOWER, block_word_hashes, mixed, word_hashes
 
@@ -34,11 +35,11 @@ BANDS = 24
 ROWS = 5
 HASHES = BANDS * ROWS
 #: Low bits that are kept of a minimum, and minima packed into one long.
-BITS = 2
-PER_LONG = 30
+BITS = 4
+PER_LONG = 15
 LONGS = HASHES // PER_LONG
 #: Estimates this far below the threshold are still confirmed: about five standard errors.
-SLACK = 0.23
+SLACK = 0.19
 #: Shingles hashed at once.
 BLOCK_SHINGLES = 1 << 16
 #: Parts into which the rows of one class or component are dealt.
@@ -123,7 +124,12 @@ def packed_bits(low: np.ndarray) -> np.ndarray:
     return (bits << (BITS * np.arange(PER_LONG, dtype=np.int64))).sum(axis=2)
 
 
-SIGNED = "_id long, n_shingles long, set_key binary, bits array<long>, bands array<long>"
+SIGNED = "_id long, _text1 long, _text2 long, n_shingles long, set_key binary, bits array<long>, bands array<long>"
+
+
+def text_marks(text: Column) -> list[Column]:
+    """128 bits that tell the text of a row."""
+    return [F.xxhash64(text).alias("_text1"), F.xxhash64(F.lit(1), text).alias("_text2")]
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -131,23 +137,23 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            rows = batch.select(["_id", "_text1", "_text2"])
             held: list[np.ndarray] = []
             size = start = 0
-            for items in text_sets(texts, width):
+            for items in text_sets(batch["_text"], width):
                 held.append(items)
                 size += len(items)
                 if size >= 8 * BLOCK_SHINGLES:
-                    yield signed(ids.slice(start, len(held)), held)
+                    yield signed(rows.slice(start, len(held)), held)
                     start, held, size = start + len(held), [], 0
             if held:
-                yield signed(ids.slice(start, len(held)), held)
+                yield signed(rows.slice(start, len(held)), held)
 
-    chosen = docs.select(id_or_last(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    chosen = docs.select(id_or_last(id_col).alias("_id"), *text_marks(F.col(text_col)), F.col(text_col).alias("_text"))
     return chosen.mapInArrow(run, SIGNED)
 
 
-def signed(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+def signed(rows: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
     full = [i for i, items in enumerate(sets) if len(items)]
     bits: list[list[int] | None] = [None] * len(sets)
     bands: list[list[int] | None] = [None] * len(sets)
@@ -156,12 +162,12 @@ def signed(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
         low = minima([sets[i] for i in full])
         for i, b, k in zip(full, packed_bits(low).tolist(), band_keys(low).tolist(), strict=True):
             bits[i], bands[i], keys[i] = b, k, set_key(sets[i])
-    sizes = pa.array([len(items) for items in sets], pa.int64())
     longs = pa.list_(pa.int64())
-    return pa.RecordBatch.from_arrays(
-        [ids, sizes, pa.array(keys, pa.binary()), pa.array(bits, longs), pa.array(bands, longs)],
-        ["_id", "n_shingles", "set_key", "bits", "bands"],
-    )
+    added = {
+        "n_shingles": pa.array([len(items) for items in sets], pa.int64()), "set_key": pa.array(keys, pa.binary()),
+        "bits": pa.array(bits, longs), "bands": pa.array(bands, longs),
+    }
+    return pa.RecordBatch.from_arrays([*rows.columns, *added.values()], [*rows.schema.names, *added])
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -209,62 +215,88 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: float) -> DataFrame:
     return rows.filter(100 * F.col("c") >= percent * (F.col("s") - F.col("c"))).select("u", "v")
 
 
-def late_links(stars: DataFrame, close: DataFrame, roots: DataFrame, classes: DataFrame, sets: DataFrame, percent: float) -> DataFrame:
-    """Links of the members that are close to their pivot by the estimate, but not in its component.
+def open_members(stars: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of the buckets in which some are not in the pivot's component, dealt as pairs of blocks.
 
-    They are compared with the other close members of their bucket where these lie, a bucket
-    of many members as pairs of blocks; only links that join components leave the task.
+    Two members of different components are compared where they share their first bucket; at
+    least one of them is ``outside`` the component of the pivot there.
     """
-    found = (F.col("node") == F.col("u")) & (F.col("pivot") == F.col("v"))
-    spokes = stars.join(close, found, "left_semi").select("key", "node", "pivot")
     labels = roots.select("node", "root")
-    spokes = spokes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    members = stars.filter("node <> pivot").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mains = labels.select(F.col("node").alias("pivot"), F.col("root").alias("main"))
-    spokes = spokes.join(mains, "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
+    members = members.join(mains, "pivot", "left")
+    members = members.select("key", "node", "root", (F.col("root") != F.coalesce("main", "pivot")).alias("outside"))
     # The pivot itself has been compared with all; two others are needed, one of them outside.
-    open_keys = spokes.groupBy("key").agg(F.count("*").alias("_n"), F.max((F.col("root") != F.col("main")).cast("int")).alias("_out"))
+    open_keys = members.groupBy("key").agg(F.count("*").alias("_n"), F.max(F.col("outside").cast("int")).alias("_out"))
     open_keys = open_keys.filter("_n > 1 AND _out = 1").select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks"))
-    members = spokes.join(open_keys, "key").withColumn("outside", F.col("root") != F.col("main"))
+    members = members.join(open_keys, "key").join(classes.select("node", "n", "bits", "bands"), "node")
     members = members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = members.select("key", "node", "root", "outside", "blocks", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_other"))
+    members = members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     part = F.least("block", "_other").cast("long") * F.col("blocks") + F.greatest("block", "_other")
-    members = members.select("key", part.alias("part"), "blocks", "node", "root", "outside", "block")
-    members = members.join(classes.select("node", "bits", "bands"), "node").join(sets, "node")
-    return members.groupBy("key", "part", "blocks").applyInArrow(compared(percent), "u long, v long")
+    return members.withColumn("part", part).select(*(field.split(" ")[0] for field in MEMBER.split(", ")))
+
+
+#: A member of a part.
+MEMBER = "key long, part long, blocks int, block int, node long, root long, outside boolean, n long, bits array<long>, bands array<long>"
+
+
+class Part:
+    """The members of one pair of blocks of a bucket."""
+
+    def __init__(self, key: tuple, group: pa.Table, percent: float) -> None:
+        self.key, self.part, self.blocks = (k.as_py() for k in key)
+        self.percent = percent
+        self.nodes, self.outside, self.block, self.sizes = (group[c].to_numpy() for c in ("node", "outside", "block", "n"))
+        self.roots = group["root"].to_numpy().copy()
+        self.bits, self.bands = (group[c].combine_chunks().flatten().to_numpy().reshape(len(group), -1) for c in ("bits", "bands"))
+
+    def similar(self, x: int) -> np.ndarray:
+        """The members of other components that may be linked with the outside member ``x`` and that meet it here."""
+        small, large = np.minimum(self.sizes, self.sizes[x]), np.maximum(self.sizes, self.sizes[x])
+        fit = (self.roots != self.roots[x]) & (100 * small >= self.percent * large)
+        fit &= ~self.outside | (np.arange(len(self.nodes)) > x)
+        if self.part // self.blocks != self.part % self.blocks:
+            fit &= self.block != self.block[x]
+        at = np.flatnonzero(fit)
+        at = at[estimates(self.bits[at], self.bits[x]) >= self.percent / 100 - SLACK]
+        same = self.bands[at] == self.bands[x]
+        return at[self.bands[x][same.argmax(axis=1)] == self.key]
+
+
+def suspected(percent: float):
+    """The members of a part that may be linked with another of it."""
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        part = Part(key, group.sort_by("node"), percent)
+        hit = np.zeros(len(part.nodes), bool)
+        for x in np.flatnonzero(part.outside):
+            at = part.similar(x)
+            hit[at] = True
+            hit[x] |= len(at) > 0
+        return group.sort_by("node").filter(pa.array(hit))
+
+    return run
 
 
 def compared(percent: float):
-    """Compares the members of one part of a bucket, each pair in the first bucket that it shares."""
+    """Links between the members of a part that join components."""
 
     def run(key: tuple, group: pa.Table) -> pa.Table:
-        here, part, blocks = (k.as_py() for k in key)
         group = group.sort_by("node")
-        nodes, outside, block = (group[c].to_numpy() for c in ("node", "outside", "block"))
-        roots = group["root"].to_numpy().copy()
+        part = Part(key, group, percent)
         items = [x.values.to_numpy() for x in group["items"]]
-        sizes = np.array([len(x) for x in items])
-        bits, bands = (np.array(group[c].to_pylist(), np.int64) for c in ("bits", "bands"))
         u, v = [], []
-        for x in np.flatnonzero(outside):
-            small, large = np.minimum(sizes, sizes[x]), np.maximum(sizes, sizes[x])
-            fit = (roots != roots[x]) & (100 * small >= percent * large)
-            fit &= ~outside | (np.arange(len(nodes)) > x)
-            if part // blocks != part % blocks:
-                fit &= block != block[x]
-            at = np.flatnonzero(fit)
-            at = at[estimates(bits[at], bits[x]) >= percent / 100 - SLACK]
-            if len(at):
-                same = bands[at] == bands[x]
-                at = at[bands[x][same.argmax(axis=1)] == here]
+        for x in np.flatnonzero(part.outside):
+            at = part.similar(x)
             if not len(at):
                 continue
             shared = np.isin(np.concatenate([items[y] for y in at]), items[x])
-            common = np.add.reduceat(shared.astype(np.int64), np.cumsum([0, *sizes[at[:-1]]]))
-            for y in at[100 * common >= percent * (sizes[at] + sizes[x] - common)]:
-                if roots[y] != roots[x]:
-                    u.append(nodes[x])
-                    v.append(nodes[y])
-                    roots[roots == roots[y]] = roots[x]
+            common = np.add.reduceat(shared.astype(np.int64), np.cumsum([0, *part.sizes[at[:-1]]]))
+            for y in at[100 * common >= percent * (part.sizes[at] + part.sizes[x] - common)]:
+                if part.roots[y] != part.roots[x]:
+                    u.append(part.roots[x])
+                    v.append(part.roots[y])
+                    part.roots[part.roots == part.roots[y]] = part.roots[x]
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return run
@@ -281,71 +313,79 @@ def estimates(bits: np.ndarray, own: np.ndarray) -> np.ndarray:
     return (1 - ones / HASHES - chance) / (1 - chance)
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: float = PERCENT
-) -> DataFrame:
-    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``.
+def shared_buckets(classes: DataFrame) -> DataFrame:
+    """``key``, ``node`` and ``pivot`` of the buckets that hold two classes or more.
 
-    Words are runs without ASCII white space, A-Z lower-cased. A text of fewer than
-    ``width`` words is one shingle; one without words, or null, has the empty set and is
-    linked with nothing. Links join documents of at least ``percent`` similarity,
-    confirmed on full sets of 64-bit shingle hashes. Equal sets are linked. The
-    component is named by its smallest id; a null id comes last, and stands for itself
-    where all are null. Rows that share an id are separate documents of one name.
-    Other columns are left out. An empty table gives an empty result.
+    The pivot is the member that meets most others over all its buckets: the middle of a group, if any.
     """
-    marks = signatures(docs, id_col, text_col, width).withColumn("_row", F.monotonically_increasing_id())
-    marks = stored(marks, "signatures")
-    full = marks.filter("n_shingles > 0")
-    classes = full.groupBy("set_key").agg(
-        F.min("_row").alias("node"), F.min("_id").alias("least_id"), F.min("n_shingles").alias("n"),
-        F.any_value("bits").alias("bits"), F.any_value("bands").alias("bands"),
-    )
-    classes = stored(classes, "classes")
-
     keyed = classes.select("node", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
     shared = stored(keyed.join(shared, "key"), "shared")
-    # The pivot of a bucket is the member that meets most others over all its buckets: the middle of a group, if any.
     met = shared.groupBy("node").agg(F.sum("members").alias("met"))
     pivots = shared.join(met, "node").groupBy("key").agg(F.max(F.struct("met", "node")).alias("most"))
-    stars = stored(shared.join(pivots, "key").select("key", "node", F.col("most.node").alias("pivot")), "buckets")
-    spokes = stars.filter("node <> pivot")
-    close = spokes.select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
-    close = close.join(prefixed(classes, "u"), "u").join(prefixed(classes, "v"), "v").filter(near("u", "v", percent))
-    close = stored(close.select("u", "v"), "close")
-
-    # Members that the estimate keeps from the pivot, with all others of their bucket.
-    members = stars.join(classes.select("node", "n", "bits"), "node")
-    mine = members.select("key", F.col("node").alias("u"), F.col("n").alias("un"), F.col("bits").alias("ubits"))
-    theirs = members.select("key", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("bits").alias("vbits"))
-    far = spokes.join(close, (F.col("node") == F.col("u")) & (F.col("pivot") == F.col("v")), "left_anti").select("key", F.col("node").alias("u"))
-    apart = mine.join(far, ["key", "u"], "left_semi").join(theirs, "key").filter((F.col("u") != F.col("v")) & near("u", "v", percent))
-    apart = apart.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    pairs = stored(close.unionByName(apart).distinct(), "pairs")
-
-    named = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    named = classes.select("node", "set_key", "least_id").join(named, "node", "left_semi")
+    return stored(shared.join(pivots, "key").select("key", "node", F.col("most.node").alias("pivot")), "buckets")
+
+
+def class_roots(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, width: int, percent: float) -> DataFrame:
+    """``node`` and ``root`` of every class that is linked with another."""
+    stars = shared_buckets(classes)
+    close = stars.filter("node <> pivot").select(F.col("node").alias("u"), F.col("pivot").alias("v")).distinct()
+    close = close.join(prefixed(classes, "u"), "u").join(prefixed(classes, "v"), "v").filter(near("u", "v", percent)).select("u", "v")
+
+    named = classes.select("node", "set_key", "least_id").join(stars.select("node").distinct(), "node", "left_semi")
     texts = docs.select(id_or_last(id_col).alias("_id"), F.col(text_col).alias("_text"))
     texts = texts.join(named.select(F.col("least_id").alias("_id")).distinct(), "_id", "left_semi")
-    sets = shingle_sets(texts.select("_id", "_text"), width).join(named.select("node", "set_key"), "set_key")
+    sets = shingle_sets(texts, width).join(named.select("node", "set_key"), "set_key")
     sets = stored(sets.select("node", "items").dropDuplicates(["node"]), "sets")
 
-    links = stored(confirmed(pairs, sets, percent), "confirmed")
-    roots = stored(components(links), "roots")
+    roots = stored(components(confirmed(close, sets, percent)), "roots")
+    members = open_members(stars, roots, classes)
+    suspects = stored(members.groupBy("key", "part", "blocks").applyInArrow(suspected(percent), MEMBER), "suspects")
+    if suspects.isEmpty():
+        return roots
+    late = suspects.join(sets, "node").groupBy("key", "part", "blocks").applyInArrow(compared(percent), "u long, v long")
+    tops = stored(components(late).select(F.col("node").alias("root"), F.col("root").alias("top")), "tops")
+    alone = tops.join(roots, "root", "left_anti").select(F.col("root").alias("node"), "top")
+    joined = roots.join(tops, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return joined.unionByName(alone.withColumnRenamed("top", "root"))
 
-    late = stored(late_links(stars, close, roots, classes, sets, percent), "late")
-    if not late.isEmpty():
-        roots = stored(components(links.unionByName(late)), "roots")
 
+def labelled_rows(docs: DataFrame, id_col: str, text_col: str, width: int, percent: float) -> DataFrame:
+    """``_id``, ``n_shingles``, the marks of the text, ``root`` and ``component`` of every row; without words no root."""
+    marks = signatures(docs, id_col, text_col, width).withColumn("_row", F.monotonically_increasing_id())
+    marks = stored(marks, "signatures")
+    full = marks.filter("n_shingles > 0")
+    classes = full.groupBy("set_key").agg(
+        F.min("_row").alias("node"), F.min("_id").alias("least_id"), F.min("n_shingles").alias("n"),
+        F.any_value("bits").alias("bits"), F.any_value("bands").alias("bands"),
+    )
+    classes = stored(classes, "classes")
+    roots = class_roots(docs, classes, id_col, text_col, width, percent)
     labelled = classes.select("node", "set_key", "least_id").join(roots, "node", "left")
     labelled = labelled.withColumn("root", F.coalesce("root", "node")).withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
     smallest = labelled.groupBy("root").agg(F.min("least_id").alias("component"))
-    labelled = salted_lookup(labelled, smallest, "root", "_salt").select("set_key", "component")
-    rows = full.select("_id", "n_shingles", "set_key", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).alias("_salt"))
-    rows = salted_lookup(rows, labelled, "set_key", "_salt").select("_id", "n_shingles", "component")
-    empty = marks.filter("n_shingles = 0").select("_id", "n_shingles", F.col("_id").alias("component"))
-    return rows.unionByName(empty).select(
+    labelled = salted_lookup(labelled, smallest, "root", "_salt").select("set_key", "root", "component")
+    own = ["_id", "n_shingles", "_text1", "_text2"]
+    rows = full.select(*own, "set_key", F.pmod(F.xxhash64("_row"), F.lit(SALTS)).alias("_salt"))
+    rows = salted_lookup(rows, labelled, "set_key", "_salt").select(*own, "root", "component")
+    empty = marks.filter("n_shingles = 0").select(*own, F.lit(None).cast("long").alias("root"), F.col("_id").alias("component"))
+    return rows.unionByName(empty)
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: float = PERCENT
+) -> DataFrame:
+    """One row per row of ``docs``: id, ``n_shingles``, ``component_id``, ``kept``.
+
+    Words are runs without ASCII white space, A-Z lower-cased. A text of fewer than
+    ``width`` words is one shingle; one without words, or null, has the empty set and is
+    linked with nothing. Links join documents of at least ``percent`` similarity,
+    confirmed on full sets of 64-bit shingle hashes. Equal sets are linked. The
+    component is named by its smallest id; a null id comes last, and stands for itself
+    where all are null. Rows that share an id are separate documents of one name.
+    Other columns are left out. An empty table gives an empty result.
+    """
+    return labelled_rows(docs, id_col, text_col, width, percent).select(
         id_or_null(F.col("_id")).alias(id_col),
         "n_shingles",
         id_or_null(F.col("component")).alias("component_id"),
@@ -354,7 +394,15 @@ def near_duplicates(
 
 
 def without_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, percent: float = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: those whose id names its component."""
-    kept = near_duplicates(docs, id_col, text_col, width, percent).filter("kept").select(id_or_last(id_col).alias("_key")).distinct()
-    rows = docs.select(F.struct("*").alias("_doc"), id_or_last(id_col).alias("_key"))
-    return rows.join(kept, "_key", "left_semi").select("_doc.*")
+    """The rows of ``docs`` that stay, with all their columns: one row of each component.
+
+    It is the one of smallest id, a null id last; of several rows of that id one, whichever has the least
+    hash of its text. Rows without words are linked with nothing and all stay.
+    """
+    keys = ["_id", "_text1", "_text2"]
+    found = labelled_rows(docs, id_col, text_col, width, percent).filter("n_shingles > 0")
+    kept = found.groupBy("root").agg(F.min(F.struct(*keys)).alias("_least")).select("_least.*")
+    rows = docs.select(F.struct("*").alias("_doc"), id_or_last(id_col).alias("_id"), *text_marks(F.col(text_col)))
+    worded = F.coalesce(F.col(text_col).rlike(f"[^{SPACE}]"), F.lit(False))
+    stay = rows.join(kept, keys, "left_semi").dropDuplicates(keys).select("_doc.*")
+    return stay.unionByName(docs.filter(~worded))

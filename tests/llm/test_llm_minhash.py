@@ -77,6 +77,30 @@ def test_against_brute_force(spark, monkeypatch, width, percent):
     assert {r["doc_id"] for r in left.collect()} == {r["doc_id"] for r in found if r["kept"]}
 
 
+def test_one_row_of_each_component_stays(spark):
+    t, u, other = "one two three four five six seven eight nine ten eleven twelve", "a b c d e f", "v w x y z"
+    near = t + " thirteen"
+    rows = [(1, t), (None, t), (None, near), (None, u), (None, u), (7, other), (7, near), (7, u + " "), (8, None), (8, None), (9, " "), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = sorted(map(tuple, minhash.without_near_copies(docs).collect()), key=str)
+    assert left == sorted([(1, t), (7, u + " "), (7, other), (8, None), (8, None), (9, " "), (None, "")], key=str)
+
+
+def test_texts_that_share_a_passage(spark):
+    """Buckets of many members, none of them similar enough; some in groups of their own."""
+    pick = random.Random(5)
+    word = lambda: f"w{pick.randrange(10**6)}"
+    passage = [word() for _ in range(60)]
+    rows = []
+    for i in range(400):
+        own = [word() for _ in range(25)]
+        rows.append((i, " ".join(passage + own)))
+        if i % 40 == 0:
+            rows.append((1000 + i, " ".join(passage + own[:-1])))
+    found = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: i % 1000 for i, _ in rows}
+
+
 def test_long_text_in_blocks_equals_whole(monkeypatch):
     import numpy as np
 
