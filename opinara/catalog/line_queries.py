@@ -286,15 +286,16 @@ def relevance_filter(spark: SparkSession, folder: str) -> DataFrame:
     return rows.where(relevant(F.col("shown"))).select("doc_id")
 
 
-def post_candidates(spark: SparkSession, folder: str) -> DataFrame:
+def post_candidates(spark: SparkSession, folder: str, address: Column | None = None) -> DataFrame:
     """Documents as posts: source as keyword, three result pages, repeated addresses."""
     docs = table(spark, folder, "documents")
+    address = (F.col("doc_id") % 41).cast("string") if address is None else address
     return docs.select(
         F.substring("source", 4, 9).cast("int").alias("keyword_order"),
         F.col("source").alias("keyword"),
         (F.col("doc_id") % 3 + 1).cast("int").alias("page"),
         F.col("doc_id").alias("pos"),
-        F.concat(F.lit("//weibo.com/u"), (F.col("n_chars") % 97).cast("string"), F.lit("/R"), (F.col("doc_id") % 41).cast("string"), F.lit("?a=1")).alias("post_url"),
+        F.concat(F.lit("//weibo.com/u"), (F.col("n_chars") % 97).cast("string"), F.lit("/R"), address, F.lit("?a=1")).alias("post_url"),
         F.col("text").alias("post_content"),
     )
 

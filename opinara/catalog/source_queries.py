@@ -156,21 +156,24 @@ def svm_invariants(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", F.col("topic_label").isin(0, 1).alias("labelled"))
 
 
+#: Three neighbouring documents share an address, so there is one for every three rows of any table.
+ADDRESS_SQL = "left(md5(CAST(doc_id // 3 AS VARCHAR)), 12)"
 POSTS = (
     f"WITH {LQ.SCORES}, c AS (SELECT right(source, -3)::INT AS keyword_order, source AS keyword, text, (doc_id % 3 + 1)::INT AS page, doc_id AS pos, "
-    "'https://weibo.com/u' || (n_chars % 97) || '/R' || (doc_id % 41) || '?a=1' AS url, 'https://m.weibo.cn/detail/R' || (doc_id % 41) AS post_url, score "
+    f"'https://weibo.com/u' || (n_chars % 97) || '/R' || {ADDRESS_SQL} || '?a=1' AS url, 'https://m.weibo.cn/detail/R' || {ADDRESS_SQL} AS post_url, score "
     f"FROM scores WHERE {LQ.RELEVANT} AND text <> ''), "
     "f AS (SELECT *, min(page) OVER (PARTITION BY keyword_order, url) AS first_page FROM c), "
     "k AS (SELECT *, row_number() OVER (PARTITION BY keyword_order ORDER BY page, score DESC, pos) AS i FROM f WHERE page = first_page), "
     "u AS (SELECT *, row_number() OVER (PARTITION BY url ORDER BY keyword_order, page, score DESC, pos) AS j FROM k WHERE i <= 10), "
     "v AS (SELECT *, row_number() OVER (PARTITION BY post_url ORDER BY keyword_order, page, score DESC, pos, url) AS o FROM u WHERE j = 1), "
     f"posts AS (SELECT post_url, keyword_order, keyword, page, score, pos, {B.space_sql('text')} AS post FROM v WHERE o = 1), "
-    "bodies AS (SELECT 'https://m.weibo.cn/detail/R' || (doc_id % 41) AS post_url, arg_max(text, doc_id) AS text FROM documents GROUP BY ALL), "
-    f"rawl AS (SELECT post_url, unnest(p) AS raw, generate_subscripts(p, 1) AS i FROM (SELECT post_url, string_split_regex(text, {LQ.SPLIT}) AS p FROM bodies)), "
-    f"cl AS (SELECT post_url, i, {B.space_sql('raw')} AS line FROM rawl), "
-    "lines AS (SELECT post_url, row_number() OVER (PARTITION BY post_url ORDER BY i) - 1 AS line_no, line FROM cl WHERE line <> ''), "
-    f"{LQ.candidate_sql('lines', 'post_url', False)}, "
-    f"own AS (SELECT f.*, p.keyword_order, p.keyword, p.page, p.score, p.pos FROM found f JOIN posts p USING (post_url) WHERE NOT {LQ.similar_sql('content', 'post')}), "
+    f"bodies AS (SELECT doc_id, 'https://m.weibo.cn/detail/R' || {ADDRESS_SQL} AS post_url, text FROM documents), "
+    f"rawl AS (SELECT doc_id, unnest(p) AS raw, generate_subscripts(p, 1) AS i FROM (SELECT doc_id, string_split_regex(text, {LQ.SPLIT}) AS p FROM bodies SEMI JOIN posts USING (post_url))), "
+    f"cl AS (SELECT doc_id, i, {B.space_sql('raw')} AS line FROM rawl), "
+    "lines AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS line_no, line FROM cl WHERE line <> ''), "
+    f"{LQ.candidate_sql('lines', 'doc_id', False)}, "
+    "numbered AS (SELECT b.post_url, f.* EXCLUDE (line_no, doc_id), row_number() OVER (PARTITION BY b.post_url ORDER BY f.doc_id, f.line_no, f.form) AS line_no FROM found f JOIN bodies b USING (doc_id)), "
+    f"own AS (SELECT f.*, p.keyword_order, p.keyword, p.page, p.score, p.pos FROM numbered f JOIN posts p USING (post_url) WHERE NOT {LQ.similar_sql('content', 'post')}), "
     f"{LQ.kept_sql('post_url', 200, 'keyword_order, page, score DESC, pos')} "
     "SELECT keyword, 'weibo_comment_' || md5(post_url || content) AS comment_id, user_name, content, source_url FROM "
     "(SELECT *, post_url AS source_url FROM final ORDER BY keyword_order, page, score DESC, pos, line_no, form LIMIT 1500)"
@@ -179,9 +182,10 @@ POSTS = (
 
 @query(POSTS)
 def post_and_body_run(spark: SparkSession, folder: str) -> DataFrame:
-    """Posts chosen from all documents, many of one address, and the comments on their pages."""
-    posts = post_run(LQ.post_candidates(spark, folder), score=LQ.score, relevant=LQ.relevant)
-    address = F.concat(F.lit("https://m.weibo.cn/detail/R"), (F.col("doc_id") % 41).cast("string"))
-    pages = table(spark, folder, "documents").groupBy(address.alias("post_url")).agg(F.max_by("text", "doc_id").alias("body"))
-    rows = body_run(pages, posts, "t", LQ.RULES)
+    """Posts chosen from all documents, and the comments on the bodies of their pages, several for each address."""
+    digest = F.substring(F.md5(F.floor(F.col("doc_id") / 3).cast("string").cast("binary")), 1, 12)
+    posts = B.stored(post_run(LQ.post_candidates(spark, folder, digest), score=LQ.score, relevant=LQ.relevant), "posts")
+    address = F.concat(F.lit("https://m.weibo.cn/detail/R"), digest)
+    pages = table(spark, folder, "documents").select(address.alias("post_url"), "doc_id", F.col("text").alias("body"))
+    rows = body_run(pages, posts, "t", LQ.RULES, visit="doc_id")
     return rows.select("keyword", "comment_id", "user_name", "content", "source_url")

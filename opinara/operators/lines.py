@@ -217,15 +217,20 @@ def _in_row_candidates(lines: Column, rules: L.LineRules) -> Column:
 
 
 def candidates_from_bodies(
-    pages: DataFrame, page: str, body: str, rules: L.LineRules = L.DEFAULT
+    pages: DataFrame, page: str, body: str, rules: L.LineRules = L.DEFAULT, visit: str | None = None
 ) -> DataFrame:
-    """Comment candidates of whole page bodies, read row by row without a shuffle."""
-    found = exploded(pages, [page], _in_row_candidates(body_lines(F.col(body)), rules), "_f")
-    return found.select(
-        page,
-        F.col("_f.line_no").alias("line_no"),
-        *[F.col("_f.c")[f].alias(f) for f in CANDIDATE_FIELDS],
-    )
+    """Comment candidates of whole page bodies, read row by row without a shuffle.
+
+    A page may have several bodies, one for each time that it was read; ``visit`` orders them. Its lines are
+    then the runs of lines of its bodies one after the other, and ``line_no`` is the pair of the visit and the
+    line of that body: pairs sort as the numbers of one long page would, without counting the lines
+    of other rows. No comment spans two bodies.
+    """
+    own = [page] if visit is None else [page, visit]
+    found = exploded(pages, own, _in_row_candidates(body_lines(F.col(body)), rules), "_f")
+    line = F.col("_f.line_no")
+    place = line if visit is None else F.struct(F.col(visit).alias("visit"), line.alias("line"))
+    return found.select(page, place.alias("line_no"), *[F.col("_f.c")[f].alias(f) for f in CANDIDATE_FIELDS])
 
 
 def first_texts(candidates: DataFrame, page: str) -> DataFrame:

@@ -66,9 +66,15 @@ def line_run(
     )
 
 
-def body_run(pages: DataFrame, posts: DataFrame, crawl_time: str | Column, rules: L.LineRules = L.DEFAULT, **options) -> DataFrame:
-    """As ``line_run`` from whole page bodies ``(post_url, body)``."""
-    return line_run(O.candidates_from_bodies(pages, "post_url", "body", rules), posts, crawl_time, **options)
+def body_run(
+    pages: DataFrame, posts: DataFrame, crawl_time: str | Column, rules: L.LineRules = L.DEFAULT, visit: str | None = None, **options
+) -> DataFrame:
+    """As ``line_run`` from whole page bodies ``(post_url, body)``, any number of them per page if ``visit`` orders them.
+
+    Bodies are matched with the addresses of the posts before they are read, so only those of opened pages are parsed.
+    """
+    opened = pages.join(posts.select("post_url"), "post_url", "left_semi")
+    return line_run(O.candidates_from_bodies(opened, "post_url", "body", rules, visit), posts, crawl_time, **options)
 
 
 def post_run(candidates: DataFrame, limit: int = V.MAX_POSTS_PER_KEYWORD, **scoring) -> DataFrame:

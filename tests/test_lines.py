@@ -183,3 +183,20 @@ def test_time_reach(spark):
     rows = spark.createDataFrame([(g, body(g)) for g in (5, 6)], "post_url int, body string")
     out = O.candidates_from_bodies(rows, "post_url", "body").where("form = 1").collect()
     assert {r["post_url"]: r["publish_time"] for r in out} == {5: "刚刚", 6: ""}
+
+
+def test_several_bodies_of_a_page_read_as_one_after_the_other(spark):
+    _, posts = pages(spark)
+    first, second = BODY.split("\n")[: BODY.count("\n") // 2], BODY.split("\n")[BODY.count("\n") // 2 :]
+    visits = [("u1", 10_000_000_000, "\n".join(second)), ("u1", 3, "\n".join(first)), ("u2", 5, "周八：反对战争需要对话"), ("u9", 1, "甲：没有帖子的页面")]
+    bodies = spark.createDataFrame(visits, "post_url string, seen long, body string").repartition(3)
+    found = O.candidates_from_bodies(bodies, "post_url", "body", visit="seen").where("post_url = 'u1'")
+    # the same comments as of each body alone, the earlier visit first
+    alone = [O.candidates_from_bodies(spark.createDataFrame([("u1", "\n".join(x))], "post_url string, body string"), "post_url", "body") for x in (first, second)]
+    wanted = [tuple(r)[2:] for frame in alone for r in frame.orderBy("line_no", "form").collect()]
+    assert [tuple(r)[2:] for r in found.orderBy("line_no", "form").collect()] == wanted and wanted
+    rows = body_run(bodies, posts, "t", visit="seen").collect()
+    assert len({r["content"] for r in rows}) == len(rows) and {r["source_url"] for r in rows} <= {"u1", "u2"}
+    few = body_run(bodies, posts, "t", visit="seen", limit=1).where("source_url = 'u1'").collect()
+    kept = [w for w in wanted if w[2] != "原文说了很多话在这里啊"]
+    assert [r["content"] for r in few] == [kept[0][2]]
