@@ -132,21 +132,37 @@ def word_by_platform(spark: SparkSession, folder: str) -> DataFrame:
     return K.word_frequency_by(B.corpus(spark, folder), ["platform"])
 
 
-ROUNDS = 10
-RANK_ROUNDS = ", ".join(
-    f"r{i} AS (SELECT word AS src, 0.15::DOUBLE + 0.85::DOUBLE * sum(w * r / s) AS r FROM edges JOIN r{i - 1} USING (src) JOIN sums USING (src) GROUP BY word)"
-    for i in range(1, ROUNDS + 1)
+NEIGHBOURS = (
+    f"WITH RECURSIVE {B.CORPUS}, tok AS (SELECT row_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS i FROM corpus), "
+    "p AS (SELECT a.word AS one, b.word AS two FROM tok a JOIN tok b ON a.row_id = b.row_id AND b.i BETWEEN a.i + 1 AND a.i + 4 WHERE a.word <> b.word), "
+    "edges AS MATERIALIZED (SELECT src, word, count(*) AS w FROM (SELECT one AS src, two AS word FROM p UNION ALL SELECT two, one FROM p) GROUP BY ALL), "
+    "sums AS (SELECT src, sum(w) AS s FROM edges GROUP BY src), "
+    "shares AS MATERIALIZED (SELECT src, word, w / s AS share FROM edges JOIN sums USING (src))"
 )
+#: More rounds than any table here needs to settle.
+ENOUGH = 150
 
 
 @query(
-    f"WITH {B.CORPUS}, tok AS (SELECT row_id, unnest(tokens) AS word, generate_subscripts(tokens, 1) AS i FROM corpus), "
-    "p AS (SELECT a.word AS one, b.word AS two FROM tok a JOIN tok b ON a.row_id = b.row_id AND b.i BETWEEN a.i + 1 AND a.i + 4 WHERE a.word <> b.word), "
-    "edges AS (SELECT src, word, count(*) AS w FROM (SELECT one AS src, two AS word FROM p UNION ALL SELECT two, one FROM p) GROUP BY ALL), "
-    "sums AS (SELECT src, sum(w) AS s FROM edges GROUP BY src), r0 AS (SELECT src, 1::DOUBLE AS r FROM sums), "
-    f"{RANK_ROUNDS} SELECT src AS word, round(r, 5) AS rank FROM r{ROUNDS}"
+    f"{NEIGHBOURS}, r AS (SELECT src AS word, 1::DOUBLE AS rank, 0 AS k FROM sums UNION ALL "
+    "SELECT shares.word, 0.15::DOUBLE + 0.85::DOUBLE * sum(share * rank), k + 1 FROM shares JOIN r ON shares.src = r.word "
+    f"WHERE k < {ENOUGH} GROUP BY shares.word, k) SELECT word, round(rank, 3) AS rank FROM r WHERE k = {ENOUGH}"
 )
 def text_rank(spark: SparkSession, folder: str) -> DataFrame:
-    """Ranks of all words by their neighbours in the cleaned texts."""
+    """Settled ranks of all words by their neighbours in the cleaned texts."""
+    pairs = B.stored(K.neighbour_pairs(B.corpus(spark, folder)), "pairs")
+    return K.text_rank(pairs, tolerance=1e-11).select("word", F.round("rank", 3).alias("rank"))
+
+
+@query(
+    f"{NEIGHBOURS} SELECT word, count(*) AS neighbours, true AS settled, (SELECT count(*) FROM sums) AS total FROM shares GROUP BY word"
+)
+def text_rank_settled(spark: SparkSession, folder: str) -> DataFrame:
+    """Each rank against the one that the neighbours' ranks give; all ranks sum to the number of words."""
     pairs = B.stored(K.neighbour_pairs(B.corpus(spark, folder)), "pairs")
-    return K.text_rank(pairs, ROUNDS).select("word", F.round("rank", 5).alias("rank"))
+    ranks, shares = K.text_rank(pairs), K.neighbour_shares(pairs)
+    given = shares.join(ranks.select(F.col("word").alias("src"), F.col("rank").alias("_given")), "src")
+    given = given.groupBy("word").agg(F.count("*").alias("neighbours"), F.sum(F.col("share") * F.col("_given")).alias("_given"))
+    near = F.abs(F.col("rank") - (0.15 + 0.85 * F.col("_given"))) <= 1e-8 * F.col("rank")
+    total = ranks.agg(F.round(F.sum("rank")).cast("long").alias("total"))
+    return given.join(ranks, "word").select("word", "neighbours", near.alias("settled")).crossJoin(F.broadcast(total))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from opinara.operators.columns import handle_missing, split_rows, with_date
-from opinara.operators.keywords import neighbour_pairs, text_rank
+from opinara.operators.keywords import largest_residual, neighbour_pairs, neighbour_shares, text_rank
 from opinara.plans import steps
 
 
@@ -90,6 +90,26 @@ def test_text_rank(spark):
     rows = spark.createDataFrame([(["a", "b", "c"],), (["a", "d"],), (["a", "a"],), ([],)], "tokens array<string>")
     pairs = neighbour_pairs(rows, 2)
     assert {(r["one"], r["two"]): r["weight"] for r in pairs.collect()} == {("a", "b"): 1, ("b", "c"): 1, ("a", "d"): 1}
-    ranks = {r["word"]: r["rank"] for r in text_rank(pairs, 30).collect()}
-    assert sum(ranks.values()) == pytest.approx(4.0, abs=0.05)
+    ranks = {r["word"]: r["rank"] for r in text_rank(pairs).collect()}
+    assert sum(ranks.values()) == pytest.approx(4.0, abs=1e-7)
+    # a - d and b - c hang on the ends of a - b, so the ranks have a closed form
+    outer = (0.15 + 0.15 * 0.425) / (1 - 0.425 * 0.85 - 0.425)
+    assert ranks["a"] == pytest.approx(ranks["b"], abs=1e-8) and ranks["c"] == pytest.approx(0.15 + 0.425 * ranks["a"], abs=1e-8)
+    assert ranks["a"] == pytest.approx(0.15 + 0.85 * ranks["d"] + 0.425 * ranks["b"], abs=1e-8) and outer > 0
     assert min(ranks["a"], ranks["b"]) > max(ranks["c"], ranks["d"])
+
+
+def test_text_rank_settles_on_every_kind_of_graph(spark):
+    star = [("hub", f"w{i}", 1 + i % 3) for i in range(30)]
+    line = [(f"a{i:02}", f"a{i + 1:02}", 1) for i in range(40)]
+    apart = [("x", "y", 5)]
+    pairs = spark.createDataFrame(star + line + apart, "one string, two string, weight long")
+    ranks = text_rank(pairs)
+    shares = neighbour_shares(pairs)
+    assert largest_residual(shares, ranks) < 1e-8
+    wrong = ranks.withColumn("rank", F.when(F.col("word") == "a07", F.col("rank") * 1.001).otherwise(F.col("rank")))
+    assert largest_residual(shares, wrong) > 1e-5
+    assert {r["word"]: round(r["rank"], 7) for r in ranks.where("word IN ('x', 'y')").collect()} == {"x": 1.0, "y": 1.0}
+    assert text_rank(pairs.limit(0)).count() == 0 and largest_residual(shares.limit(0), ranks.limit(0)) == 0
+    with pytest.raises(ValueError):
+        text_rank(pairs, damping=1.0)
