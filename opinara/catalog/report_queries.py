@@ -13,8 +13,9 @@ from ..operators import aggregates as A
 from ..operators.columns import computed_once
 from ..operators.findings import generate, headline as headline_row
 from ..operators.keywords import word_frequency_by
-from ..operators.membership import text_matches_words, texts_with_any, word_frame
-from ..operators.sentiment import hits_by_join, polarity_by_join
+from ..operators.lexicon import labels_in, texts_with_any
+from ..operators.membership import text_matches_words, word_frame
+from ..operators.sentiment import NEGATION, NEGATIVE, POSITIVE, hits_by_join, polarity_by_join, substring_scored
 from ..operators.topics import with_rule_topic
 from ..plans import reports as R
 from . import base as B
@@ -101,6 +102,26 @@ def sentiment_substring(spark: SparkSession, folder: str) -> DataFrame:
     return B.corpus(spark, folder).select("row_id", F.round(score, 9).alias("score"))
 
 
+@query(B.SQL["sentiment_substring"])
+def sentiment_substring_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The same scores with the words in a table."""
+    lists = {POSITIVE: B.POSITIVE_PARTS, NEGATIVE: B.NEGATIVE_PARTS, NEGATION: B.NEGATIONS}
+    listed = spark.createDataFrame([(w, label) for label, words in lists.items() for w in words], "word string, label string")
+    rows = substring_scored(B.corpus(spark, folder), "row_id", "cleaned_text", F.lit(0.5), listed)
+    return rows.select("row_id", F.round("score", 9).alias("score"))
+
+
+@query(
+    "WITH lex AS (SELECT DISTINCT w AS word FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark) WHERE length(w) > 2) "
+    "SELECT doc_id, count(*) AS words FROM documents JOIN lex ON contains(text, word) GROUP BY doc_id"
+)
+def words_inside(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of a table each document contains anywhere, inside other words too."""
+    words = table(spark, folder, "benchmark").select(F.explode(F.split("text", " ")).alias("word")).where(F.length("word") > 2)
+    found = labels_in(table(spark, folder, "documents"), "doc_id", "text", words.select("word", F.col("word").alias("label")))
+    return found.select("doc_id", F.size("labels").cast("long").alias("words"))
+
+
 @query(f"WITH {B.SCORED} SELECT row_id, platform, round(sentiment_score, 9) AS sentiment_score, sentiment FROM scored")
 def scored_corpus(spark: SparkSession, folder: str) -> DataFrame:
     rows = B.scored_corpus(spark, folder)

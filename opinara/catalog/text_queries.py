@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, segment, text
 from ..operators import aggregates as A
+from ..operators import lexicon
 from ..operators.columns import handle_missing, split_rows, standardize
 from ..operators.membership import mapped_name
 from ..operators.rows import first_rows
@@ -79,6 +80,14 @@ def segment_dictionary_arrow(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("row_id", F.array_join("_w", "|").alias("words"), F.size("_w").cast("long").alias("n"))
 
 
+@query(B.SQL["segment_dictionary"])
+def segment_dictionary_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The same tokens with the lexicon in a table."""
+    listed = spark.createDataFrame(list(SEGMENT_WORDS.items()), "word string, tag string")
+    rows = lexicon.dictionary_tokens(B.cleaned(spark, folder), "row_id", "cleaned_text", listed, ("best",), out="_w")
+    return rows.where(F.size("_w") > 0).select("row_id", F.array_join("_w", "|").alias("words"), F.size("_w").cast("long").alias("n"))
+
+
 @query(
     f"WITH {B.CLEANED}, piece AS (SELECT row_id, unnest(regexp_extract_all(cleaned_text, "
     "'que les|und der|ción|über|éau|é|ñ|ä|ü|[A-Za-z0-9]+|(?s:.)')) AS word FROM tagged), "

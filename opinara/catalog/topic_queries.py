@@ -27,6 +27,15 @@ def rule_topic(spark: SparkSession, folder: str) -> DataFrame:
     return ruled(spark, folder).select("row_id", "rule_topic")
 
 
+@query(B.SQL["rule_topic"])
+def rule_topic_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The same topics with the rules in a table."""
+    rules = [(place, topic, word) for place, (topic, words) in enumerate(B.TOPICS) for word in words]
+    listed = spark.createDataFrame(rules, "place int, topic string, word string")
+    rows = T.with_rule_topic_by_table(B.corpus(spark, folder), "row_id", listed, B.NO_TOPIC)
+    return rows.select("row_id", "rule_topic")
+
+
 @query(
     f"WITH {B.CORPUS} SELECT row_id, {topic_sql('cleaned_text', V.TOPIC_RULES, V.TOPIC_OTHER)} AS rule_topic FROM corpus"
 )

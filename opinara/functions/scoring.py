@@ -63,12 +63,15 @@ def substring_score(
     negative: Iterable[str] = V.NEGATIVE_ZH,
     negations: Iterable[str] = V.NEGATIONS_ZH,
 ) -> Column:
+    """``moved_score`` by the words that the text contains, for lists given in code."""
+    return moved_score(base, contains_any(text, positive), contains_any(text, negative), contains_any(text, negations))
+
+
+def moved_score(base: Column, positive: Column, negative: Column, negated: Column) -> Column:
     """Base score raised once, lowered once, then damped by a negation, in this order."""
-    raised = F.when(contains_any(text, positive), F.least(F.lit(1.0), base + 0.2)).otherwise(base)
-    lowered = F.when(
-        contains_any(text, negative), F.greatest(F.lit(0.0), raised - 0.3)
-    ).otherwise(raised)
-    damped = F.when(contains_any(text, negations), lowered * 0.7).otherwise(lowered)
+    raised = F.when(positive, F.least(F.lit(1.0), base + 0.2)).otherwise(base)
+    lowered = F.when(negative, F.greatest(F.lit(0.0), raised - 0.3)).otherwise(raised)
+    damped = F.when(negated, lowered * 0.7).otherwise(lowered)
     return clip_unit(damped)
 
 

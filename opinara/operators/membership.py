@@ -125,22 +125,3 @@ def text_matches_words(
     spoken = exploded(texts, [key], words, "word")
     return spoken.join(hinted(listed), "word", "left_semi").select(key).distinct()
 
-
-def texts_with_any(texts: DataFrame, key: str, text: str, listed: DataFrame) -> DataFrame:
-    """Keys of texts that contain a listed word anywhere, for lists of any length; ``key`` must be unique.
-
-    Words are found by their beginnings: those of the length of the shortest word are joined with
-    all such pieces of a text, each once, and only words whose beginning occurs are searched for.
-    """
-    words = listed.select("word").where("word <> ''").distinct()
-    shortest = words.agg(F.min(F.length("word")).alias("n")).first()["n"]
-    if shortest is None:
-        return texts.select(key).limit(0)
-    least = F.lit(shortest)
-    heads = words.select("word", F.substring(F.col("word"), F.lit(1), least).alias("_head"))
-    size = F.greatest(F.length(text) - least + 1, F.lit(0))
-    pieces = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(F.col(text), i, least))
-    spoken = texts.where(size > 0).select(key, F.explode(F.array_distinct(pieces)).alias("_head"))
-    possible = spoken.join(heads, "_head").select(key, "word")
-    found = possible.join(texts.select(key, text), key).where(F.contains(text, "word"))
-    return found.select(key).distinct()

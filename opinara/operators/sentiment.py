@@ -11,6 +11,7 @@ from ..functions import scoring as S
 from ..functions.text import distinct_words, lexicon_words
 from .aggregates import value_shares
 from .columns import computed_once, exploded
+from .lexicon import with_labels
 from .membership import hinted
 
 
@@ -62,6 +63,17 @@ def hits_by_join(texts: DataFrame, key: str, text: str, lexicon: DataFrame) -> D
     )
 
 
+#: Labels of the words that move a score, in a ``(word, label)`` table.
+POSITIVE, NEGATIVE, NEGATION = "positive", "negative", "negation"
+
+
+def substring_scored(rows: DataFrame, key: str, text: str, base: Column, listed: DataFrame, out: str = "score") -> DataFrame:
+    """Adds the score of ``functions.scoring.substring_score`` for a ``(word, label)`` table of any length; ``key`` must be unique."""
+    found = with_labels(rows, key, text, listed, "_labels")
+    has = lambda label: F.array_contains("_labels", label)
+    return found.withColumn(out, S.moved_score(base, has(POSITIVE), has(NEGATIVE), has(NEGATION))).drop("_labels")
+
+
 def label_distribution(rows: DataFrame, label: str = "sentiment") -> DataFrame:
     """Rows and share per label."""
     return value_shares(rows, label)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from opinara.functions import scoring as S
 from opinara.functions.text import lexicon_words
 from opinara.operators import membership as M
-from opinara.operators.membership import texts_with_any
+from opinara.operators.lexicon import texts_with_any
 from opinara.operators.sentiment import hits_by_join, polarity_by_join, scored
 
 
