@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from ..operators.rows import only_new
 from ..operators.topics import with_rule_topic
 from ..plans.landing import body_run, post_run
 from ..session import work_path
-from ..sources import files, payloads, sinks, tables, wordlists
+from ..sources import csv_ranges, files, payloads, sinks, tables, wordlists
 from ..streaming import incremental
 from . import base as B
 from . import line_queries as LQ
@@ -36,6 +39,37 @@ def landed_csv(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+GBK_TEXT = r"regexp_replace(text, '[^\x00-\x7F]', '和', 'g')"
+
+
+def as_gbk_lines(rows: DataFrame, header: str) -> DataFrame:
+    """One text column of CSV records as GBK bytes, each part with its header first."""
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_arrays([pa.array([header.encode("gbk")], pa.binary())], ["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x.encode("gbk") for x in batch.column(0).to_pylist()], pa.binary())], ["value"])
+
+    return rows.mapInArrow(encoded, "value binary").select(F.col("value").cast("string").alias("value"))
+
+
+@query(
+    "SELECT 'weibo' AS platform, doc_id::VARCHAR AS user_name, "
+    f"md5({B.space_sql(GBK_TEXT)}) AS digest FROM documents"
+)
+def landed_gbk(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents, letters beyond ASCII as one Chinese character, landed as GBK files and read as comments."""
+    landing = work_path(spark, "landing")
+    text = F.regexp_replace("text", "[^\\x00-\\x7F]", "和")
+    cell = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    records = table(spark, folder, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), cell).alias("record"))
+    as_gbk_lines(records, "昵称,content").write.text(landing)
+    parts = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(landing).select("path").collect()
+    landed = csv_ranges.read_sources(spark, {"weibo": [r["path"] for r in parts]})["weibo"]
+    digest = F.md5(normalize_space(F.col("content")).cast("binary"))
+    return landed.select(F.lit("weibo").alias("platform"), F.col("昵称").alias("user_name"), digest.alias("digest"))
+
+
 @query(
     "SELECT 'scored' AS name, doc_id, len(string_split(text, ' ')) AS words FROM documents "
     "UNION ALL SELECT 'cleaned', doc_id, 0 FROM documents UNION ALL SELECT 'none', NULL, NULL FROM region WHERE r_regionkey = 0"

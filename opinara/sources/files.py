@@ -1,30 +1,18 @@
-"""Landed files: comment CSV per platform, with an encoding decision per file.
+"""Landed files: comment CSV per platform, in UTF-8 or GBK.
 
-A source is ``name.csv`` in the landing folder: one file, or a folder of part
-files as Spark writes it. Cells may span lines, so a single file is read by one
-task; large sources should therefore land as many part files.
+A source is ``name.csv`` in the landing folder: one file of any size, or a folder of part
+files as Spark writes it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from functools import reduce
-from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.columns import standardize
-
-UTF8, GBK = "UTF-8", "GBK"
-#: Ids made in a task count its rows in the low 33 bits.
-FILE_ROWS = 1 << 33
-
-
-def _place(path: str) -> str:
-    """Path without scheme and escapes, equal for all ways Spark shows it."""
-    return unquote(path).split(":", 1)[-1].lstrip("/")
+from . import csv_ranges
 
 
 def list_sources(spark: SparkSession, folder: str) -> dict[str, list[str]]:
@@ -42,49 +30,13 @@ def list_sources(spark: SparkSession, folder: str) -> dict[str, list[str]]:
 
 
 def file_encodings(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """UTF-8 unless the file has a line that is not valid UTF-8, else GBK; files valid in neither are absent.
+    """UTF-8 unless the file has a line that is not valid UTF-8, else GBK; files valid in neither are absent."""
+    return csv_ranges.encodings(spark, paths)
 
-    One job reads the raw lines of all files; only the names of files with
-    invalid lines come to the driver, and only those files are tried as GBK.
-    """
-    if not paths:
-        return {}
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"), F.is_valid_utf8("value").alias("valid")
-    )
-    bad = {_place(r["path"]) for r in lines.where("not valid").select("path").distinct().collect()}
-    found = {p: UTF8 for p in paths if _place(p) not in bad}
-    others = [p for p in paths if _place(p) in bad]
-    if others:
-        gbk = {_place(r["path"]) for r in _gbk_files(spark, others).collect()}
-        found |= {p: GBK for p in others if _place(p) in gbk}
-    return found
-
-
-def _gbk_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Those of the files whose whole content is GBK."""
-
-    def valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for path, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
-                try:
-                    content.as_py().decode("gbk")
-                except UnicodeDecodeError:
-                    continue
-                kept.append(path)
-            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string())], ["path"])
-
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(valid, "path string")
-
-
-def read_csv(spark: SparkSession, path: str | list[str], encoding: str = UTF8) -> DataFrame:
-    """CSV files of one header; quoted cells may span lines, all columns are text."""
-    if encoding != UTF8:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    return spark.read.csv(
-        path, header=True, multiLine=True, escape='"', quote='"', encoding=encoding
-    )
+
+def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """UTF-8 files of one header; quoted cells may span lines, all columns are text. One task reads a file."""
+    return spark.read.csv(path, header=True, multiLine=True, escape='"', quote='"')
 
 
 def has_content(df: DataFrame, column: str = "content") -> bool:
@@ -92,43 +44,17 @@ def has_content(df: DataFrame, column: str = "content") -> bool:
     return not df.where(F.col(column).isNotNull()).isEmpty()
 
 
-def read_source(spark: SparkSession, paths: list[str], encodings: dict[str, str]) -> DataFrame | None:
-    """All readable part files of one source, each in its own encoding, with ``row_id``.
-
-    The id follows the name of the file and the place in it, whatever order Spark reads
-    the files in: a file is read by one task, so ids made there follow its lines.
-    """
-    parts = []
-    for encoding in (UTF8, GBK):
-        some = [p for p in paths if encodings.get(p) == encoding]
-        if some:
-            parts.append(read_csv(spark, some, encoding).withColumn("_file", F.col("_metadata.file_path")))
-    if not parts:
-        return None
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    names = [(place, i) for i, place in enumerate(sorted(map(_place, paths)))]
-    order = spark.createDataFrame(names, "_place string, _no long")  # as long as the listing
-    place = F.ltrim(F.regexp_replace(F.url_decode(F.replace("_file", F.lit("+"), F.lit("%2B"))), "^[a-zA-Z]+:", ""), F.lit("/"))
-    own = F.monotonically_increasing_id().bitwiseAND(F.lit(FILE_ROWS - 1))
-    placed = rows.withColumn("_own", own).withColumn("_place", place).join(F.broadcast(order), "_place")
-    return placed.withColumn("row_id", F.col("_no") * FILE_ROWS + F.col("_own")).drop("_file", "_place", "_no", "_own")
-
-
 def landed_comments(spark: SparkSession, folder: str) -> DataFrame | None:
     """All sources of a folder in canonical columns, or ``None`` without any.
 
     The platform is the source name. ``row_id`` orders the rows of a platform by the
     name of the file and the place in the file. Files that are neither UTF-8 nor GBK are left out.
     """
-    sources = list_sources(spark, folder)
-    encodings = file_encodings(spark, [p for paths in sources.values() for p in paths])
     frames = []
-    for name, paths in sources.items():
-        source = read_source(spark, paths, encodings)
-        if source is not None:
-            table = standardize(source, F.lit(name))
-            if has_content(table):
-                frames.append(table)
+    for name, source in csv_ranges.read_sources(spark, list_sources(spark, folder)).items():
+        table = standardize(source, F.lit(name))
+        if has_content(table):
+            frames.append(table)
     if not frames:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
