@@ -183,6 +183,27 @@ def cluster_invariants(spark: SparkSession, folder: str) -> DataFrame:
     return sizes.crossJoin(F.broadcast(terms)).crossJoin(F.broadcast(placed))
 
 
+@query(
+    f"WITH {B.CORPUS} SELECT unnest(range(6))::INT AS cluster, true AS nearest, true AS rests, true AS strongest, true AS cheapest, "
+    "(SELECT count(*) FROM corpus) AS texts"
+)
+def cluster_fixed_point(spark: SparkSession, folder: str) -> DataFrame:
+    """The clusters of the corpus as a fixed point: nearest centroids, resting means, strongest terms, no start cheaper."""
+    source = TQ.term_source(spark, folder)
+    vectors, names = M.tfidf_vectors(source)
+    vectors = B.stored(vectors, "vectors")
+    models = M.started(vectors, M.CLUSTERS, M.STARTS, M.SEED, 300)
+    costs = [model.summary.trainingCost for model in models]
+    best = models[costs.index(min(costs))]
+    placed = best.transform(vectors).select("row_id", "cluster")
+    named = M.cluster_terms(vectors, best, names)
+    found = M.cluster_certificate(M.tfidf_rows(source, "row_id"), placed, M.center_rows(spark, best, names), named, "row_id")
+    total = found.agg(F.sum("cost").alias("_cost"), F.sum("size").alias("texts"))
+    cheapest = F.col("_cost") <= min(costs) * (1 + 1e-6)
+    rows = found.select("cluster", "nearest", "rests", "strongest").crossJoin(F.broadcast(total))
+    return rows.select("cluster", "nearest", "rests", "strongest", cheapest.alias("cheapest"), "texts")
+
+
 @query("SELECT doc_id, true AS labelled FROM documents")
 def svm_invariants(spark: SparkSession, folder: str) -> DataFrame:
     """One of the trained labels for every document."""

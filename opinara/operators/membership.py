@@ -10,7 +10,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, MapType, StringType
 
 from ..session import work_path
 from .columns import exploded
@@ -43,9 +43,15 @@ def hinted(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTE
     """The table, written once and measured there; marked for broadcast only if both bounds allow it."""
     path = work_path(df.sparkSession, "list")
     df.write.parquet(path)
-    kept = df.sparkSession.read.schema(df.schema).parquet(path)
-    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    width = sum(texts, F.lit(8 * len(df.columns)))
+    return broadcast_if_small(df.sparkSession.read.schema(df.schema).parquet(path), rows, size)
+
+
+def broadcast_if_small(kept: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table, marked for broadcast only if both bounds allow it; an array or map counts 8 bytes for each of 8 entries."""
+    fields = kept.schema.fields
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in fields if isinstance(f.dataType, StringType)]
+    nested = sum(isinstance(f.dataType, ArrayType | MapType) for f in fields)
+    width = sum(texts, F.lit(8 * len(fields) + 56 * nested))
     seen = kept.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("size")).first()
     return F.broadcast(kept) if seen["rows"] <= rows and (seen["size"] or 0) <= size else kept
 

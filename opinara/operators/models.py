@@ -15,13 +15,13 @@ from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, HashingTF, IDF, Normalizer
 from pyspark.ml.linalg import DenseVector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.arrays import place_in
 from ..functions.text import lexicon_words, vector_terms
 from ..session import work_path
 from .columns import computed_once, exploded
+from .membership import broadcast_if_small, hinted
 
 MAX_TERMS = 5000
 CLUSTERS = 6
@@ -46,47 +46,20 @@ def vocabulary(docs: DataFrame, size: int = MAX_TERMS, terms: str = "terms") ->
 def tfidf_rows(docs: DataFrame, key: str, tokens: str = "tokens", size: int = MAX_TERMS) -> DataFrame:
     """``(key, term, tf, tfidf)`` with smoothed idf plus one and unit row length.
 
-    Terms are counted inside their row; one aggregation gives total and document frequency of
-    every term. ``docs`` is read for that and again for the rows, whose weights
-    and lengths need no shuffle: the term table is bounded by ``size``, broadcast
-    as sorted arrays and searched by halving. ``docs`` should be a stored table.
+    Terms are counted per row before anything moves and written once; from there come the totals of all terms and the
+    rows. The kept terms, at most ``size``, are broadcast, so the weights need one
+    more shuffle, by ``key``, for the length of each row.
     """
-    terms = computed_once(docs.select(key, tokens), "_counts", term_histogram(vector_terms(F.col(tokens))))
-    counted = terms.select(F.inline("_counts"))
+    spoken = exploded(docs, [key], vector_terms(F.col(tokens)), "term")
+    path = work_path(docs.sparkSession, "term-counts")
+    spoken.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")).write.parquet(path)
+    counted = docs.sparkSession.read.parquet(path)
     totals = counted.groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
-    kept = totals.orderBy(F.desc("_total"), "term").limit(size)
     n = docs.agg(F.count(F.lit(1))).scalar()
-    idf = F.log((n + 1) / (F.col("_df") + 1)) + 1
-    entries = F.sort_array(F.collect_list(F.struct("term", idf.alias("idf"))))
-    weights = kept.agg(entries.alias("_entries")).select(
-        F.transform("_entries", lambda e: e["term"]).alias("_terms"), F.transform("_entries", lambda e: e["idf"]).alias("_idfs")
-    )
-    placed = F.transform("_counts", lambda t: F.struct(t["term"].alias("term"), t["tf"].alias("tf"), place_in(F.col("_terms"), t["term"], size).alias("at")))
-    known = F.filter(placed, lambda t: F.get("_terms", t["at"]) == t["term"])
-    weighted = F.transform(known, lambda t: F.struct(t["term"], t["tf"], (t["tf"] * F.get("_idfs", t["at"])).alias("w")))
-    rows = computed_once(terms.crossJoin(F.broadcast(weights)).drop(tokens), "_weighted", weighted)
-    length = F.sqrt(F.aggregate("_weighted", F.lit(0.0), lambda total, t: total + t["w"] * t["w"]))
-    return rows.select(key, length.alias("_length"), F.inline("_weighted")).select(
-        key, "term", "tf", (F.col("w") / F.col("_length")).alias("tfidf")
-    )
-
-
-def term_histogram(terms: Column) -> Column:
-    """``array<struct<term, tf>>`` of an array of terms: sorted, then cut where a new term begins."""
-
-    def of_sorted(sorted_terms: Column) -> Column:
-        size = F.size(sorted_terms)
-        firsts = F.filter(
-            F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get(sorted_terms, i) != F.get(sorted_terms, i - 1))
-        )
-        ends = F.concat(F.slice(firsts, 2, F.greatest(F.size(firsts) - 1, F.lit(0))), F.array(size))
-        return F.zip_with(
-            firsts, ends, lambda a, b: F.struct(F.get(sorted_terms, a).alias("term"), (b - a).cast("long").alias("tf"))
-        )
-
-    nothing = F.array().cast("array<struct<term: string, tf: bigint>>")
-    counted = F.get(F.transform(F.array(F.array_sort(terms)), of_sorted), F.lit(0))
-    return F.when(F.size(terms) > 0, counted).otherwise(nothing)
+    kept = totals.orderBy(F.desc("_total"), "term").limit(size).select("term", (F.log((n + 1) / (F.col("_df") + 1)) + 1).alias("_idf"))
+    rows = counted.join(F.broadcast(kept), "term").withColumn("_w", F.col("tf") * F.col("_idf"))
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
+    return rows.select(key, "term", "tf", (F.col("_w") / length).alias("tfidf"))
 
 
 def top_terms_per_row(rows: DataFrame, key: str, n: int) -> DataFrame:
@@ -126,16 +99,65 @@ def cluster(
     vectors, names = tfidf_vectors(docs, tokens, size)
     path = work_path(docs.sparkSession, "vectors")
     vectors.write.parquet(path)
-    kept = docs.sparkSession.read.parquet(path).persist()
-    best: KMeansModel | None = None
-    for start in range(starts):
-        model = KMeans(k=k, seed=seed + start, maxIter=iterations, predictionCol="cluster").fit(kept)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    kept.unpersist()
+    models = started(docs.sparkSession.read.parquet(path), k, starts, seed, iterations)
+    best = min(models, key=lambda model: model.summary.trainingCost)
     return best.transform(docs.sparkSession.read.parquet(path)), best, names
 
 
+def started(vectors: DataFrame, k: int, starts: int, seed: int, iterations: int) -> list[KMeansModel]:
+    """The model of each start, in order."""
+    kept = vectors.persist()
+    models = [KMeans(k=k, seed=seed + start, maxIter=iterations, predictionCol="cluster").fit(kept) for start in range(starts)]
+    kept.unpersist()
+    return models
+
+
+#: How far a centroid may be from the mean of its rows: it moved less than 1e-4 in the last round, after which a few rows change sides.
+REST = 1e-2
+
+
+def cluster_certificate(weights: DataFrame, placed: DataFrame, centers: DataFrame, named: DataFrame, key: str) -> DataFrame:
+    """One row per cluster that tells whether the clustering is a fixed point, whatever made it.
+
+    ``weights`` has ``(key, term, tfidf)``, ``placed`` ``(key, cluster)`` for every row, ``centers`` ``(cluster, term,
+    weight)`` with a row for every term of every cluster, and ``named`` ``(cluster, rank, term)`` the reported terms.
+    ``nearest``: no row of the cluster is nearer to another centroid. ``rests``: the centroid is the mean
+    of its rows. ``cost``: their squared distances from it. ``strongest``: the mean of no unreported term is above that of a reported one.
+    Distances come from products of the row's terms with the centroids, so a row meets only its own terms.
+    """
+    by_term = centers.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct("cluster", "weight"))).alias("_at"))
+    clusters = [r["cluster"] for r in centers.select("cluster").distinct().orderBy("cluster").collect()]  # a few
+    lengths = centers.groupBy("cluster").agg(F.sum(F.col("weight") * F.col("weight")).alias("_length"))
+    products = [F.sum(F.col("tfidf") * F.col("_at")[c]).alias(f"_p{c}") for c in clusters]
+    own = weights.join(hinted(by_term), "term").groupBy(key).agg(F.sum(F.col("tfidf") * F.col("tfidf")).alias("_own"), *products)
+    norms = lengths.agg(F.map_from_entries(F.collect_list(F.struct("cluster", "_length"))).alias("_norms"))
+    rows = placed.join(own, key, "left").crossJoin(F.broadcast(norms))
+    zero = lambda name: F.coalesce(F.col(name), F.lit(0.0))
+    far = F.array(*[F.struct((zero("_own") - 2 * zero(f"_p{c}") + F.col("_norms")[c]).alias("far"), F.lit(c).alias("cluster")) for c in clusters])
+    rows = rows.withColumn("_far", far)
+    mine = F.filter("_far", lambda x: x["cluster"] == F.col("cluster"))[0]["far"]
+    rows = rows.select("cluster", mine.alias("_mine"), F.array_min(F.transform("_far", lambda x: x["far"])).alias("_least"))
+    sides = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("_mine").alias("cost"), F.min(F.col("_mine") <= F.col("_least") + 1e-9).alias("nearest"))
+    sums = weights.join(placed, key).groupBy("cluster", "term").agg(F.sum("tfidf").alias("_sum"))
+    means = centers.join(sums, ["cluster", "term"], "left").join(sides.select("cluster", "size"), "cluster")
+    means = means.withColumn("_mean", F.coalesce(F.col("_sum") / F.col("size"), F.lit(0.0)))
+    gaps = means.join(named.select("cluster", "term", F.lit(True).alias("_named")), ["cluster", "term"], "left")
+    shown = F.col("_named").isNotNull()
+    gaps = gaps.groupBy("cluster").agg(
+        F.sqrt(F.sum((F.col("_mean") - F.col("weight")) * (F.col("_mean") - F.col("weight")))).alias("_gap"),
+        F.min(F.when(shown, F.col("_mean"))).alias("_last"), F.max(F.when(~shown, F.col("_mean"))).alias("_next"),
+    )
+    out = sides.join(gaps, "cluster")
+    strongest = F.coalesce(F.col("_last") + REST >= F.col("_next"), F.lit(True))
+    return out.select("cluster", "size", "nearest", (F.col("_gap") <= REST).alias("rests"), strongest.alias("strongest"), "cost")
+
+
+def center_rows(spark: SparkSession, model: KMeansModel, names: Sequence[str]) -> DataFrame:
+    """``(cluster, term, weight)``: all values of the centroids, ``k`` times the vocabulary size."""
+    rows = [(c, names[i], float(x)) for c, center in enumerate(model.clusterCenters()) for i, x in enumerate(center)]
+    return spark.createDataFrame(rows, "cluster int, term string, weight double")
+
+
 def cluster_sizes(clustered: DataFrame, k: int = CLUSTERS) -> DataFrame:
     """``(cluster, size)`` for every cluster, 0 for an empty one."""
     sizes = clustered.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
@@ -179,9 +201,9 @@ class WordBayes:
     def log_scores(self, rows: DataFrame, key: str, text: str) -> DataFrame:
         """``(key, _scores)``: unnormalized log probability per class, for the rows that hold a known word."""
         spoken = with_words(rows.select(key, text), text).select(key, F.explode("words").alias("word"))
-        counts = spoken.groupBy(key, "word").agg(F.count(F.lit(1)).alias("_n"))
-        known = counts.join(self.weights, "word")
-        sums = [F.sum(F.col("_n") * F.col("_theta")[i]) for i in range(len(self.classes))]
+        # Small weights are broadcast: then only one row of sums per text and task moves.
+        known = spoken.join(broadcast_if_small(self.weights), "word")
+        sums = [F.sum(F.col("_theta")[i]) for i in range(len(self.classes))]
         return known.groupBy(key).agg(F.array(*sums).alias("_scores"))
 
     def probabilities(self, rows: DataFrame, key: str, text: str) -> DataFrame:

@@ -79,3 +79,20 @@ def test_bayes_as_by_hand(spark):
 def test_words_beyond_the_vector_vocabulary_count(spark):
     rows = spark.createDataFrame([(" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(6000)), 1), ("rare", 0)], "text string, label int")
     assert M.train_sentiment(rows).weights.count() == 6001
+
+
+def test_certificate_of_clusters(spark):
+    source = docs(spark)
+    clustered, model, names = M.cluster(source, k=3, starts=3)
+    weights, centers = M.tfidf_rows(source, "row_id"), M.center_rows(spark, model, names)
+    named = M.cluster_terms(clustered, model, names, 3)
+    found = M.cluster_certificate(weights, clustered.select("row_id", "cluster"), centers, named, "row_id").collect()
+    assert len(found) == 3 and all(r["nearest"] and r["rests"] and r["strongest"] for r in found)
+    assert sum(r["cost"] for r in found) == pytest.approx(model.summary.trainingCost, abs=1e-6)
+    other = source.select("row_id", (F.col("row_id") % 2).alias("cluster"))
+    wrong = M.cluster_certificate(weights, other, centers, named, "row_id").collect()
+    assert not all(r["nearest"] for r in wrong) and not any(r["rests"] for r in wrong)
+    moved = centers.withColumn("weight", F.col("weight") + 0.01)
+    assert not any(r["rests"] for r in M.cluster_certificate(weights, clustered.select("row_id", "cluster"), moved, named, "row_id").collect())
+    weak = centers.orderBy("weight").limit(3).select("cluster", F.lit(1).alias("rank"), "term")
+    assert not all(r["strongest"] for r in M.cluster_certificate(weights, clustered.select("row_id", "cluster"), centers, weak, "row_id").collect())
