@@ -26,7 +26,7 @@ CLEANED, SCORED, KEYWORDS, TOPICS = "cleaned", "scored", "keywords", "topics"
 def _write(frame: DataFrame, folder: str, name: str) -> DataFrame:
     path = f"{folder}/{name}"
     overwrite_table(frame, path)
-    return frame.sparkSession.read.parquet(path)
+    return read_table(frame.sparkSession, path)
 
 
 def clean(spark: SparkSession, raw: str, folder: str, word_files: list[str] | None = None, **options) -> DataFrame | None:

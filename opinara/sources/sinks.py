@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed_values as V
 from ..operators.columns import to_comment_columns
 from ..operators.rows import only_new
-from .tables import read_table
+from .tables import children, read_table, remove, write_version
 
 
 #: Parts of a table that batches are appended to.
@@ -19,8 +19,19 @@ KEY_PARTS = 256
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
-    """Cleaned, scored, topic or keyword table; arrays stay arrays."""
-    df.write.mode("overwrite").parquet(path)
+    """Cleaned, scored, topic or keyword table; arrays stay arrays. The old rows count until the new ones are complete."""
+    write_version(df, path)
+
+
+def replace_files(writer: DataFrameWriter, spark: SparkSession, kind: str, path: str) -> None:
+    """Adds the new files to a folder of text files, and only then deletes those that it held.
+
+    Such folders are read by other programs, file by file, so they have no versions: a
+    writer that is lost leaves the old files, between the two steps both, never none.
+    """
+    before = children(spark, path)
+    getattr(writer.mode("append"), kind)(path)
+    remove(spark, [at for name, at in before.items() if name != "_SUCCESS"])
 
 
 def overwrite_csv(df: DataFrame, path: str) -> None:
@@ -30,7 +41,7 @@ def overwrite_csv(df: DataFrame, path: str) -> None:
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f.name)
         for f in df.schema.fields
     ]
-    df.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    replace_files(df.select(*columns).write.option("header", True).option("escape", '"'), df.sparkSession, "csv", path)
 
 
 def append_new(df: DataFrame, path: str, key: str = "comment_id", parts: int = KEY_PARTS) -> None:
@@ -52,12 +63,12 @@ def append_new(df: DataFrame, path: str, key: str = "comment_id", parts: int = K
 def write_records(df: DataFrame, path: str, columns: Sequence[str] = V.COMMENT_COLUMNS) -> None:
     """Fixed column list as CSV with every cell quoted."""
     options = {"header": True, "quoteAll": True, "escape": '"'}
-    to_comment_columns(df, columns).write.mode("overwrite").options(**options).csv(path)
+    replace_files(to_comment_columns(df, columns).write.options(**options), df.sparkSession, "csv", path)
 
 
 def write_video_comments(df: DataFrame, path: str) -> None:
     rows = df.select(*V.VIDEO_COMMENT_COLUMNS)
-    rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    replace_files(rows.write.option("header", True).option("escape", '"'), df.sparkSession, "csv", path)
 
 
 def write_findings(findings: DataFrame, path: str, title: str = V.FINDINGS_TITLE) -> None:
@@ -68,4 +79,4 @@ def write_findings(findings: DataFrame, path: str, title: str = V.FINDINGS_TITLE
         lambda f: F.struct(f["no"].alias("no"), F.concat(f["no"].cast("string"), F.lit(". "), f["text"], F.lit("\n")).alias("line")),
     )
     lines = findings.agg(F.concat(head, body).alias("_l")).select(F.inline("_l"))
-    lines.coalesce(1).sortWithinPartitions("no").select("line").write.mode("overwrite").text(path)
+    replace_files(lines.coalesce(1).sortWithinPartitions("no").select("line").write, findings.sparkSession, "text", path)

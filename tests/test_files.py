@@ -118,6 +118,40 @@ def test_tables_in_order(spark, tmp_path):
     assert tables.read_table(spark, "no_such_table") is None
 
 
+def test_a_lost_writer_leaves_the_old_rows(spark, tmp_path):
+    path, plain = str(tmp_path / "t"), str(tmp_path / "c")
+    sinks.overwrite_table(spark.range(3), path)
+    sinks.overwrite_csv(spark.range(3), plain)
+    broken = spark.range(0, 1000, 1, 4).select(F.when(F.col("id") == 900, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("long").alias("id"))
+    for write_again in (lambda: sinks.overwrite_table(broken, path), lambda: sinks.overwrite_csv(broken, plain)):
+        with pytest.raises(Exception, match="lost"):
+            write_again()
+    assert tables.read_table(spark, path).count() == 3 and files.read_csv(spark, plain).count() == 3
+    # a writer that was lost after its rows, before its manifest
+    spark.range(7).write.mode("append").parquet(path)
+    assert tables.read_table(spark, path).count() == 3
+    sinks.overwrite_table(tables.read_table(spark, path).where("id > 0"), path)  # a table from its own rows
+    assert tables.read_table(spark, path).count() == spark.read.parquet(path).count() == 2
+    sinks.overwrite_table(spark.range(0), path)
+    assert tables.read_table(spark, path).count() == 0
+    held = tables.children(spark, path)
+    assert len([name for name in held if name.startswith(tables.MANIFEST)]) == 1 and len(tables.marks(held)) == 1
+    sinks.overwrite_csv(spark.range(4), plain)
+    assert files.read_csv(spark, plain).count() == 4
+
+
+def test_rows_without_a_manifest_count_until_the_next_write(spark, tmp_path):
+    path = str(tmp_path / "old")
+    spark.range(4).write.parquet(path)
+    assert tables.read_table(spark, path).count() == 4
+    lost = spark.range(9).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.overwrite_table(lost, path)
+    assert tables.read_table(spark, path).count() == 4
+    sinks.overwrite_table(spark.range(2), path)
+    assert tables.read_table(spark, path).count() == 2
+
+
 def test_append_new_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "t")
     rows = spark.createDataFrame([("a", 1), ("b", 2), ("", 3)], "comment_id string, v int")
