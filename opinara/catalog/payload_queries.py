@@ -12,7 +12,7 @@ from ..operators import replies as R
 from ..plans.landing import reply_run
 from ..session import work_path
 from ..sources.payloads import parse_replies
-from ..streaming import incremental, trend
+from ..streaming import caps, incremental, trend
 from . import base as B
 from .base import query, table
 
@@ -271,3 +271,20 @@ def stream_incremental(spark: SparkSession, folder: str) -> DataFrame:
     for run in ("first", "second"):
         incremental.append_stream(landed, out, f"{out}-{run}", order=("doc_id",)).awaitTermination()
     return spark.read.parquet(out).select("comment_id", "cleaned_text")
+
+
+@query(
+    "WITH r AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents) "
+    "SELECT doc_id, source FROM r WHERE i <= 7 ORDER BY doc_id LIMIT 120"
+)
+def stream_capped(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that arrive in four parts, seven of a source and 120 of the run, counted over all parts."""
+    docs = table(spark, folder, "documents").select("doc_id", "source", F.col("doc_id").cast("string").alias("comment_id"))
+    docs = docs.withColumn("at", F.timestamp_seconds(F.col("doc_id")))
+    last = docs.agg(F.max("doc_id")).scalar()
+    landing, out = work_path(spark, "arrivals"), work_path(spark, "capped")
+    for part in range(4):
+        docs.where(F.floor(F.col("doc_id") * 4 / (last + 1)) == part).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(docs.schema).parquet(landing)
+        caps.capped_stream(stream, out, f"{out}-state", "source", ["doc_id"], "at", limit=7, total=120).awaitTermination()
+    return spark.read.parquet(out).select("doc_id", "source")
