@@ -29,6 +29,8 @@ from .common import id_or_last, running_totals, salted_lookup, shuffle_partition
 
 #: Compressed bytes after which a file is closed with the record at hand.
 ROLL_BYTES = 1 << 26
+#: Payload bytes of a shard, the work of one task; the driver holds one key for each.
+SHARD_BYTES = 1 << 27
 #: Compressed bytes of a block, the unit of reading; blocks begin with a record.
 BLOCK_BYTES = 1 << 22
 #: Payloads of fewer bytes are never revisits.
@@ -92,10 +94,9 @@ def in_order(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
     )
 
 
-def shard_plan(facts: DataFrame, shards: int) -> DataFrame:
-    """Adds ``shard``: sorted by page, the shards are ranges of equal payload bytes."""
+def shard_plan(facts: DataFrame, shards: int, total: int) -> DataFrame:
+    """Adds ``shard``: sorted by page, the shards are ranges of equal payload bytes, ``total`` in all."""
     sized = facts.withColumn("_all", F.lit(0)).withColumn("_bytes", F.col("size") + HEAD_BYTES)
-    total = sized.agg(F.sum("_bytes")).first()[0] or 1
     placed = running_totals(sized, ["_all"], list(ORDER), "_bytes", "_before")
     shard = F.floor(F.col("_before").cast("decimal(38,0)") * shards / F.lit(total)).cast("int")
     return placed.withColumn("shard", shard).drop("_all", "_bytes", "_before")
@@ -220,24 +221,26 @@ def write_warc(
     ``LEAST_REVISIT`` bytes the one of the smallest page id (null last, then the address) is a response;
     those of larger ids are revisits of it; smaller payloads are all responses. Rows that repeat
     are written each, with the same record id. An empty table gives a manifest
-    without files. Other columns are left out. The same table and number of shards (as many as
-    shuffle partitions, unless stated) give the same files and digests.
+    without files. Other columns are left out. The same table and number of shards (unless stated, one for
+    every ``SHARD_BYTES``) give the same files and digests.
     """
     spark = pages.sparkSession
-    shards = shards or shuffle_partitions(spark)
     drafts_folder = f"{folder.rstrip('/')}/_temporary-{uuid.uuid4().hex}"
     store, drafts = opened(drafts_folder)
     store.create_dir(drafts)
     rows = in_order(pages, id_col, url_col)
     payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "utf-8")
     facts = rows.select("_id", "_url", F.sha2(payload, 256).alias("digest"), F.octet_length(payload).cast("long").alias("size"))
-    facts = stored(shard_plan(stored(facts, "facts"), shards), "shards")
+    facts = stored(facts, "facts")
+    total = facts.agg(F.sum(F.col("size") + HEAD_BYTES)).first()[0] or 1
+    shards = shards or -(-total // SHARD_BYTES)
+    facts = stored(shard_plan(facts, shards, total), "shards")
     first = facts.groupBy("shard").agg(F.min(F.struct(*ORDER)).alias("key")).orderBy("shard").collect()  # a row per shard
     bounds = [((r["key"]["_id"], r["key"]["_url"], r["key"]["digest"]), r["shard"]) for r in first] or [((0, "", ""), 0)]
     records = responses(rows, html_col, bounds)
     marks = revisits(facts).withColumns({c: F.lit(None).cast(records.schema[c].dataType) for c in ("size", "there", "member")})
     # A mark sorts before its record: its member is null.
-    ordered = records.unionByName(marks).repartition(shards, "shard").sortWithinPartitions("shard", *ORDER, F.col("member").isNotNull())
+    ordered = records.unionByName(marks).repartitionById(shards, "shard").sortWithinPartitions("shard", *ORDER, F.col("member").isNotNull())
     written(ordered, folder, drafts_folder, roll_bytes).write.parquet(f"{folder.rstrip('/')}/manifest")  # its marker comes last
     store.delete_dir(drafts)
 
