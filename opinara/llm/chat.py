@@ -24,6 +24,8 @@ FRAME = ("system",)
 #: Characters (texts and ``TURN_CHARS`` a turn) after which a part ends with the turn at hand.
 PART_CHARS = 1_000_000
 TURN_CHARS = 32
+#: Groups of parts that the participants of a long conversation are copied to.
+SALTS = 64
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 #: The name of a speaker whose role is absent or blank.
 UNNAMED = "unknown"
@@ -52,15 +54,29 @@ def turns_of(chats: DataFrame, conv_col: str, turn_col: str, role_col: str, text
     return rows.withColumn("_chars", F.length("_text").cast("long") + TURN_CHARS)
 
 
-def in_parts(turns: DataFrame) -> DataFrame:
-    """Adds ``_part``; only conversations of more than one part are sorted for it."""
+def in_parts(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The turns of conversations of one part, and those of longer ones with ``_part``; only these are sorted for it."""
     long = turns.groupBy("_conv").agg(F.sum("_chars").alias("_all")).filter(F.col("_all") > PART_CHARS).select("_conv")
     long = stored(long, "long-chats")
-    whole = turns.join(long, "_conv", "left_anti").withColumn("_part", F.lit(0).cast("long"))
+    whole = turns.join(long, "_conv", "left_anti")
     cut = stored(turns.join(long, "_conv", "left_semi"), "long-turns")
     cut = running_totals(cut, ["_conv"], ["_turn", "_speaker", "_text"], "_chars", "_before")
-    cut = cut.withColumn("_part", F.floor(F.col("_before") / PART_CHARS)).drop("_before")
-    return whole.unionByName(cut)
+    return whole, stored(cut.withColumn("_part", F.floor(F.col("_before") / PART_CHARS)).drop("_before"), "parts")
+
+
+def participants(turns: DataFrame, frame: Sequence[str]) -> DataFrame:
+    return turns.filter(~F.col("_speaker").isin(*frame)).select("_conv", F.col("_speaker").alias("assistant")).distinct()
+
+
+def meetings(cut: DataFrame, frame: Sequence[str]) -> DataFrame:
+    """Every part of a long conversation with every participant, by key alone.
+
+    The participants go first to groups of parts and from there to the parts, so that no task has all
+    parts of a conversation.
+    """
+    spots = cut.select("_conv", "_part", F.pmod("_part", F.lit(SALTS)).alias("_salt")).distinct()
+    groups = spots.select("_conv", "_salt").distinct().join(participants(cut, frame), "_conv")
+    return spots.join(groups, ["_conv", "_salt"]).drop("_salt")
 
 
 def segments(turns: Column, assistant: Column, frame: Sequence[str]) -> Column:
@@ -106,11 +122,13 @@ def rotated(
     out. An empty table gives none.
     """
     turns = turns_of(chats, conv_col, turn_col, role_col, text_col)
-    people = turns.filter(~F.col("_speaker").isin(*frame)).select("_conv", F.col("_speaker").alias("assistant")).distinct()
-    rows = F.sort_array(F.collect_list(F.struct("_turn", "_speaker", "_text")))
-    parts = in_parts(turns).groupBy("_conv", "_part").agg(rows.alias("_turns"), F.any_value("_conv_id").alias("_conv_id"))
+    whole, cut = in_parts(turns)
+    rows = F.sort_array(F.collect_list(F.struct("_turn", "_speaker", "_text"))).alias("_turns")
+    name = F.any_value("_conv_id").alias("_conv_id")
+    short = whole.groupBy("_conv").agg(rows, name).join(participants(whole, frame), "_conv").withColumn("_part", F.lit(0).cast("long"))
+    long = cut.groupBy("_conv", "_part").agg(rows, name).join(meetings(cut, frame), ["_conv", "_part"])
     pieces = segments(F.col("_turns"), F.col("assistant"), frame)
-    drawn = parts.join(people, "_conv").select("_conv_id", "assistant", "_part", F.explode(F.array(pieces)).alias("_pieces"))
+    drawn = short.unionByName(long).select("_conv_id", "assistant", "_part", F.explode(F.array(pieces)).alias("_pieces"))
     return drawn.select(
         F.col("_conv_id").alias(conv_col),
         "assistant",
