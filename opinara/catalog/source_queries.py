@@ -211,6 +211,16 @@ def svm_invariants(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", F.col("topic_label").isin(0, 1).alias("labelled"))
 
 
+@query("SELECT quality AS label, count(*) AS texts, true AS learned FROM labels JOIN documents USING (doc_id) GROUP BY quality")
+def svm_learned(spark: SparkSession, folder: str) -> DataFrame:
+    """For each label whether nine of ten of its texts get it; no constant label does that for both."""
+    texts = TQ.labelled(spark, folder)
+    model = M.train_topics(texts, "text", "quality", kind="svm")
+    out = M.predicted_topics(model, texts.select("doc_id", "text", "quality"), "text", "doc_id")
+    right = F.avg((F.col("topic_label") == F.col("quality")).cast("int"))
+    return out.groupBy(F.col("quality").alias("label")).agg(F.count("*").alias("texts"), (right >= 0.9).alias("learned"))
+
+
 #: Three neighbouring documents share an address, so there is one for every three rows of any table.
 ADDRESS_SQL = "left(md5(CAST(doc_id // 3 AS VARCHAR)), 12)"
 POSTS = (
