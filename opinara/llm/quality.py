@@ -42,7 +42,11 @@ def bucket(hashes: np.ndarray) -> np.ndarray:
 
 
 def features(data: np.ndarray) -> Iterator[np.ndarray]:
-    """Buckets of all features of a text, block by block; blocks end at white space."""
+    """Buckets of all features of a text, block by block; blocks end at white space.
+
+    Words and pairs of words go on across the border of two blocks; the few character n-grams that span one, in
+    texts over 1 MiB, are no features.
+    """
     last = np.empty(0, np.uint64)
     for block in blocks(data):
         words = np.concatenate([last, block_word_hashes(block, AS_IS)[1]])

@@ -94,3 +94,15 @@ def test_account_numbers_end_at_their_length(spark):
 
 def test_no_rows(spark):
     assert pii.personal_data(spark.createDataFrame([], "doc_id int, text string")).collect() == []
+
+
+def test_rows_that_repeat_or_have_no_id(spark):
+    text = "write to a.b@c.org or +1 (555) 123-4567"
+    rows = [(1, text), (1, text), (None, text), (None, None), (None, ""), (2, "nothing")]
+    docs = spark.createDataFrame([(*r, "x", 3) for r in rows], "doc_id long, text string, found string, _text int").repartition(3)
+    out = pii.personal_data(docs)
+    assert out.columns == ["doc_id", "found"]
+    got = sorted(((r["doc_id"], [(x["kind"], x["start"], x["stop"]) for x in r["found"]]) for r in out.collect()), key=str)
+    spans = [("email", 9, 18), ("phone", 22, 39)]
+    assert got == sorted([(1, spans), (1, spans), (None, spans), (None, []), (None, []), (2, [])], key=str)
+    assert pii.personal_data(docs.limit(0)).count() == 0
