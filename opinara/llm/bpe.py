@@ -83,10 +83,15 @@ class Vocabulary:
         symbols = byte_symbols()
         self.inner = [ids[s] for s in symbols]
         self.last = [ids[s + suffix] for s in symbols]
-        #: (left id, right id) as one number -> rank and id of the merged symbol as one number
-        self.merges: dict[int, int] = {}
+        #: For each left id the right ids that it merges with, and the rank; for each rank the id of the merged symbol.
+        nothing: dict[int, int] = {}
+        self.ranks: list[dict[int, int]] = [nothing] * size
+        self.made: list[int] = []
         for rank, (a, b) in enumerate(model["merges"]):
-            self.merges.setdefault(ids[a] << 32 | ids[b], rank << 32 | ids[a + b])
+            if self.ranks[ids[a]] is nothing:
+                self.ranks[ids[a]] = {}
+            self.ranks[ids[a]].setdefault(ids[b], rank)
+            self.made.append(ids[a + b])
         steps = spec["pre_tokenizer"]["pretokenizers"]
         self.words = regex.compile(steps[0]["pattern"]["Regex"], flags=regex.V1)
         self.special = special
@@ -94,37 +99,46 @@ class Vocabulary:
         self.word_ids = Remembered(lambda word: array("i", self.merged(word.encode())).tobytes(), CACHED_WORDS)
         self.piece_ids = Remembered(self.piece, CACHED_PIECES)
 
-    def merged(self, word: bytes) -> tuple[int, ...]:
+    def merged(self, word: bytes) -> list[int]:
         """Ids of one word: merges by rank, the leftmost first among equal ranks."""
-        ids = [self.inner[b] for b in word]
+        ids = [*map(self.inner.__getitem__, word)]
         ids[-1] = self.last[word[-1]]
         count = len(ids)
-        merges = self.merges
-        before, after = list(range(-1, count - 1)), [*range(1, count), -1]
+        ranks, made, pop, push = self.ranks, self.made, heapq.heappop, heapq.heappush
         # An entry is rank and position as one number; the pair at that place tells whether it is stale.
-        pairs = enumerate(zip(ids, ids[1:], strict=False))
-        queue = [found >> 32 << 32 | i for i, (a, b) in pairs if (found := merges.get(a << 32 | b)) is not None]
+        bits = count.bit_length()
+        mask = (1 << bits) - 1
+        queue = []
+        for i in range(count - 1):
+            rank = ranks[ids[i]].get(ids[i + 1])
+            if rank is not None:
+                queue.append(rank << bits | i)
+        if not queue:
+            return ids
         heapq.heapify(queue)
+        before, after = list(range(-1, count - 1)), [*range(1, count), -1]
         while queue:
-            entry = heapq.heappop(queue)
-            i = entry & 0xFFFFFFFF
+            entry = pop(queue)
+            i = entry & mask
             j = after[i]
-            if j < 0 or ids[i] < 0:
-                continue  # stale: merged into its neighbour since
-            found = merges.get(ids[i] << 32 | ids[j])
-            if found is None or found >> 32 != entry >> 32:
-                continue  # stale: one of the two was merged since
-            ids[i] = new = found & 0xFFFFFFFF
+            left = ids[i]
+            rank = entry >> bits
+            if j < 0 or left < 0 or ranks[left].get(ids[j]) != rank:
+                continue  # stale: merged into its neighbour since, or one of the two was merged
+            ids[i] = new = made[rank]
             ids[j] = -1
             k = after[i] = after[j]
             if k >= 0:
                 before[k] = i
-                if (found := merges.get(new << 32 | ids[k])) is not None:
-                    heapq.heappush(queue, found >> 32 << 32 | i)
+                rank = ranks[new].get(ids[k])
+                if rank is not None:
+                    push(queue, rank << bits | i)
             h = before[i]
-            if h >= 0 and (found := merges.get(ids[h] << 32 | new)) is not None:
-                heapq.heappush(queue, found >> 32 << 32 | h)
-        return tuple(i for i in ids if i >= 0)
+            if h >= 0:
+                rank = ranks[ids[h]].get(new)
+                if rank is not None:
+                    push(queue, rank << bits | h)
+        return [i for i in ids if i >= 0]
 
     def piece(self, text: str) -> bytes:
         return b"".join(map(self.word_ids.__getitem__, self.words.findall(text)))
