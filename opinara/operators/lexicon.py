@@ -1,25 +1,32 @@
 """Word tables of any length looked up inside texts: containment and segmentation.
 
-A word is found by one of its grams, pieces of up to ``GRAM`` characters. Each word is
+A list that is measured to be short is searched for in the row, by a trie over Arrow batches: no text moves. In a
+longer one a word is found by one of its grams, pieces of up to ``GRAM`` characters. Each word is
 anchored at that of its grams which is rarest in a look at some texts; the texts give
 each of their grams once, and only words whose anchor occurs are searched for, in the row of their text. The
 anchors change what a search costs, never what it finds.
 
-Segmentation finds all words of the table at all positions, keeps the longest of each, and follows
+Segmentation by a few words is the ordered alternation of ``functions.segment``. By more words it finds all of them at
+all positions, keeps the longest of each, and follows
 the path from the first position by doubling: the places reached after 1, 2, 4, ... tokens.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import re
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions import trie as X
+from ..functions.segment import REGEX_WORD_LIMIT, segment
 from ..functions.text import keep_tagged
-from .columns import exploded
-from .membership import hinted, without_listed_tokens
+from .columns import computed_once, exploded
+from .membership import hinted, listed_rows, without_listed_tokens
 
 #: Longest gram that anchors a word.
 GRAM = 4
@@ -70,13 +77,45 @@ def anchored(words: DataFrame, texts: DataFrame, key: str, text: str) -> DataFra
     return words.join(least.select("word", F.col("_least._gram").alias("_gram")), "word")
 
 
+def _distinct_labels(listed: DataFrame) -> DataFrame:
+    return listed.select("word", "label").where("word <> '' and label is not null").distinct()
+
+
+def _labels_column(text: Column, listed: Sequence[Row]) -> Column:
+    """The sorted labels of the listed words in a text, an empty array without any."""
+    by_word: dict[str, list[str]] = {}
+    for row in listed:
+        by_word.setdefault(row["word"], []).append(row["label"])
+    names = sorted({row["label"] for row in listed})
+    number = {name: i for i, name in enumerate(names)}
+    built, labels = X.build(list(by_word)), pa.array(names, pa.string())
+    starts = np.cumsum([0, *map(len, by_word.values())])
+    ids = np.array([number[name] for own in by_word.values() for name in own], np.int64)
+
+    @F.arrow_udf("array<string>")
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        finder = X.Finder(built)
+        for texts in batches:
+            yield X.labels_of(texts, finder, starts, ids, labels)
+
+    return find(text)
+
+
 def labels_in(texts: DataFrame, key: str, text: str, listed: DataFrame) -> DataFrame:
     """``(key, labels)``: the labels of the listed ``(word, label)`` rows whose word a text contains, distinct and sorted.
 
     Texts without any are absent; ``key`` must be unique. Empty and null words never match. A list that is measured
-    to be small is broadcast, so that only hits move; a longer one is joined by gram.
+    to be short is searched for in the row of the text; a longer one is joined by gram.
     """
-    words = listed.select("word", "label").where("word <> ''").distinct()
+    words, few = listed_rows(_distinct_labels(listed))
+    if few is not None:
+        rows = texts.where(F.col(key).isNotNull() & (F.col(text) != "")).select(key, text)
+        return computed_once(rows, "labels", _labels_column(F.col(text), few)).select(key, "labels").where(F.size("labels") > 0)
+    return _labels_by_gram(texts, key, text, words)
+
+
+def _labels_by_gram(texts: DataFrame, key: str, text: str, words: DataFrame) -> DataFrame:
+    """``labels_in`` for lists of any length, by a join."""
     index = hinted(anchored(words, texts, key, text)).withColumn("_sure", F.col("_gram") == F.col("word"))
     found = _text_grams(texts, key, text).join(index, "_gram")
     # A word that is its own gram is in the text; of the others the text decides, once for all of them.
@@ -97,7 +136,10 @@ def texts_with_any(texts: DataFrame, key: str, text: str, listed: DataFrame) ->
 
 def with_labels(rows: DataFrame, key: str, text: str, listed: DataFrame, out: str) -> DataFrame:
     """Adds the labels of the listed words that a text contains, an empty array where there are none."""
-    found = labels_in(rows, key, text, listed).select(key, F.col("labels").alias(out))
+    words, few = listed_rows(_distinct_labels(listed))
+    if few is not None:
+        return computed_once(rows, out, F.when(F.col(key).isNotNull(), _labels_column(F.col(text), few)).otherwise(F.array().cast("array<string>")))
+    found = _labels_by_gram(rows, key, text, words).select(key, F.col("labels").alias(out))
     return rows.join(found, key, "left").withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
 
 
@@ -168,19 +210,44 @@ def _tokens(text: Column, hits: Column) -> Column:
     return bind(characters(text), lambda letters: bind(left, lambda rest: bind(_by_position(found, F.size(letters)), lambda listed: cut(letters, rest, listed))))
 
 
-def segmented(rows: DataFrame, key: str, text: str, lexicon: DataFrame, out: str = "pairs") -> DataFrame:
+def _hits_column(text: Column, listed: Sequence[Row]) -> Column:
+    """The longest listed word at each position of a text, as ``word_hits`` has them."""
+    built = X.build([row["word"] for row in listed])
+    sizes, tags = np.array([len(row["word"]) for row in listed], np.int64), pa.array([row["tag"] for row in listed], pa.string())
+
+    @F.arrow_udf(f"array<struct<_at:int,_hit:{HIT}>>")
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        finder = X.Finder(built)
+        for texts in batches:
+            yield X.longest_of(texts, finder, sizes, tags)
+
+    return find(text)
+
+
+def _untagged(word: str) -> str:
+    return "m" if re.fullmatch("[0-9]+", word) else "eng" if re.fullmatch("[A-Za-z0-9]+", word) else "x"
+
+
+def segmented(rows: DataFrame, key: str, text: str, lexicon: DataFrame, out: str = "pairs", listed_only: bool = False) -> DataFrame:
     """Adds ``array<struct<word,tag>>`` by longest match with a ``(word, tag)`` table of any length; ``key`` must be unique.
 
     The tokens are those of ``functions.segment.segment``. Of several tags of a word the last by code point
-    counts. A text gives one row for each position and each distinct length of the table's words, and
-    only those that are words move on. Null texts have null, empty ones no tokens.
+    counts. Null texts have null, empty ones no tokens. Up to ``REGEX_WORD_LIMIT`` words, measured, run as that function in
+    the row. Of more words, the hits are found in the row too if the list is short enough to be passed along; else a text gives
+    one row for each position and each distinct length of the table's words, and only those that are words move on.
+    ``listed_only`` allows, but does not promise, that other tokens are left out.
     """
-    words = lexicon.where("word <> ''").groupBy("word").agg(F.max("tag").alias("tag"))
-    lengths = [r["n"] for r in words.select(F.length("word").alias("n")).distinct().collect()]
-    found = word_hits(rows, key, text, words, lengths)
+    words, few = listed_rows(lexicon.where("word <> ''").groupBy("word").agg(F.max("tag").alias("tag")))
     body = F.col(text)
+    if few is not None and len(few) <= REGEX_WORD_LIMIT:
+        tags = {row["word"]: _untagged(row["word"]) if row["tag"] is None else row["tag"] for row in few}
+        return rows.withColumn(out, segment(body, tags, True, listed_only))
+    if few is not None:
+        joined = computed_once(rows, "hits", _hits_column(body, few))
+    else:
+        lengths = [r["n"] for r in words.select(F.length("word").alias("n")).distinct().collect()]
+        joined = rows.join(word_hits(rows, key, text, words, lengths), key, "left")
     pairs = F.when(body == "", F.array().cast("array<struct<word:string,tag:string>>")).otherwise(_tokens(body, F.col("hits")))
-    joined = rows.join(found, key, "left")
     return joined.withColumn(out, F.when(body.isNotNull(), pairs)).drop("hits")
 
 
@@ -189,7 +256,8 @@ def dictionary_tokens(
     tags: Iterable[str] = V.KEPT_TAGS, out: str = "tokens",
 ) -> DataFrame:
     """Adds the listed words of two characters or more with a kept tag that are not stop words, in order."""
-    pairs = segmented(rows, key, text, lexicon, "_pairs")
+    listed_only = not any(t in ("x", "m", "e", "en", "eng") for t in tags)
+    pairs = segmented(rows, key, text, lexicon, "_pairs", listed_only)
     kept = F.filter(F.transform(keep_tagged(F.col("_pairs"), tuple(tags)), lambda p: F.trim(p["word"])), lambda w: F.length(w) > 1)
     stop = sorted(set(stopwords)) if not isinstance(stopwords, DataFrame) else []
     if stop:

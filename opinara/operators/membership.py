@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType
 
@@ -18,6 +18,8 @@ from .columns import exploded
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 1 << 26
 INLINE_ROWS = 20_000
+LISTED_ROWS = 200_000
+LISTED_BYTES = 1 << 24
 
 
 def normalize_words(df: DataFrame, column: str) -> DataFrame:
@@ -46,14 +48,30 @@ def hinted(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTE
     return broadcast_if_small(df.sparkSession.read.schema(df.schema).parquet(path), rows, size)
 
 
-def broadcast_if_small(kept: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
-    """A stored table, marked for broadcast only if both bounds allow it; an array or map counts 8 bytes for each of 8 entries."""
+def measured(kept: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of a stored table; an array or map counts 8 bytes for each of 8 entries."""
     fields = kept.schema.fields
     texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in fields if isinstance(f.dataType, StringType)]
     nested = sum(isinstance(f.dataType, ArrayType | MapType) for f in fields)
     width = sum(texts, F.lit(8 * len(fields) + 56 * nested))
     seen = kept.agg(F.count(F.lit(1)).alias("rows"), F.sum(width).alias("size")).first()
-    return F.broadcast(kept) if seen["rows"] <= rows and (seen["size"] or 0) <= size else kept
+    return seen["rows"], seen["size"] or 0
+
+
+def broadcast_if_small(kept: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table, marked for broadcast only if both bounds allow it."""
+    seen_rows, seen_size = measured(kept)
+    return F.broadcast(kept) if seen_rows <= rows and seen_size <= size else kept
+
+
+def listed_rows(df: DataFrame, rows: int | None = None, size: int = LISTED_BYTES) -> tuple[DataFrame, list[Row] | None]:
+    """The table, written once and measured there, and its rows if both bounds allow it, else ``None``."""
+    path = work_path(df.sparkSession, "list")
+    df.write.parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    seen_rows, seen_size = measured(kept)
+    few = seen_rows <= (LISTED_ROWS if rows is None else rows) and seen_size <= size
+    return kept, kept.collect() if few else None
 
 
 def inline_words(df: DataFrame, rows: int = INLINE_ROWS) -> list[str] | None:

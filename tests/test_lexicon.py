@@ -108,3 +108,57 @@ def test_topics_by_table(spark, text):
     table = spark.createDataFrame([(i, n, w) for i, (n, ws) in enumerate(rules) for w in ws], "place int, topic string, word string")
     expected = {r["k"]: r["rule_topic"] for r in with_rule_topic(rows, rules, "other").collect()}
     assert {r["k"]: r["rule_topic"] for r in with_rule_topic_by_table(rows, "k", table, "other").collect()} == expected
+
+
+def by_join(monkeypatch):
+    """Every list counts as too long to be passed along."""
+    whole = X.listed_rows
+    monkeypatch.setattr(X, "listed_rows", lambda table: (whole(table)[0], None))
+
+
+@pytest.mark.parametrize("slice_size", [7, 1 << 20])
+def test_short_lists_are_searched_for_in_the_row(spark, monkeypatch, slice_size):
+    pick = random.Random(3)
+    letters = list("ab é0") + ["\U0001f600", "\0"]
+    words = sorted(many_words(pick, 300, letters, 5)) + ["abab" * 5]
+    listed = spark.createDataFrame([(w, f"l{i % 7}") for i, w in enumerate(words)] + [("a", "also"), ("b", None), (None, "n"), ("", "e")], "word string, label string")
+    texts = ["".join(pick.choices(letters + ["x"], k=pick.randint(0, 60))) for _ in range(50)] + [None, "", "abab" * 9, "\0", "xx"]
+    rows = spark.createDataFrame([*enumerate(texts), (None, "a")], "k int, t string").repartition(3)
+    wanted = {k: sorted({f"l{i % 7}" for i, w in enumerate(words) if w in t} | ({"also"} if "a" in t else set())) for k, t in enumerate(texts) if t}
+    built, sizes = X.X.build(words), [len(w) for w in words]
+    monkeypatch.setattr(X.X, "SLICE", slice_size)
+    for table in (1, 1 << 23):
+        monkeypatch.setattr(X.X, "TABLE", table)
+        places = {(i, at, words[w]) for text, place, word in X.X.Finder(built).hits([t or "" for t in texts]) for i, at, w in zip(text, place, word)}
+        assert places == {(i, at, w) for i, t in enumerate(texts) for w in words for at in range(len(t or "") - len(w) + 1) if t[at:].startswith(w)}
+        assert max(sizes) == 20
+    found = X.with_labels(rows, "k", "t", listed, "labels")
+    assert {r["k"]: r["labels"] for r in found.collect()} == {**dict.fromkeys([*range(len(texts)), None], []), **wanted}
+    inside = X.labels_in(rows, "k", "t", listed)
+    assert {r["k"]: r["labels"] for r in inside.collect()} == {k: v for k, v in wanted.items() if v}
+    # One pass over the texts: neither a row for each gram nor a text moves.
+    plan = inside._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    by_join(monkeypatch)
+    assert {r["k"]: r["labels"] for r in X.labels_in(rows, "k", "t", listed).collect()} == {k: v for k, v in wanted.items() if v}
+
+
+def test_segments_of_short_longer_and_long_lists(spark, monkeypatch):
+    pick = random.Random(4)
+    letters = list("ab1 é和平")
+    texts = ["".join(pick.choices(letters, k=pick.randint(0, 80))) for _ in range(40)] + [None, "", "和", "ab1" * 30]
+    for number in (60, 700):
+        lexicon = {w: pick.choice(["n", "v", "x"]) for w in many_words(pick, number, letters, 4)}
+        wanted = [None if t is None else plain_segments(t, lexicon) for t in texts]
+        assert segments(spark, texts, lexicon) == wanted
+        with monkeypatch.context() as patch:
+            by_join(patch)
+            assert segments(spark, texts, lexicon) == wanted
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    listed = spark.createDataFrame([("和平", None), ("ab1", "n"), ("ab1", "v"), ("", "n"), (None, "n"), ("12", None)], "word string, tag string")
+    few = X.dictionary_tokens(rows, "k", "t", listed)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "posexplode" not in plan
+    short = sorted((r["k"], r["tokens"]) for r in few.collect())
+    by_join(monkeypatch)
+    assert short == sorted((r["k"], r["tokens"]) for r in X.dictionary_tokens(rows, "k", "t", listed).collect())
