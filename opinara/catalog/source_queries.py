@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as V
+from ..functions.arrays import few_at_a_time
 from ..functions.text import normalize_space
 from ..operators import models as M
 from ..operators.columns import to_comment_columns
@@ -47,7 +48,7 @@ def as_gbk_lines(rows: DataFrame, header: str) -> DataFrame:
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([header.encode("gbk")], pa.binary())], ["value"])
-        for batch in batches:
+        for batch in (part for whole in batches for part in few_at_a_time(whole)):
             yield pa.RecordBatch.from_arrays([pa.array([x.encode("gbk") for x in batch.column(0).to_pylist()], pa.binary())], ["value"])
 
     return rows.mapInArrow(encoded, "value binary").select(F.col("value").cast("string").alias("value"))

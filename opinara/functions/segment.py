@@ -13,19 +13,20 @@ import re
 from collections.abc import Iterable, Iterator, Mapping
 from html.entities import html5
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed_values as V
 from . import patterns as P
-from .arrays import place_in
+from .arrays import few_at_a_time, place_in
 from .text import english_tokens, keep_tagged
 
 REGEX_WORD_LIMIT = 500
 #: Marks the end of a word in a trie; no character is longer than one.
 END = "end"
 PAIRS = "array<struct<word:string,tag:string>>"
+PIECES = pa.list_(pa.struct([("word", pa.string()), ("tag", pa.string())]))
 
 
 def custom_lexicon(words: Iterable[str] = V.CUSTOM_WORDS, tag: str = V.CUSTOM_WORD_TAG) -> dict[str, str]:
@@ -67,8 +68,8 @@ def _segment_by_regex(text: Column, lexicon: Mapping[str, str], listed_only: boo
 def _segment_by_batch(text: Column, lexicon: Mapping[str, str], listed_only: bool) -> Column:
     tags, spoken = dict(lexicon), _spoken(lexicon)
 
-    @F.pandas_udf(PAIRS)
-    def segment_batch(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(PAIRS)
+    def segment_batch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         trie: dict = {}
         for word in spoken:
             node = trie
@@ -106,7 +107,9 @@ def _segment_by_batch(text: Column, lexicon: Mapping[str, str], listed_only: boo
             return out
 
         for lines in batches:
-            yield lines.map(lambda s: None if s is None else cut(s))
+            # A few texts at a time are Python values; the batch itself stays in Arrow.
+            parts = [pa.array([None if s is None else cut(s) for s in part.to_pylist()], PIECES) for part in few_at_a_time(lines)]
+            yield pa.concat_arrays(parts)
 
     return segment_batch(text)
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.arrays import few_at_a_time
 from ..operators.membership import hinted
 from ..session import work_path
 
@@ -56,7 +57,7 @@ def is_valid(line: bytes, encoding: str) -> bool:
 def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines with their number in the range and what they are in both cases; a task reads its ranges in order."""
     here, states, firsts, number = None, [False, True], [-1, -1], 0
-    for batch in batches:
+    for batch in (part for whole in batches for part in few_at_a_time(whole)):
         rows: list[tuple] = []
         for file, start, value in zip(batch["file"].to_pylist(), batch["range"].to_pylist(), batch["value"].to_pylist(), strict=True):
             if (file, start) != here:
@@ -160,7 +161,7 @@ def decoded(rows: DataFrame) -> DataFrame:
     """The records as text; those of GBK files pass through Python's codec."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in few_at_a_time(whole)):
             texts = pa.array([value.decode("gbk") for value in batch["text"].to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch["no"], batch["head"], batch["record"], texts], ["no", "head", "record", "text"])
 
