@@ -8,9 +8,11 @@ once per token, and a very frequent word costs one partial count per task.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from ..functions import fixed_values as V
 from ..functions import patterns as P
 from ..session import work_path
 from .columns import computed_once, exploded
-from .membership import BROADCAST_ROWS, with_weight, without_words
+from .membership import BROADCAST_ROWS, broadcast_if_small, with_weight, without_words
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens", by: Iterable[str] = ()) -> DataFrame:
@@ -130,6 +132,8 @@ def neighbour_pairs(df: DataFrame, window: int = 5, tokens: str = "tokens") -> D
 
 #: Rounds between two tables of ranks, and the largest relative change at which the ranks count as settled.
 ROUNDS_A_TABLE = 6
+#: Words up to which each task of a round gets all ranks, 8 bytes a word.
+PASSED_WORDS = 1 << 23
 TOLERANCE = 1e-9
 
 
@@ -157,13 +161,98 @@ def text_rank(pairs: DataFrame, damping: float = 0.85, tolerance: float = TOLERA
 
     A round takes each word's new rank from its neighbours' and the last two of its own, by the Chebyshev
     weights for this damping: weights are the same in both directions, so a round shrinks what is left to about
-    0.56 of it where plain rounds leave 0.85. After every few rounds the ranks are written to the shared
-    folder and the largest distance from what the neighbours give, relative to the rank, is measured there; a lost
-    executor costs those rounds at most, and no plan grows. Ranks have one row per word, three
-    numbers each; they are broadcast if the words, which are counted, are few. No pairs give no ranks.
+    0.56 of it where plain rounds leave 0.85. The largest distance from what the neighbours give, relative to the
+    rank, tells when they rest. Words are counted: up to ``PASSED_WORDS`` of them, ranks are arrays of one number a word that
+    the tasks get whole, while the pairs stay in packed rows of the shared folder and nothing is shuffled in a
+    round; more words have their ranks in tables. No pairs give no ranks.
     """
     if not 0 <= damping < 1 or tolerance <= 0:
         raise ValueError("ranks settle with a damping below 1 and a tolerance above 0")
+    words, count = numbered_words(pairs)
+    if count > PASSED_WORDS:
+        return _ranks_in_tables(pairs, damping, tolerance)
+    if not count:
+        return words.select(F.col("name").alias("word"), F.lit(1.0).alias("rank"))
+    edges = packed_edges(pairs, words)
+    sums = _given(edges, np.ones(count))
+    ranks, before, weight = np.ones(count), np.ones(count), 1.0
+    while True:
+        given = 1 - damping + damping * _given(edges, ranks / sums)
+        far = float(np.max(np.abs(given - ranks) / ranks))
+        before, ranks = ranks, weight * (given - before) + before
+        weight = 1 / (1 - damping**2 * weight / (2 if weight == 1 else 4))
+        if far <= tolerance:
+            break
+    settled = pairs.sparkSession.sparkContext.broadcast(ranks)
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = settled.value[batch["word"].to_numpy()]
+            yield pa.RecordBatch.from_arrays([batch["name"], pa.array(own)], ["word", "rank"])
+
+    return words.mapInArrow(named, "word string, rank double")
+
+
+def numbered_words(pairs: DataFrame) -> tuple[DataFrame, int]:
+    """``(name, word)``: the words of the pairs numbered from 0 without gaps, and how many there are."""
+    spark, path = pairs.sparkSession, work_path(pairs.sparkSession, "words")
+    names = pairs.select(F.col("one").alias("name")).union(pairs.select("two")).distinct()
+    names.select("name", F.monotonically_increasing_id().alias("_id")).write.parquet(path)
+    kept = spark.read.schema("name string, _id long").parquet(path).withColumn("_part", F.shiftright("_id", 33))
+    sizes = kept.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()  # a row per task
+    starts, count = [], 0
+    for row in sizes:
+        starts.append((row["_part"], count))
+        count += row["n"]
+    joined = kept.join(F.broadcast(spark.createDataFrame(starts, "_part long, _start long")), "_part")
+    return joined.select("name", (F.col("_start") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).alias("word")), count
+
+
+def packed_edges(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """``(words, sources, weights)``: both directions of many pairs in a row, as bytes of numbers; those to one word together in one task."""
+    spark, path, packed = pairs.sparkSession, work_path(pairs.sparkSession, "pairs"), work_path(pairs.sparkSession, "edges")
+    listed = broadcast_if_small(words)
+    side = lambda name: listed.select(F.col("name").alias(name), F.col("word").cast("int").alias(f"_{name}"))
+    numbered = pairs.join(side("one"), "one").join(side("two"), "two")
+    numbered.select("_one", "_two", F.col("weight").cast("double").alias("weight")).write.parquet(path)
+    both = spark.read.parquet(path)
+    forth = both.select(F.col("_two").alias("word"), F.col("_one").alias("source"), "weight")
+    back = both.select(F.col("_one").alias("word"), F.col("_two").alias("source"), "weight")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cells = [pa.array([column.to_numpy().tobytes()], pa.binary()) for column in batch.columns]
+            yield pa.RecordBatch.from_arrays(cells, ["words", "sources", "weights"])
+
+    rows = forth.union(back).repartition("word").mapInArrow(pack, "words binary, sources binary, weights binary")
+    rows.write.parquet(packed)
+    return spark.read.parquet(packed)
+
+
+def _given(edges: DataFrame, ranks: np.ndarray) -> np.ndarray:
+    """For each word the sum over its edges of weight times the number of the source; a row per word and task comes back."""
+    passed, size = edges.sparkSession.sparkContext.broadcast(ranks), len(ranks)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, out = passed.value, np.zeros(size)
+        numbers = lambda column, kind: np.frombuffer(b"".join(column.to_pylist()), kind)
+        for batch in batches:
+            shares = numbers(batch["weights"], np.float64) * own[numbers(batch["sources"], np.int32)]
+            out += np.bincount(numbers(batch["words"], np.int32), shares, size)
+        words = np.flatnonzero(out).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(words), pa.array(out[words])], ["word", "sum"])
+
+    table = edges.mapInArrow(summed, "word int, sum double").toArrow()
+    passed.destroy()
+    return np.bincount(table["word"].to_numpy(), table["sum"].to_numpy(), size)
+
+
+def _ranks_in_tables(pairs: DataFrame, damping: float, tolerance: float) -> DataFrame:
+    """``text_rank`` for any number of words, each round by a join.
+
+    After every few rounds the ranks are written to the shared folder and the largest distance is measured there; a lost
+    executor costs those rounds at most, and no plan grows.
+    """
     shares = neighbour_shares(pairs)
     spark = shares.sparkSession
     # The rounds join and group by numbers; the words come back at the end.
