@@ -177,7 +177,7 @@ def stream_recent(spark: SparkSession, folder: str) -> DataFrame:
 @query(f"WITH {B.CORPUS} SELECT 6 AS clusters, count(*) AS texts, 6 AS named, true AS in_range FROM corpus")
 def cluster_invariants(spark: SparkSession, folder: str) -> DataFrame:
     """Six clusters that cover the corpus, each text in one of them and each with its strongest terms."""
-    clustered, model, names = M.cluster(TQ.term_source(spark, folder))
+    clustered, model, names = M.cluster(M.counted_terms(TQ.term_source(spark, folder), keep=["row_id"]))
     sizes = M.cluster_sizes(clustered).agg(F.count("*").cast("int").alias("clusters"), F.sum("size").alias("texts"))
     terms = M.cluster_terms(clustered, model, names).agg(F.countDistinct("cluster").cast("int").alias("named"))
     placed = clustered.agg(F.min(F.col("cluster").between(0, 5)).alias("in_range"))
@@ -190,15 +190,14 @@ def cluster_invariants(spark: SparkSession, folder: str) -> DataFrame:
 )
 def cluster_fixed_point(spark: SparkSession, folder: str) -> DataFrame:
     """The clusters of the corpus as a fixed point: nearest centroids, resting means, strongest terms, no start cheaper."""
-    source = TQ.term_source(spark, folder)
-    vectors, names = M.tfidf_vectors(source)
-    vectors = B.stored(vectors, "vectors")
+    vectors, names = M.tfidf_vectors(M.counted_terms(TQ.term_source(spark, folder), keep=["row_id"]))
     models = M.started(vectors, M.CLUSTERS, M.STARTS, M.SEED, 300)
     costs = [model.summary.trainingCost for model in models]
     best = models[costs.index(min(costs))]
-    placed = best.transform(vectors).select("row_id", "cluster")
+    placed = best.transform(vectors).drop("features")
     named = M.cluster_terms(vectors, best, names)
-    found = M.cluster_certificate(M.tfidf_rows(source, "row_id"), placed, M.center_rows(spark, best, names), named, "row_id")
+    weights = M.tfidf_rows(placed, "row_id", keep=["cluster"])
+    found = M.cluster_certificate(weights, placed.select("row_id", "cluster"), M.center_rows(spark, best, names), named, "row_id")
     total = found.agg(F.sum("cost").alias("_cost"), F.sum("size").alias("texts"))
     cheapest = F.col("_cost") <= min(costs) * (1 + 1e-6)
     rows = found.select("cluster", "nearest", "rests", "strongest").crossJoin(F.broadcast(total))

@@ -81,7 +81,7 @@ def topic_sentiment_share(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def term_source(spark: SparkSession, folder: str) -> DataFrame:
-    return B.stored(B.corpus(spark, folder).select("row_id", "tokens"), "tokens")
+    return B.corpus(spark, folder).select("row_id", "tokens")
 
 
 TFIDF = (
@@ -106,14 +106,14 @@ def tfidf_terms(spark: SparkSession, folder: str) -> DataFrame:
 )
 def tfidf_keywords(spark: SparkSession, folder: str) -> DataFrame:
     """Five strongest terms of every document."""
-    rows = M.tfidf_rows(term_source(spark, folder), "row_id").withColumn("tfidf", F.round("tfidf", 9))
+    rows = M.weighted_terms(term_source(spark, folder), "row_id")
     return M.top_terms_per_row(rows, "row_id", 5).select("row_id", F.col("rank").cast("long").alias("rank"), "term")
 
 
 @query()
 def kmeans_clusters(spark: SparkSession, folder: str) -> DataFrame:
     """Clusters of the whole corpus with their sizes and strongest terms."""
-    clustered, model, names = M.cluster(term_source(spark, folder))
+    clustered, model, names = M.cluster(M.counted_terms(term_source(spark, folder), keep=["row_id"]))
     terms = M.cluster_terms(clustered, model, names).groupBy("cluster").agg(
         F.sort_array(F.collect_list(F.struct("rank", "term"))).alias("_t")
     )

@@ -7,20 +7,24 @@ size is a parameter; the words of naive Bayes stay in a table.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, HashingTF, IDF, Normalizer
-from pyspark.ml.linalg import DenseVector
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.ml.feature import HashingTF
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..functions.text import lexicon_words, vector_terms
 from ..session import work_path
-from .columns import computed_once, exploded
+from .columns import computed_once
 from .membership import broadcast_if_small, hinted
 
 MAX_TERMS = 5000
@@ -30,56 +34,129 @@ SEED = 42
 HASHED_WORDS = 1 << 16
 
 
-def term_counts(docs: DataFrame, terms: str = "terms") -> DataFrame:
-    """``(term, total)`` over the corpus, counted with map-side combine."""
-    return exploded(docs, [], F.col(terms), "term").groupBy("term").agg(
-        F.count(F.lit(1)).alias("total")
-    )
+#: Column of the distinct terms of a row with their counts.
+COUNTS = "_counts"
+
+
+@F.arrow_udf(ArrayType(StructType().add("term", "string").add("tf", "long")))
+def count_terms(lists: pa.Array) -> pa.Array:
+    """Lists of terms as lists of distinct terms with counts; a null list is empty."""
+    row, coded = pc.list_parent_indices(lists).to_numpy(), lists.flatten().dictionary_encode()
+    wide = max(len(coded.dictionary), 1)
+    pairs, counts = np.unique(row * wide + coded.indices.to_numpy(), return_counts=True)
+    return as_lists(len(lists), pairs // wide, term=coded.dictionary.take(pa.array(pairs % wide)), tf=pa.array(counts, pa.int64()))
 
 
-def vocabulary(docs: DataFrame, size: int = MAX_TERMS, terms: str = "terms") -> list[str]:
-    """The ``size`` most frequent terms, ties by term."""
-    top = term_counts(docs, terms).orderBy(F.desc("total"), "term").limit(size)
-    return [r["term"] for r in top.collect()]
+def as_lists(rows: int, row: np.ndarray, **fields: pa.Array) -> pa.Array:
+    """One list of structs for each of ``rows``, from entries in order of their ``row``."""
+    starts = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(starts), pa.StructArray.from_arrays(list(fields.values()), list(fields)))
 
 
-def tfidf_rows(docs: DataFrame, key: str, tokens: str = "tokens", size: int = MAX_TERMS) -> DataFrame:
-    """``(key, term, tf, tfidf)`` with smoothed idf plus one and unit row length.
+def counted_terms(docs: DataFrame, tokens: str = "tokens", keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep``, by default all, and ``COUNTS``, written once: texts are made and split only here.
 
-    Terms are counted per row before anything moves and written once; from there come the totals of all terms and the
-    rows. The kept terms, at most ``size``, are broadcast, so the weights need one
-    more shuffle, by ``key``, for the length of each row.
+    A row has all its terms, so they are counted where it stands and nothing moves.
+    A table that has the counts already comes back as it is.
     """
-    spoken = exploded(docs, [key], vector_terms(F.col(tokens)), "term")
+    if COUNTS in docs.columns:
+        return docs
+    keep = list(docs.columns if keep is None else keep)
+    prepared = computed_once(docs, "_said", vector_terms(F.col(tokens)))
     path = work_path(docs.sparkSession, "term-counts")
-    spoken.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")).write.parquet(path)
-    counted = docs.sparkSession.read.parquet(path)
-    totals = counted.groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
-    n = docs.agg(F.count(F.lit(1))).scalar()
-    kept = totals.orderBy(F.desc("_total"), "term").limit(size).select("term", (F.log((n + 1) / (F.col("_df") + 1)) + 1).alias("_idf"))
-    rows = counted.join(F.broadcast(kept), "term").withColumn("_w", F.col("tf") * F.col("_idf"))
-    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(key)))
-    return rows.select(key, "term", "tf", (F.col("_w") / length).alias("tfidf"))
+    prepared.select(*keep, count_terms("_said").alias(COUNTS)).write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def vocabulary(counted: DataFrame, n: int, size: int = MAX_TERMS) -> tuple[list[str], list[float]]:
+    """The ``size`` most frequent terms, ties by term, and their smoothed idf plus one among ``n`` rows."""
+    each = counted.select(F.inline(COUNTS)).groupBy("term").agg(F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("_df"))
+    top = each.orderBy(F.desc("_total"), "term").limit(size).select("term", (F.log((n + 1) / (F.col("_df") + 1)) + 1).alias("_idf")).collect()
+    return [r["term"] for r in top], [r["_idf"] for r in top]
+
+
+def weights_of(names: Sequence[str], idf: Sequence[float]) -> Callable[[pa.Array], tuple[np.ndarray, ...]]:
+    """A function from lists of counted terms to the kept entries by row and place in ``names``: row, place, tf, unit-length weight."""
+
+    def weigh(lists: pa.Array) -> tuple[np.ndarray, ...]:
+        term, tf = lists.flatten().flatten()
+        place = pc.index_in(term, value_set=pa.array(names, pa.string()))
+        known = place.is_valid().to_numpy(zero_copy_only=False)
+        row, place, tf = pc.list_parent_indices(lists).to_numpy()[known], place.drop_null().to_numpy(), tf.to_numpy()[known]
+        order = np.argsort(row * max(len(names), 1) + place)
+        row, place, tf = row[order], place[order], tf[order]
+        weight = tf * np.array(idf, float)[place]
+        return row, place, tf, weight / np.sqrt(np.bincount(row, weight * weight, len(lists)))[row]
+
+    return weigh
+
+
+def weighted_terms(
+    docs: DataFrame, key: str, tokens: str = "tokens", size: int = MAX_TERMS, keep: Sequence[str] = ()
+) -> DataFrame:
+    """``(key, weights)``: for each row its kept terms as ``(term, tf, tfidf)``, with smoothed idf plus one and unit row length.
+
+    Columns ``keep`` stay beside them if no key repeats. Rows of a repeated key count as one; only then do terms move.
+    """
+    counted = counted_terms(docs, tokens, [key, *keep])
+    n = counted.count()
+    rows = counted.select(key, *keep, COUNTS)
+    if not rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+        added = rows.select(key, F.inline(COUNTS)).groupBy(key, "term").agg(F.sum("tf").alias("tf"))
+        path = work_path(docs.sparkSession, "key-counts")
+        added.groupBy(key).agg(F.collect_list(F.struct("term", "tf")).alias(COUNTS)).write.parquet(path)
+        rows, keep = docs.sparkSession.read.parquet(path), ()
+    names, idf = vocabulary(rows, n, size)
+    weigh = weights_of(names, idf)
+
+    @F.arrow_udf("array<struct<term:string,tf:bigint,tfidf:double>>")
+    def weights(lists: pa.Array) -> pa.Array:
+        row, place, tf, weight = weigh(lists)
+        return as_lists(len(lists), row, term=pa.array(names, pa.string()).take(pa.array(place)), tf=pa.array(tf), tfidf=pa.array(weight))
+
+    return rows.select(key, *keep, weights(COUNTS).alias("weights"))
 
 
-def top_terms_per_row(rows: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` strongest terms of each row."""
-    order = Window.partitionBy(key).orderBy(F.desc("tfidf"), "term")
-    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
+def tfidf_rows(docs: DataFrame, key: str, tokens: str = "tokens", size: int = MAX_TERMS, keep: Sequence[str] = ()) -> DataFrame:
+    """``(key, term, tf, tfidf)``: the weighted terms, a row for each."""
+    weighted = weighted_terms(docs, key, tokens, size, keep)
+    return weighted.select(*[c for c in weighted.columns if c != "weights"], F.inline("weights"))
+
+
+def top_terms_per_row(weighted: DataFrame, key: str, n: int, digits: int = 9) -> DataFrame:
+    """``(key, rank, term)``: the ``n`` strongest of the weighted terms of each row, weights equal to so many digits by term."""
+    # Only the strong ones are rounded and sorted: those not clearly below the n-th.
+    least = F.coalesce(F.get(F.sort_array(F.col("weights")["tfidf"], asc=False), n - 1), F.lit(0.0)) - F.lit(2 * 10.0**-digits)
+    strong = computed_once(weighted.select(key, "weights"), "_least", least).select(key, F.filter("weights", lambda x: x["tfidf"] >= F.col("_least")).alias("_strong"))
+    ordered = F.sort_array(F.transform("_strong", lambda x: F.struct((-F.round(x["tfidf"], digits)).alias("_last"), x["term"].alias("term"))))
+    ranked = strong.select(key, F.posexplode(F.slice(ordered, 1, n)).alias("_at", "_x"))
+    return ranked.select(key, (F.col("_at") + 1).alias("rank"), "_x.term")
 
 
 def tfidf_vectors(
     docs: DataFrame, tokens: str = "tokens", size: int = MAX_TERMS
 ) -> tuple[DataFrame, list[str]]:
-    """Adds unit-length ``features``; the second result names the dimensions."""
-    prepared = computed_once(docs, "terms", vector_terms(F.col(tokens)))
-    names = vocabulary(prepared, size)
-    counts = CountVectorizerModel.from_vocabulary(names, inputCol="terms", outputCol="_tf")
-    counted = counts.transform(prepared)
-    idf = IDF(inputCol="_tf", outputCol="_idf").fit(counted).idf.toArray() + 1.0
-    scale = ElementwiseProduct(scalingVec=DenseVector(idf), inputCol="_tf", outputCol="_w")
-    unit = Normalizer(p=2.0, inputCol="_w", outputCol="features")
-    return unit.transform(scale.transform(counted)).drop("terms", "_tf", "_w"), names
+    """Adds unit-length ``features``; the second result names the dimensions.
+
+    The vectors are written to the shared folder in the columns in which Spark keeps vectors, and read as such.
+    """
+    counted = counted_terms(docs, tokens)
+    names, idf = vocabulary(counted, counted.count(), size)
+    weigh = weights_of(names, idf)
+
+    @F.arrow_udf("struct<type:tinyint,size:int,indices:array<int>,values:array<double>>")
+    def sparse(lists: pa.Array) -> pa.Array:
+        row, place, _, weight = weigh(lists)
+        starts = pa.array(np.searchsorted(row, np.arange(len(lists) + 1)).astype(np.int32))
+        places = pa.ListArray.from_arrays(starts, pa.array(place, pa.int32()))
+        values = pa.ListArray.from_arrays(starts, pa.array(weight))
+        kind, wide = np.zeros(len(lists), np.int8), np.full(len(lists), len(names), np.int32)
+        return pa.StructArray.from_arrays([pa.array(kind), pa.array(wide), places, values], ["type", "size", "indices", "values"])
+
+    path = work_path(docs.sparkSession, "vectors")
+    counted.select(*docs.columns, sparse(COUNTS).alias("features")).write.parquet(path)
+    schema = StructType([*counted.select(*docs.columns).schema.fields, StructField("features", VectorUDT())])
+    return docs.sparkSession.read.schema(schema).parquet(path), names
 
 
 def cluster(
@@ -93,21 +170,24 @@ def cluster(
 ) -> tuple[DataFrame, KMeansModel, list[str]]:
     """K-means on the term vectors, the cheapest of several seeded starts.
 
-    Each start runs until its centroids rest or ``iterations`` are done. The vectors are written to the shared folder first: the starts do not clean
+    Each start runs until its centroids rest or ``iterations`` are done. The vectors are in the shared folder: the starts do not clean
     and tokenize the texts again, and a lost executor costs no recomputation.
     """
     vectors, names = tfidf_vectors(docs, tokens, size)
-    path = work_path(docs.sparkSession, "vectors")
-    vectors.write.parquet(path)
-    models = started(docs.sparkSession.read.parquet(path), k, starts, seed, iterations)
+    models = started(vectors, k, starts, seed, iterations)
     best = min(models, key=lambda model: model.summary.trainingCost)
-    return best.transform(docs.sparkSession.read.parquet(path)), best, names
+    return best.transform(vectors), best, names
 
 
 def started(vectors: DataFrame, k: int, starts: int, seed: int, iterations: int) -> list[KMeansModel]:
-    """The model of each start, in order."""
-    kept = vectors.persist()
-    models = [KMeans(k=k, seed=seed + start, maxIter=iterations, predictionCol="cluster").fit(kept) for start in range(starts)]
+    """The model of each start, in order.
+
+    Only the vectors are kept between the starts. The algorithm keeps its own copy, ready for arithmetic, of a
+    table that is not itself persisted, and goes over that in each round.
+    """
+    kept = vectors.select("features", F.lit(True).alias("_kept")).persist()
+    means = KMeans(k=k, maxIter=iterations, predictionCol="cluster")
+    models = [means.copy({means.seed: seed + start}).fit(kept.select("features")) for start in range(starts)]
     kept.unpersist()
     return models
 
@@ -119,7 +199,7 @@ REST = 1e-2
 def cluster_certificate(weights: DataFrame, placed: DataFrame, centers: DataFrame, named: DataFrame, key: str) -> DataFrame:
     """One row per cluster that tells whether the clustering is a fixed point, whatever made it.
 
-    ``weights`` has ``(key, term, tfidf)``, ``placed`` ``(key, cluster)`` for every row, ``centers`` ``(cluster, term,
+    ``weights`` has ``(key, term, tfidf)`` and, if at hand, the ``cluster`` of the row, ``placed`` ``(key, cluster)`` for every row, ``centers`` ``(cluster, term,
     weight)`` with a row for every term of every cluster, and ``named`` ``(cluster, rank, term)`` the reported terms.
     ``nearest``: no row of the cluster is nearer to another centroid. ``rests``: the centroid is the mean
     of its rows. ``cost``: their squared distances from it. ``strongest``: the mean of no unreported term is above that of a reported one.
@@ -138,7 +218,8 @@ def cluster_certificate(weights: DataFrame, placed: DataFrame, centers: DataFram
     mine = F.filter("_far", lambda x: x["cluster"] == F.col("cluster"))[0]["far"]
     rows = rows.select("cluster", mine.alias("_mine"), F.array_min(F.transform("_far", lambda x: x["far"])).alias("_least"))
     sides = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("_mine").alias("cost"), F.min(F.col("_mine") <= F.col("_least") + 1e-9).alias("nearest"))
-    sums = weights.join(placed, key).groupBy("cluster", "term").agg(F.sum("tfidf").alias("_sum"))
+    told = weights if "cluster" in weights.columns else weights.join(placed, key)
+    sums = told.groupBy("cluster", "term").agg(F.sum("tfidf").alias("_sum"))
     means = centers.join(sums, ["cluster", "term"], "left").join(sides.select("cluster", "size"), "cluster")
     means = means.withColumn("_mean", F.coalesce(F.col("_sum") / F.col("size"), F.lit(0.0)))
     gaps = means.join(named.select("cluster", "term", F.lit(True).alias("_named")), ["cluster", "term"], "left")

@@ -96,3 +96,40 @@ def test_certificate_of_clusters(spark):
     assert not any(r["rests"] for r in M.cluster_certificate(weights, clustered.select("row_id", "cluster"), moved, named, "row_id").collect())
     weak = centers.orderBy("weight").limit(3).select("cluster", F.lit(1).alias("rank"), "term")
     assert not all(r["strongest"] for r in M.cluster_certificate(weights, clustered.select("row_id", "cluster"), centers, weak, "row_id").collect())
+
+
+def test_terms_are_counted_and_weighted_in_their_row(spark):
+    rows = M.tfidf_rows(docs(spark), "row_id")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_rows_of_a_repeated_key_count_as_one(spark):
+    kind = "k int, tokens array<string>"
+    apart = spark.createDataFrame([(1, ["x", "y"]), (1, ["x"]), (None, ["y"]), (None, ["z", "y"]), (2, None), (3, ["x"])], kind)
+    got = {(r["k"], r["term"]): (r["tf"], r["tfidf"]) for r in M.tfidf_rows(apart, "k").collect()}
+    weight = {"x": math.log(7 / 3) + 1, "y": math.log(7 / 3) + 1, "z": math.log(7 / 2) + 1}
+    counts = {1: {"x": 2, "y": 1}, None: {"y": 2, "z": 1}, 3: {"x": 1}}
+    length = {k: math.sqrt(sum((n * weight[t]) ** 2 for t, n in row.items())) for k, row in counts.items()}
+    assert got == {(k, t): (n, pytest.approx(n * weight[t] / length[k])) for k, row in counts.items() for t, n in row.items()}
+
+
+def test_top_terms_tie_by_term(spark):
+    rows = spark.createDataFrame([(1, ["b", "a", "c", "c"]), (2, ["a"]), (3, [])], "k int, tokens array<string>")
+    top = M.top_terms_per_row(M.weighted_terms(rows, "k"), "k", 2).collect()
+    assert sorted((r["k"], r["rank"], r["term"]) for r in top) == [(1, 1, "c"), (1, 2, "b"), (2, 1, "a")]
+    even = spark.createDataFrame([(1, ["c", "b", "a"])], "k int, tokens array<string>")
+    assert [r["term"] for r in M.top_terms_per_row(M.weighted_terms(even, "k"), "k", 2).orderBy("rank").collect()] == ["a", "b"]
+
+
+def test_starts_go_over_vectors_that_the_algorithm_keeps(spark, monkeypatch):
+    seen, fit = [], M.KMeans.fit
+
+    def noted(self, rows):
+        seen.append((rows.columns, rows.storageLevel.useMemory))
+        return fit(self, rows)
+
+    monkeypatch.setattr(M.KMeans, "fit", noted)
+    vectors, _ = M.tfidf_vectors(docs(spark))
+    models = M.started(vectors, 3, 2, 42, 20)
+    assert seen == [(["features"], False)] * 2 and [m.getSeed() for m in models] == [42, 43]
