@@ -60,8 +60,13 @@ def measured(kept: DataFrame) -> tuple[int, int]:
 
 def broadcast_if_small(kept: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
     """A stored table, marked for broadcast only if both bounds allow it."""
+    return F.broadcast(kept) if fits_broadcast(kept, rows, size) else kept
+
+
+def fits_broadcast(kept: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether both bounds allow to broadcast a stored table."""
     seen_rows, seen_size = measured(kept)
-    return F.broadcast(kept) if seen_rows <= rows and seen_size <= size else kept
+    return seen_rows <= rows and seen_size <= size
 
 
 def listed_rows(df: DataFrame, rows: int | None = None, size: int = LISTED_BYTES) -> tuple[DataFrame, list[Row] | None]:

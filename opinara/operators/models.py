@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import HashingTF
@@ -25,13 +25,15 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 from ..functions.text import lexicon_words, vector_terms
 from ..session import work_path
 from .columns import computed_once
-from .membership import broadcast_if_small, hinted
+from .membership import fits_broadcast, hinted
 
 MAX_TERMS = 5000
 CLUSTERS = 6
 STARTS = 10
 SEED = 42
 HASHED_WORDS = 1 << 16
+#: Words of a naive Bayes model that are broadcast when it has too many for that.
+FREQUENT_WORDS = 100_000
 
 
 #: Column of the distinct terms of a row with their counts.
@@ -271,7 +273,7 @@ def with_words(rows: DataFrame, text: str = "text") -> DataFrame:
 class WordBayes:
     """Multinomial naive Bayes with add-one smoothing over all words of the labelled rows.
 
-    ``weights`` holds a row per word with its log probability per class, in a table
+    ``weights`` holds a row per word with its log probability per class and its count ``_n``, in a table
     of the shared folder: the vocabulary may be of any size. The classes are few and on the driver.
     """
 
@@ -280,12 +282,28 @@ class WordBayes:
     weights: DataFrame
 
     def log_scores(self, rows: DataFrame, key: str, text: str) -> DataFrame:
-        """``(key, _scores)``: unnormalized log probability per class, for the rows that hold a known word."""
+        """``(key, _scores)``: unnormalized log probability per class, for the rows that hold a known word.
+
+        Small weights are broadcast: then only one row of sums per text and task moves. Of more words than that the
+        most frequent are broadcast; of the others, which are rare, each text's counts move to the weights.
+        """
         spoken = with_words(rows.select(key, text), text).select(key, F.explode("words").alias("word"))
-        # Small weights are broadcast: then only one row of sums per text and task moves.
-        known = spoken.join(broadcast_if_small(self.weights), "word")
-        sums = [F.sum(F.col("_theta")[i]) for i in range(len(self.classes))]
-        return known.groupBy(key).agg(F.array(*sums).alias("_scores"))
+        places = range(len(self.classes))
+        thetas = [F.col("_theta")[i].alias(f"_t{i}") for i in places]
+        if fits_broadcast(self.weights):
+            parts = spoken.join(F.broadcast(self.weights), "word").select(key, *thetas)
+        else:
+            frequent = hinted(self.weights.orderBy(F.desc("_n"), "word").limit(FREQUENT_WORDS).select("word", "_theta"))
+            met = spoken.join(frequent, "word", "left")
+            rare = F.when(F.col("_theta").isNull(), F.col("word")).alias("_rare")
+            sums = met.select(key, rare, *thetas).groupBy(key, "_rare").agg(F.count(F.lit(1)).alias("_times"), *[F.sum(f"_t{i}").alias(f"_t{i}") for i in places])
+            path = work_path(rows.sparkSession, "text-words")
+            sums.write.parquet(path)
+            kept = rows.sparkSession.read.parquet(path)
+            others = kept.where(F.col("_rare").isNotNull()).select(key, F.col("_rare").alias("word"), "_times")
+            theirs = others.join(self.weights, "word").select(key, *[(F.col("_times") * F.col("_theta")[i]).alias(f"_t{i}") for i in places])
+            parts = kept.where(F.col("_rare").isNull()).select(key, *[f"_t{i}" for i in places]).union(theirs)
+        return parts.groupBy(key).agg(F.array(*[F.sum(f"_t{i}") for i in places]).alias("_scores"))
 
     def probabilities(self, rows: DataFrame, key: str, text: str) -> DataFrame:
         """Adds ``_probability``, an array in the order of the classes; ``key`` must be unique."""
@@ -312,7 +330,8 @@ def train_bayes(labelled: DataFrame, text: str = "text", label: str = "label") -
     counts = spark.read.parquet(path)
     totals = counts.agg(F.count(F.lit(1)).alias("words"), *[F.sum(f"_{i}").alias(f"_{i}") for i in range(len(classes))]).first()
     theta = F.array(*[F.log((F.col(f"_{i}") + 1) / F.lit(float((totals[f"_{i}"] or 0) + totals["words"]))) for i in range(len(classes))])
-    return WordBayes(classes, priors, counts.select("word", theta.alias("_theta")))
+    every_class = sum((F.col(f"_{i}") for i in range(len(classes))), F.lit(0))
+    return WordBayes(classes, priors, counts.select("word", theta.alias("_theta"), every_class.alias("_n")))
 
 
 def train_sentiment(labelled: DataFrame, text: str = "text", label: str = "label") -> WordBayes:
@@ -330,13 +349,16 @@ def train_topics(labelled: DataFrame, text: str, label: str, kind: str = "nb") -
     """Supervised topics: naive Bayes or one-vs-rest linear SVM.
 
     The SVM's words are hashed into ``HASHED_WORDS`` dimensions, so all words count and
-    the coefficients have a fixed size.
+    the coefficients have a fixed size. The hashed texts are written once, as labels are counted and learned from them, two at a time.
     """
     if kind == "nb":
         return train_bayes(labelled, text, label)
     rows = with_words(labelled, text).withColumn("label", F.col(label).cast("double"))
     hashed = HashingTF(numFeatures=HASHED_WORDS, inputCol="words", outputCol="features")
-    return Pipeline(stages=[hashed, OneVsRest(classifier=LinearSVC())]).fit(rows)
+    path = work_path(labelled.sparkSession, "hashed-words")
+    hashed.transform(rows).select("label", "features").write.parquet(path)
+    model = OneVsRest(classifier=LinearSVC(), parallelism=2).fit(labelled.sparkSession.read.parquet(path))
+    return PipelineModel(stages=[hashed, model])
 
 
 def predicted_topics(model: WordBayes | PipelineModel, rows: DataFrame, text: str, key: str = "row_id") -> DataFrame:

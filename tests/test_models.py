@@ -133,3 +133,24 @@ def test_starts_go_over_vectors_that_the_algorithm_keeps(spark, monkeypatch):
     vectors, _ = M.tfidf_vectors(docs(spark))
     models = M.started(vectors, 3, 2, 42, 20)
     assert seen == [(["features"], False)] * 2 and [m.getSeed() for m in models] == [42, 43]
+
+
+def test_bayes_with_more_words_than_are_broadcast(spark, monkeypatch):
+    rows = spark.createDataFrame([("a a b", 1), ("b c", 0), ("c a", 0)], "text string, label int")
+    seen = spark.createDataFrame([(1, "a a b"), (2, "c c zz"), (3, "zz"), (4, None), (None, "b b a"), (5, "c")], "row_id int, text string")
+    model = M.train_sentiment(rows)
+    scores = lambda: {r["row_id"]: r["_scores"] for r in model.log_scores(seen, "row_id", "text").collect()}
+    whole = scores()
+    monkeypatch.setattr(M, "fits_broadcast", lambda kept: False)
+    monkeypatch.setattr(M, "FREQUENT_WORDS", 1)
+    assert set(whole) == {1, 2, None, 5} and scores() == {k: pytest.approx(v) for k, v in whole.items()}
+    plan = model.log_scores(seen, "row_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan  # no occurrence of a word meets the weights of the rare ones
+
+
+def test_svm_learns_from_hashed_texts_written_once(spark, monkeypatch):
+    seen, fit = [], M.OneVsRest.fit
+    monkeypatch.setattr(M.OneVsRest, "fit", lambda self, rows: seen.append(rows) or fit(self, rows))
+    rows = spark.createDataFrame([("good great day", 1), ("great hope", 1), ("bad evil day", 0), ("evil crisis", 0)], "text string, label int")
+    M.train_topics(rows, "text", "label", "svm")
+    assert seen[0].columns == ["label", "features"] and len(seen[0].inputFiles()) > 0
