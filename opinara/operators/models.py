@@ -349,15 +349,15 @@ def train_topics(labelled: DataFrame, text: str, label: str, kind: str = "nb") -
     """Supervised topics: naive Bayes or one-vs-rest linear SVM.
 
     The SVM's words are hashed into ``HASHED_WORDS`` dimensions, so all words count and
-    the coefficients have a fixed size. The hashed texts are written once, as labels are counted and learned from them, two at a time.
+    the coefficients have a fixed size. The hashed texts are kept while labels are counted and learned from them, two at a time.
     """
     if kind == "nb":
         return train_bayes(labelled, text, label)
     rows = with_words(labelled, text).withColumn("label", F.col(label).cast("double"))
     hashed = HashingTF(numFeatures=HASHED_WORDS, inputCol="words", outputCol="features")
-    path = work_path(labelled.sparkSession, "hashed-words")
-    hashed.transform(rows).select("label", "features").write.parquet(path)
-    model = OneVsRest(classifier=LinearSVC(), parallelism=2).fit(labelled.sparkSession.read.parquet(path))
+    kept = hashed.transform(rows).select("label", "features").persist()
+    model = OneVsRest(classifier=LinearSVC(), parallelism=2).fit(kept)
+    kept.unpersist()
     return PipelineModel(stages=[hashed, model])
 
 
