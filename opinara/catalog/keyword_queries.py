@@ -160,9 +160,9 @@ def text_rank(spark: SparkSession, folder: str) -> DataFrame:
 def text_rank_settled(spark: SparkSession, folder: str) -> DataFrame:
     """Each rank against the one that the neighbours' ranks give; all ranks sum to the number of words."""
     pairs = B.stored(K.neighbour_pairs(B.corpus(spark, folder)), "pairs")
-    ranks, shares = K.text_rank(pairs), K.neighbour_shares(pairs)
-    given = shares.join(ranks.select(F.col("word").alias("src"), F.col("rank").alias("_given")), "src")
-    given = given.groupBy("word").agg(F.count("*").alias("neighbours"), F.sum(F.col("share") * F.col("_given")).alias("_given"))
-    near = F.abs(F.col("rank") - (0.15 + 0.85 * F.col("_given"))) <= 1e-8 * F.col("rank")
+    packed = K.packed_pairs(pairs)
+    ranks, shares = K.text_rank(pairs, packed=packed), K.neighbour_shares(pairs, packed)
+    given = K.given_ranks(shares, ranks)
+    near = F.abs(F.col("rank") - (0.15 + 0.85 * F.col("given"))) <= 1e-8 * F.col("rank")
     total = ranks.agg(F.round(F.sum("rank")).cast("long").alias("total"))
     return given.join(ranks, "word").select("word", "neighbours", near.alias("settled")).crossJoin(F.broadcast(total))

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from opinara.functions import pairs as B
 from opinara.operators import keywords as K
@@ -80,3 +81,17 @@ def test_ranks_settle_in_few_rounds(pairs, monkeypatch):
     ranks = K.text_rank(pairs, tolerance=1e-11)
     assert len(rounds) <= 45  # weights fixed by the damping took 52 on a text table
     assert K.largest_residual(K.neighbour_shares(pairs), ranks) < 1e-10
+
+
+def test_shares_and_given_ranks_in_both_forms(pairs, monkeypatch):
+    packed = K.packed_pairs(pairs)
+    ranks, shares = K.text_rank(pairs, packed=packed), K.neighbour_shares(pairs, packed)
+    given = K.given_ranks(shares, ranks)
+    assert "Join" not in given._jdf.queryExecution().executedPlan().toString()
+    rows, sums = ({(r["src"], r["word"]): r["share"] for r in shares.collect()}, {r["word"]: (r["neighbours"], r["given"]) for r in given.collect()})
+    assert len(rows) == 2 * pairs.count() == sum(n for n, _ in sums.values())
+    monkeypatch.setattr(K, "PASSED_WORDS", 10)
+    assert K.packed_pairs(pairs).edges is None
+    assert {(r["src"], r["word"]): r["share"] for r in K.neighbour_shares(pairs).collect()} == rows
+    again = K.given_ranks(shares, ranks.where(F.lit(True)))
+    assert {r["word"]: (r["neighbours"], pytest.approx(r["given"])) for r in again.collect()} == sums
