@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as V
 from ..functions import pairs as B
 from ..functions import patterns as P
-from ..session import work_path
+from ..session import clear_path, work_path
 from .columns import computed_once, exploded
 from .membership import BROADCAST_ROWS, fits_broadcast, with_weight, without_words
 
@@ -176,10 +176,13 @@ class PackedPairs(NamedTuple):
 
 def packed_pairs(pairs: DataFrame) -> PackedPairs:
     """What ``text_rank`` and ``neighbour_shares`` make of stored pairs first; given to both, it is made once."""
-    rows = _split_pairs(pairs)
+    path = work_path(pairs.sparkSession, "split")
+    rows = _split_pairs(pairs, path)
     words, count = _numbered(rows)
     fits = count > 0 and fits_broadcast(words, PASSED_WORDS, PASSED_BYTES)
-    return PackedPairs(words, count, _edges(rows, words) if fits else None)
+    packed = PackedPairs(words, count, _edges(rows, words) if fits else None)
+    clear_path(pairs.sparkSession, path)  # the words and blocks are stored
+    return packed
 
 
 def neighbour_shares(pairs: DataFrame, packed: PackedPairs | None = None) -> DataFrame:
@@ -277,20 +280,19 @@ def _settled(edges: DataFrame, count: int, damping: float, tolerance: float) ->
 
 
 #: Row groups of stored blocks, whose rows are large.
-BLOCK_FILES = {"parquet.block.size": str(1 << 24), "parquet.page.size.row.check.min": "1", "compression": "none"}
+BLOCK_FILES = {"parquet.block.size": str(1 << 24), "parquet.page.size.row.check.min": "1"}
 
 
-def _split_pairs(pairs: DataFrame) -> DataFrame:
-    """The pairs, read once, as rows of about two million with a word list each."""
-    spark, path = pairs.sparkSession, work_path(pairs.sparkSession, "split")
+def _split_pairs(pairs: DataFrame, path: str) -> DataFrame:
+    """The pairs, read once, as rows of about two million with a word list each, stored at ``path``."""
     weighed = pairs.select("one", "two", F.col("weight").cast("double").alias("weight"))
     weighed.mapInArrow(B.split, B.SPLIT).write.options(**BLOCK_FILES).parquet(path)
-    return spark.read.schema(B.SPLIT).parquet(path)
+    return pairs.sparkSession.read.schema(B.SPLIT).parquet(path)
 
 
 def numbered_words(pairs: DataFrame) -> tuple[DataFrame, int]:
     """``(name, word)``: the words of the pairs numbered from 0 without gaps, frequent ones first, and how many there are."""
-    return _numbered(_split_pairs(pairs))
+    return _numbered(_split_pairs(pairs, work_path(pairs.sparkSession, "split")))
 
 
 def _numbered(rows: DataFrame) -> tuple[DataFrame, int]:
@@ -315,7 +317,7 @@ def _names(words: DataFrame) -> pa.Array:
 
 def packed_edges(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """Both directions of many pairs in a row, as bytes of numbers; those to one word in order and together in one task."""
-    return _edges(_split_pairs(pairs), words)
+    return _edges(_split_pairs(pairs, work_path(pairs.sparkSession, "split")), words)
 
 
 def _edges(rows: DataFrame, words: DataFrame) -> DataFrame:
@@ -325,7 +327,7 @@ def _edges(rows: DataFrame, words: DataFrame) -> DataFrame:
     dealt = rows.drop("counts").mapInArrow(
         lambda batches: B.directed(batches, names.value, count), "part int, words binary, sources binary, weights binary, kind string"
     )
-    dealt.repartitionById(count, "part").mapInArrow(B.laid_out, B.EDGES).write.options(**BLOCK_FILES).parquet(path)
+    dealt.repartitionById(count, "part").mapInArrow(B.laid_out, B.EDGES).write.options(compression="none", **BLOCK_FILES).parquet(path)
     return spark.read.schema(B.EDGES).parquet(path)
 
 

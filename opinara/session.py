@@ -66,7 +66,12 @@ def work_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark).rstrip('/')}/work-{spark.sparkContext.applicationId}"
 
 
+def clear_path(spark: SparkSession, path: str) -> None:
+    """Deletes a table written mid-job; its readers must be done."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Deletes every table that this application wrote mid-job; their readers must be done."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    clear_path(spark, work_dir(spark))
